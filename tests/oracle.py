@@ -46,6 +46,20 @@ def _cell(value):
     return str(value)
 
 
+def _kind(name: str) -> str:
+    name = name.lower()
+    for kind, starts in {
+        "int": ("bigint", "int", "smallint", "tinyint", "number"),
+        "float": ("double", "float"),
+        "text": ("varchar", "string"),
+        "bool": ("bool",),
+        "time": ("timestamp", "datetime"),
+    }.items():
+        if name.startswith(starts):
+            return kind
+    return name
+
+
 def _rows(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(_cell(r[i]) for i in order) for r in rows)
@@ -61,6 +75,11 @@ def compare(spark, con, path: str, run, sql: str | None) -> tuple[bool, str]:
     theirs = result.fetchall()
     if sorted(df.columns) != sorted(names):
         return False, f"columns {sorted(df.columns)} vs {sorted(names)}"
+    kinds = {d[0]: _kind(str(d[1])) for d in result.description}
+    odd = {f.name: (_kind(f.dataType.simpleString()), kinds[f.name]) for f in df.schema.fields}
+    odd = {k: v for k, v in odd.items() if v[0] != v[1]}
+    if odd:
+        return False, f"types {odd}"
     a, b = _rows(df.columns, mine), _rows(names, theirs)
     if a == b:
         return True, f"{len(a)} rows"
