@@ -49,7 +49,11 @@ def widen(
     """(index, label, metrics) rows to one column per label and metric."""
     labels = _known_labels(long, metrics, cap)
     values = [r[LABEL] for r in labels]
-    wide = long.groupBy(*index).pivot(LABEL, values).agg(*[F.max(m).alias(m) for m in metrics])
+    # index columns go by place while wide: a label may spell the same as an index name
+    placed = long.select(*[F.col(c).alias(f"__i{i}") for i, c in enumerate(index)], LABEL, *metrics)
+    wide = placed.groupBy(*[f"__i{i}" for i in range(len(index))]).pivot(LABEL, values).agg(
+        *[F.max(m).alias(m) for m in metrics]
+    )
     out = []
     for i, metric in enumerate(metrics):
         for row in labels:
@@ -62,7 +66,7 @@ def widen(
             out.append((row[LABEL], i, cell.alias(LABEL_SEPARATOR.join(p for p in pair if p))))
     if combine:
         out.sort(key=lambda t: (t[0], t[1]))
-    return wide.select(*index, *[c for _, _, c in out])
+    return wide.select(*[F.col(f"__i{i}").alias(c) for i, c in enumerate(index)], *[c for _, _, c in out])
 
 
 def pivot(

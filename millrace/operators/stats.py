@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.errors import QueryError
 from millrace.operators.scale import bounded_broadcast, join_null_safe, quantile_columns, ranked_counts
@@ -209,7 +210,7 @@ def student_two_sided(t: float, freedom: float) -> float:
     return _beta_tail(freedom / 2, 0.5, freedom / (freedom + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _p_value(t: pd.Series, freedom: pd.Series) -> pd.Series:
     ok = t.notna() & (freedom > 0)
     return pd.Series([student_two_sided(a, b) if k else None for a, b, k in zip(t, freedom, ok)], dtype="float64")

@@ -114,7 +114,7 @@ def shop_enriched_orders(spark, folder):
 @R.add(
     "stock_balance",
     """
-SELECT p_partkey AS product_id, 1000.0 AS stock, coalesce(q, 0) AS ordered, 1000.0 - coalesce(q, 0) AS balance
+SELECT p_partkey AS product_id, CAST(1000 AS DOUBLE) AS stock, coalesce(q, 0) AS ordered, 1000 - coalesce(q, 0) AS balance
 FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1) ON l_partkey = p_partkey""",
 )
 def stock(spark, folder):

@@ -15,8 +15,8 @@ from millrace.plans.base import Entry, Register, daily, rounded, table
 R = Register()
 ENTRIES = R.entries
 
-# The sparse daily series: errors on odd days and low clicks are missing, so the grid has gaps.
-_SPARSE = "event_type IN ('click', 'error', 'view') AND NOT (event_type = 'error' AND dayofmonth(ts) % 2 = 1)"
+# Daily sums of the large events only: rare enough that series lack some days.
+_SPARSE = "value > 97"
 _CELLS = f"""cells AS (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, sum(value) AS v FROM events
   WHERE {_SPARSE} GROUP BY 1, 2),
 axis AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS p FROM (SELECT DISTINCT day FROM cells)),
@@ -37,7 +37,6 @@ def densify_events(spark, folder):
 
 
 # kind: (SQL over window w, minimum of known values for an answer beyond min_periods)
-_W = "OVER w"
 ROLLING = {
     "mean": ("avg(v) OVER w", {}),
     "sum": ("sum(v) OVER w", {}),
@@ -88,8 +87,10 @@ def rolling5_centered(spark, folder):
 
 def _cumulative_entry(op: str, expression: str) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        cells = sparse(spark, folder).withColumn("v", F.col("v") / 3000 if op == "prod" else F.col("v"))
+        cells = sparse(spark, folder).withColumn("v", F.col("v") / 200 if op == "prod" else F.col("v"))
         result = series.cumulative(cells, BY, "day", {"v": "c"}, op)
+        if op == "prod":
+            result = result.withColumn("c", F.ln("c"))
         return rounded(result, 4, "c").select("event_type", "day", "c")
 
     return Entry(
@@ -100,7 +101,7 @@ def _cumulative_entry(op: str, expression: str) -> Entry:
 
 
 for _op, _expression in {
-    "sum": "sum(v) OVER w", "min": "min(v) OVER w", "max": "max(v) OVER w", "prod": "product(v / 3000) OVER w",
+    "sum": "sum(v) OVER w", "min": "min(v) OVER w", "max": "max(v) OVER w", "prod": "ln(product(v / 200) OVER w)",
 }.items():
     ENTRIES[f"cum_event_{_op}"] = _cumulative_entry(_op, _expression)
 
@@ -156,7 +157,7 @@ def compare_columns(spark, folder):
 
 # ---- resampling: six-hour cells with gaps, and irregular times -----------------------------
 
-_THIN = "event_id % 97 < 9 AND event_type IN ('click', 'view')"
+_THIN = "value > 90 AND event_type IN ('click', 'view')"
 _POINTS = f"""points AS (SELECT event_type, date_trunc('hour', ts) AS t, sum(value) AS v FROM events WHERE {_THIN} GROUP BY 1, 2)"""
 _GRID6 = """grid AS (SELECT s.event_type, g.t, row_number() OVER (PARTITION BY s.event_type ORDER BY g.t) AS p FROM
   (SELECT DISTINCT event_type FROM points) s CROSS JOIN (SELECT unnest(generate_series(
@@ -169,10 +170,10 @@ def points(spark: SparkSession, folder: str) -> DataFrame:
     return events.groupBy("event_type", time_bucket("ts", "PT1H").alias("t")).agg(F.sum("value").alias("v"))
 
 
-def _resample_entry(method: str, sql: str, fill: float | None = None) -> Entry:
+def _resample_entry(method: str, sql: str, fill: float | None = None, digits: int = 4) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         out = series.resample(points(spark, folder), BY, "t", ["v"], "PT6H", method, fill)
-        return rounded(out, 4, "v").select("event_type", "t", "v")
+        return rounded(out, digits, "v").select("event_type", "t", "v")
 
     return Entry(run, sql)
 
@@ -199,14 +200,15 @@ ENTRIES["resample_6h_linear"] = _resample_entry(
           WINDOW a AS (PARTITION BY event_type ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
                  b AS (PARTITION BY event_type ORDER BY p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
         SELECT event_type, t, round(CASE WHEN v IS NOT NULL THEN v WHEN p1 IS NULL THEN v0
-          ELSE v0 + (v1 - v0) * (p - p0) / (p1 - p0) END, 4) AS v FROM k""",
+          ELSE v0 + (v1 - v0) * (p - p0) / (p1 - p0) END, 6) AS v FROM k""",
+    digits=6,
 )
 
 
 def _down_entry(method: str, expression: str) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         out = series.resample(points(spark, folder), BY, "t", ["v"], "P1D", method)
-        return rounded(out, 4, "v").select("event_type", "t", "v")
+        return rounded(out, 6, "v").select("event_type", "t", "v")
 
     return Entry(
         run,
@@ -214,7 +216,7 @@ def _down_entry(method: str, expression: str) -> Entry:
               (SELECT unnest(generate_series((SELECT CAST(date_trunc('day', min(t)) AS TIMESTAMP) FROM points),
                (SELECT CAST(date_trunc('day', max(t)) AS TIMESTAMP) FROM points), INTERVAL 1 DAY)) AS t) g),
             b AS (SELECT event_type, CAST(date_trunc('day', t) AS TIMESTAMP) AS t, {expression} AS v FROM points GROUP BY 1, 2)
-            SELECT g.event_type, g.t, round({'coalesce(b.v, 0)' if method == 'sum' else 'b.v'}, 4) AS v
+            SELECT g.event_type, g.t, round({'coalesce(b.v, 0)' if method == 'sum' else 'b.v'}, 6) AS v
             FROM grid g LEFT JOIN b ON b.event_type = g.event_type AND b.t = g.t""",
     )
 
@@ -225,19 +227,19 @@ for _method, _expression in {"sum": "sum(v)", "mean": "avg(v)", "median": "media
 
 @R.add(
     "align_two_series",
-    f"""WITH a AS (SELECT date_trunc('hour', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'click' AND event_id % 97 < 20 GROUP BY 1),
-       b AS (SELECT date_trunc('minute', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'view' AND event_id % 97 < 9 GROUP BY 1),
+    f"""WITH a AS (SELECT date_trunc('hour', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'click' AND value > 75 GROUP BY 1),
+       b AS (SELECT date_trunc('minute', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'view' AND value > 90 GROUP BY 1),
        n AS (SELECT a.t, a.v, (SELECT max(t) FROM b WHERE b.t <= a.t) AS t0, (SELECT min(t) FROM b WHERE b.t >= a.t) AS t1 FROM a)
        SELECT n.t, round(n.v, 4) AS v, round(CASE WHEN n.t1 IS NULL THEN x.v WHEN n.t0 = n.t1 THEN x.v
-         ELSE x.v + (y.v - x.v) * (epoch_us(n.t) - epoch_us(n.t0)) / (epoch_us(n.t1) - epoch_us(n.t0)) END, 4) AS v__other
+         ELSE x.v + (y.v - x.v) * (epoch_us(n.t) - epoch_us(n.t0)) / (epoch_us(n.t1) - epoch_us(n.t0)) END, 6) AS v__other
        FROM n LEFT JOIN b x ON x.t = n.t0 LEFT JOIN b y ON y.t = n.t1""",
 )
 def align_two_series(spark, folder):
     events = table(spark, folder, "events")
-    clicks = events.where("event_type = 'click' AND event_id % 97 < 20").groupBy(time_bucket("ts", "PT1H").alias("t"))
-    views = events.where("event_type = 'view' AND event_id % 97 < 9").groupBy(time_bucket("ts", "PT1M").alias("t"))
+    clicks = events.where("event_type = 'click' AND value > 75").groupBy(time_bucket("ts", "PT1H").alias("t"))
+    views = events.where("event_type = 'view' AND value > 90").groupBy(time_bucket("ts", "PT1M").alias("t"))
     aligned = series.align_series(clicks.agg(F.sum("value").alias("v")), views.agg(F.sum("value").alias("v")), "t", "v")
-    return rounded(aligned, 4, "v", "v__other")
+    return rounded(rounded(aligned, 4, "v"), 6, "v__other")
 
 
 @R.add(
