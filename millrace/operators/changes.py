@@ -55,18 +55,26 @@ def merge_changes(
     ignored, any other unmatched change inserts. With ``ts`` (ST5) a change older than the stored
     row loses; both sides then carry that column.
     """
-    columns = target.columns
-    kept = source.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *([F.col(ts).alias("__ts")] if ts else []))
-    same = _same_key(target, kept, keys)
-    if ts:
-        same = same & (kept["__ts"] >= target[ts])
-    untouched = target.join(kept, same, "left_anti")
-    incoming = source.where(F.col(op) != DELETE).select(*columns)
-    if ts:
-        stored = target.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(ts).alias("__ts"))
-        older = _same_key(incoming, stored, keys) & (stored["__ts"] > incoming[ts])
-        incoming = incoming.join(stored, older, "left_anti")
-    return untouched.unionByName(incoming)
+    fresh = without_stale(target, source, keys, ts) if ts else source
+    untouched = without_keys(target, fresh, keys)
+    return untouched.unionByName(fresh.where(F.col(op) != DELETE).select(*target.columns))
+
+
+def without_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` whose key is not in ``source``.
+
+    The change side is the build side: while it is small the target is filtered where it lies.
+    """
+    named = source.select(*[F.col(k).alias(f"__k_{k}") for k in keys])
+    return target.join(named, _same_key(target, named, keys), "left_anti")
+
+
+def without_stale(target: DataFrame, source: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Rows of ``source`` that are not older than the stored row of their key."""
+    named = source.select(*[F.col(k).alias(f"__k_{k}") for k in keys], F.col(ts).alias("__ts"))
+    newer = _same_key(target, named, keys) & (target[ts] > named["__ts"])
+    # stored rows that win: at most one per change, so the second join is small on both sides
+    return without_keys(source, target.join(named, newer, "left_semi").select(*keys), keys)
 
 
 def replay(

@@ -69,6 +69,17 @@ def widen(
     return wide.select(*[F.col(f"__i{i}").alias(c) for i, c in enumerate(index)], *[c for _, _, c in out])
 
 
+# Operators whose totals can be taken from folded cells, and by what.
+_REFOLD_OPERATORS = {
+    "sum": "sum", "nansum": "sum", "count": "sum", "count_nonzero": "sum",
+    "min": "min", "nanmin": "min", "max": "max", "nanmax": "max",
+}
+
+
+def _operator(spec: tuple | Mapping[str, object]) -> object:
+    return spec.get("operator") if isinstance(spec, Mapping) else spec[1]
+
+
 def pivot(
     df: DataFrame,
     index: Sequence[str],
@@ -100,9 +111,15 @@ def pivot(
     if margins:
         totals = [F.lit(margin_name), *[F.lit("")] * (len(index) - 1)]
         long = long.withColumns({c: F.col(c).cast("string") for c in index})
-        by_row = aggregate(labelled, index, aggs).withColumn(LABEL, F.lit(margin_name))
-        by_col = aggregate(labelled, [LABEL], aggs).select(*[t.alias(c) for t, c in zip(totals, index)], LABEL, *metrics)
-        whole = aggregate(labelled, [], aggs).select(
+        operators = {m: _operator(spec) for m, spec in aggs.items()}
+        if all(op in _REFOLD_OPERATORS for op in operators.values()):
+            # totals of the folded cells are the totals of the rows
+            source, again = long, {m: (m, _REFOLD_OPERATORS[op]) for m, op in operators.items()}
+        else:
+            source, again = labelled, aggs
+        by_row = aggregate(source, index, again).withColumn(LABEL, F.lit(margin_name))
+        by_col = aggregate(source, [LABEL], again).select(*[t.alias(c) for t, c in zip(totals, index)], LABEL, *metrics)
+        whole = aggregate(source, [], again).select(
             *[t.alias(c) for t, c in zip(totals, index)], F.lit(margin_name).alias(LABEL), *metrics
         )
         parts = [long, by_row.withColumns({c: F.col(c).cast("string") for c in index}), by_col, whole]
@@ -166,6 +183,19 @@ def _cell_value(name: str, value: str, other: str | None) -> Column:
     raise QueryError(f"unknown pivot aggregator: {name}")
 
 
+def cell_columns(df: DataFrame, name: str, values: Sequence[str], other: str | None = None) -> list[Column]:
+    """The built-in aggregates behind one aggregator (all but Median)."""
+    if name not in ("First", "Last"):
+        return [_cell_value(name, v, other).alias(v) for v in values]
+    pick = F.min_by if name == "First" else F.max_by
+    kinds = dict(df.dtypes)
+
+    def natural(v: str) -> Column:
+        return natural_key(v) if kinds[v] == "string" else F.col(v)
+
+    return [pick(F.col(v), F.struct(natural(v), F.col(v))).alias(v) for v in values]
+
+
 def cell_aggregate(
     df: DataFrame, groups: Sequence[str], name: str, values: Sequence[str], other: str | None = None
 ) -> DataFrame:
@@ -175,20 +205,7 @@ def cell_aggregate(
     groups = list(groups)
     if name == "Median":
         return aggregate(df, groups, {v: (v, "median") for v in values})
-    if name in ("First", "Last"):
-        pick = F.min_by if name == "First" else F.max_by
-        kinds = dict(df.dtypes)
-
-        def natural(v: str) -> Column:
-            return natural_key(v) if kinds[v] == "string" else F.col(v)
-
-        return df.groupBy(*groups).agg(
-            *[pick(F.col(v), F.struct(natural(v), F.col(v))).alias(v) for v in values]
-        )
-    if name == "List Unique Values":
-        # repeated values are folded away before anything is gathered
-        df = df.select(*groups, *values).distinct()
-    return df.groupBy(*groups).agg(*[_cell_value(name, v, other).alias(v) for v in values])
+    return df.groupBy(*groups).agg(*cell_columns(df, name, values, other))
 
 
 def pivot_cells(
@@ -221,16 +238,18 @@ def pivot_levels(
     row_prefixes = range(len(rows) + 1) if row_prefixes is None else row_prefixes
     col_prefixes = range(len(cols) + 1) if col_prefixes is None else col_prefixes
     groups = [*rows, *cols]
-    if agg in _REFOLD:
-        folded = cell_aggregate(df, groups, agg, metrics)
+    if agg != "Median" and groups:
         sets = [[*rows[:i], *cols[:j]] for i in row_prefixes for j in col_prefixes]
 
         def depth(names: Sequence[str]) -> Column:
             return reduce(lambda a, b: a + b, [1 - F.grouping(c).cast("int") for c in names], F.lit(0))
 
-        return folded.groupingSets(sets, *groups).agg(
-            depth(rows).alias("row_depth"), depth(cols).alias("col_depth"), *[_REFOLD[agg](m).alias(m) for m in metrics]
-        )
+        if agg in _REFOLD:
+            df, values = cell_aggregate(df, groups, agg, metrics), [_REFOLD[agg](m).alias(m) for m in metrics]
+        else:
+            # one scan for all levels; partial aggregates travel, not rows
+            values = cell_columns(df, agg, metrics)
+        return df.groupingSets(sets, *groups).agg(depth(rows).alias("row_depth"), depth(cols).alias("col_depth"), *values)
     parts = []
     for i in row_prefixes:
         for j in col_prefixes:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
-from millrace.functions.grains import shift, time_bucket
+from millrace.functions.grains import normalize_time, shift, time_bucket
 from millrace.functions.timetext import TimeText, offset_of, span
 from millrace.operators.filters import Filter, RowRule, apply_filters, between_times, free_clause, row_predicate
 from millrace.operators.scale import join_null_safe
@@ -73,6 +73,7 @@ class Dataset:
     time_col: str | None = None
     calculated: Mapping[str, str] = field(default_factory=dict)
     metrics: Mapping[str, str] = field(default_factory=dict)
+    time_formats: Mapping[str, str] = field(default_factory=dict)
     offset_hours: int = 0
     fetch_predicate: str | None = None
     rules: Sequence[RowRule] = ()
@@ -82,6 +83,8 @@ class Dataset:
         bound = row_predicate(self.rules, role) if role is not None else None
         if bound is not None:
             df = df.where(bound)
+        for column, fmt in self.time_formats.items():
+            df = normalize_time(df, column, fmt)
         return df.withColumns({k: F.expr(v) for k, v in self.calculated.items()}) if self.calculated else df
 
 
@@ -234,7 +237,10 @@ def group_query(spec: QuerySpec, since: datetime | None, until: datetime | None)
         result = result.offset(spec.row_offset)
     if spec.row_limit:
         result = result.limit(spec.row_limit)
-    return result.select(*names, *[m.label for m in metrics])
+    result = result.select(*names, *[m.label for m in metrics])
+    if spec.dataset.offset_hours and TIME_LABEL in names:
+        result = result.withColumn(TIME_LABEL, shift(TIME_LABEL, "hour", spec.dataset.offset_hours))
+    return result
 
 
 def time_offset_join(spec: QuerySpec, offsets: Sequence[str]) -> DataFrame:
@@ -266,12 +272,15 @@ def time_offset_join(spec: QuerySpec, offsets: Sequence[str]) -> DataFrame:
             filters=[f for f in spec.filters if f.col != axis],
         )
         other = group_query(moved, since + span(unit, amount), until + span(unit, amount))
-        other = other.withColumn(axis, shift(axis, "month" if unit == "quarter" else unit, -amount * (3 if unit == "quarter" else 1)))
-        other = other.withColumnsRenamed({m: f"{m}{OFFSET_SEPARATOR}{offset}" for m in metrics})
-        # month ends may fold onto one date after the shift; keep the join one-to-one
-        other = other.groupBy(*keys).agg(
-            *[F.sum(f"{m}{OFFSET_SEPARATOR}{offset}").alias(f"{m}{OFFSET_SEPARATOR}{offset}") for m in metrics]
+        other = other.withColumns(
+            {"__from": F.col(axis), axis: shift(axis, "month" if unit == "quarter" else unit, -amount * (3 if unit == "quarter" else 1))}
         )
+        names = {m: f"{m}{OFFSET_SEPARATOR}{offset}" for m in metrics}
+        if unit in ("month", "quarter", "year") and spec.grain not in ("P1M", "P3M", "P1Y"):
+            # month ends may fold onto one date: the day of the same number wins, one row per key
+            other = other.groupBy(*keys).agg(*[F.min_by(m, "__from").alias(n) for m, n in names.items()])
+        else:
+            other = other.drop("__from").withColumnsRenamed(names)
         result = join_null_safe(result, other, keys, "left")
     return result
 

@@ -29,7 +29,7 @@ def split_points(df: DataFrame, col: str, pieces: int | None = None) -> list:
     """
     pieces = pieces or chunk_count(df.sparkSession)
     probs = [i / pieces for i in range(1, pieces)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10_000)).first()
+    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, max(1_000, 10 * pieces))).first()
     return sorted(set(row[0] or []))
 
 

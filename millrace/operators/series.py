@@ -47,8 +47,17 @@ def densify(df: DataFrame, series: Sequence[str], time: str, position: bool = Fa
 def _positioned(df: DataFrame, series: Sequence[str], time: str, dense: bool) -> DataFrame:
     if dense:
         return densify(df, series, time, position=True)
-    order = W.partitionBy(*(series or [F.lit(0)])).orderBy(time)
-    return df.withColumn(POS, F.row_number().over(order) - 1)
+    # each series keeps its own rows: place on the shared axis picks a piece, rows are numbered
+    # inside it, and the pieces before it are added up
+    axis = df.agg(_observed(time).alias("__axis")).select(F.posexplode("__axis").alias("__place", time))
+    pieces = join_null_safe(df, axis, [time], "inner").withColumn("__piece", F.floor(F.col("__place") / CHUNK))
+    sizes = pieces.groupBy(*series, "__piece").agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = W.partitionBy(*(series or [F.lit(0)])).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.select(*series, "__piece", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
+    inside = F.row_number().over(W.partitionBy(*series, "__piece").orderBy("__place"))
+    numbered = join_null_safe(pieces.withColumn("__row", inside), sizes, [*series, "__piece"], "left")
+    place = (F.col("__before") + F.col("__row") - 1).alias(POS)
+    return numbered.select(*df.columns, place)
 
 
 def _near(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import QueryError
-from millrace.operators.scale import bounded_broadcast, join_null_safe, quantile_columns, ranked_counts
+from millrace.operators.scale import join_null_safe, quantile_columns, ranked_counts
 
 
 def _whiskers(whisker: str, percentiles: Sequence[float] | None) -> dict[str, tuple[float, str]]:
@@ -176,7 +176,7 @@ def normalize_cells(df: DataFrame, x: str, y: str, v: str, across: str = "heatma
 def pair_with_control(df: DataFrame, time: str, group: str, value: str, control: object) -> DataFrame:
     """J12: each group's value beside the control group's value at the same time."""
     base = df.where(F.col(group) == F.lit(control)).select(time, F.col(value).alias("control_value"))
-    return join_null_safe(df.where(F.col(group) != F.lit(control)), bounded_broadcast(base), [time], "inner")
+    return join_null_safe(df.where(F.col(group) != F.lit(control)), base, [time], "inner")
 
 
 def _beta_tail(a: float, b: float, x: float) -> float:

@@ -658,16 +658,18 @@ def in_listed_groups(spark, folder):
 
 @R.add(
     "country_lookup",
-    """SELECT c_custkey, n_name AS country, CASE WHEN n_nationkey < 20 THEN 'N' || CAST(n_nationkey AS VARCHAR) ELSE 'XXX' END AS cca3
-       FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey""",
+    """SELECT c_custkey, n_name AS country, CASE WHEN n_nationkey IS NOT NULL THEN 'N' || CAST(n_nationkey AS VARCHAR) ELSE 'XXX' END AS cca3
+       FROM customer LEFT JOIN nation ON CASE WHEN c_acctbal < 0 THEN 99 ELSE c_nationkey END = n_nationkey""",
 )
 def country_lookup(spark, folder):
-    nation = table(spark, folder, "nation").where("n_nationkey < 20")
+    nation = table(spark, folder, "nation")
     dimension = nation.select(
         F.col("n_nationkey").alias("cioc"), F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("cca3"),
         F.col("n_name").alias("name"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lng"),
     )
-    found = joins.lookup_country(table(spark, folder, "customer"), "c_nationkey", dimension, "cioc")
+    # customers in debt carry a code no country has
+    coded = table(spark, folder, "customer").withColumn("code", F.expr("CASE WHEN c_acctbal < 0 THEN 99 ELSE c_nationkey END"))
+    found = joins.lookup_country(coded, "code", dimension, "cioc")
     return found.select("c_custkey", "country", "cca3")
 
 

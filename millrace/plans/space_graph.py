@@ -113,8 +113,9 @@ def flows(spark: SparkSession, folder: str) -> DataFrame:
     heads = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     buyers = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     owners = heads.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
-    joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(owners, F.col("l_orderkey") == F.col("o_orderkey"))
-    pairs = joined.groupBy("s_nationkey", "c_nationkey").agg(F.sum("l_extendedprice").alias("value"))
+    sold = lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "c_nationkey")
+    joined = sold.agg(F.sum("l_extendedprice").alias("v")).join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    pairs = joined.groupBy("s_nationkey", "c_nationkey").agg(F.sum("v").alias("value"))
     nation = table(spark, folder, "nation")
     source = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("source"))
     target = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("target"))

@@ -47,8 +47,8 @@ def load_csv(
 ) -> DataFrame:
     """SC11: delimited text (also gzip). Columns load as text unless ``types`` declares them.
 
-    The header is read from the first file. ``skip_rows`` lines above it and the header itself
-    are left out wherever they recur; lines are split over tasks as usual.
+    The header is read from the first file; every file has it, below ``skip_rows`` other lines.
+    Files are split over tasks as usual.
     """
     paths = [path] if isinstance(path, str) else list(path)
     for declared in (types or {}).values():
@@ -69,7 +69,17 @@ def load_csv(
     if skip_rows:
         fields = ", ".join(f"{f.name} string" for f in schema.fields)
         options = {"sep": sep, "ignoreLeadingWhiteSpace": str(skip_initial_space).lower()}
-        lines = spark.read.text(paths).where(~F.col("value").isin([r[0] for r in head]) & (F.trim("value") != ""))
+        lines = spark.read.text(paths).select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+        # a file's first block starts with its preamble; later blocks hold data only
+        firsts = lines.where("start = 0").groupBy(F.col("file").alias("f")).agg(F.min("row").alias("first"))
+        lines = lines.join(firsts, F.col("file") == F.col("f"), "left")
+        data = (F.col("start") > 0) | (F.col("row") - F.col("first") > skip_rows)
+        lines = lines.where(data & (F.trim("value") != "")).select("value")
         df = lines.select(F.from_csv("value", F.lit(fields), options).alias("r")).select("r.*")
     else:
         df = reader.csv(paths)

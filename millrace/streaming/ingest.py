@@ -18,10 +18,18 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.errors import QueryError
 from millrace.functions.grains import epoch_to_ts
-from millrace.operators.changes import DELETE, change_history, flatten_change, latest_by_key
+from millrace.operators.changes import (
+    DELETE,
+    change_history,
+    flatten_change,
+    latest_by_key,
+    without_keys,
+    without_stale,
+)
 from millrace.sources.paths import finished_numbers
 
 META = ("_op", "_ts_ms", "_offset")
+DATE_PARTS = ("year", "month", "day")
 
 
 @dataclass(frozen=True)
@@ -62,8 +70,12 @@ class KeyedTable:
             raise QueryError(f"no finished epoch under {self.path}")
         if log is None:
             return base
-        every = log if base is None else base.unionByName(log, allowMissingColumns=True)
-        return latest_by_key(every, self.keys, self.order)
+        recent = latest_by_key(log, self.keys, self.order)
+        if base is None:
+            return recent
+        # the snapshot is filtered in place by the few recent keys instead of being shuffled
+        fresh = without_stale(base, recent, self.keys, "_ts_ms")
+        return without_keys(base, fresh, self.keys).unionByName(fresh, allowMissingColumns=True)
 
     def state(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """The table now, or as of a version: rows only, no bookkeeping columns."""
@@ -90,7 +102,12 @@ class KeyedTable:
         latest = self._latest(spark, epochs[-1])
         if keep_tombstones_after_ms is not None:
             latest = latest.where((F.col("_op") != DELETE) | (F.col("_ts_ms") > keep_tombstones_after_ms))
-        latest.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/state/version={epochs[-1]}")
+        target = f"{self.path}/state/version={epochs[-1]}"
+        if self.time_col:
+            # readers of a day prune to its folder; tombstones share the folder without a date
+            latest.hint("rebalance", *DATE_PARTS).write.mode("overwrite").partitionBy(*DATE_PARTS).parquet(target)
+        else:
+            latest.hint("rebalance").write.mode("overwrite").parquet(target)
         return epochs[-1]
 
 
@@ -109,14 +126,21 @@ def to_changes(decoded: DataFrame, table: KeyedTable, offset: str = "offset") ->
     return flat
 
 
-def apply_batch(table: KeyedTable, decode: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """ST3: the ``foreachBatch`` body of one table. Errors stop the query; nothing is swallowed."""
+def apply_batch(
+    table: KeyedTable, decode: Callable[[DataFrame], DataFrame] | None = None, fold_every: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """ST3: the ``foreachBatch`` body of one table. Errors stop the query; nothing is swallowed.
+
+    ``fold_every`` writes a snapshot after every so many epochs.
+    """
 
     def body(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
         decoded = decode(batch) if decode else batch
         table.write_epoch(to_changes(decoded, table), epoch)
+        if fold_every and (epoch + 1) % fold_every == 0:
+            table.fold(batch.sparkSession)
 
     return body
 
@@ -127,6 +151,7 @@ def start_ingest(
     checkpoints: str,
     interval: str | None = "60 seconds",
     decoders: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+    fold_every: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """ST1, ST2: one independent query per table with its own checkpoint folder.
 
@@ -139,7 +164,7 @@ def start_ingest(
     for name, feed in feeds.items():
         writer = feed.writeStream.queryName(name).option("checkpointLocation", f"{checkpoints}/{name}")
         writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
-        started[name] = writer.foreachBatch(apply_batch(tables[name], (decoders or {}).get(name))).start()
+        started[name] = writer.foreachBatch(apply_batch(tables[name], (decoders or {}).get(name), fold_every)).start()
     return started
 
 

@@ -172,3 +172,21 @@ def test_tables(spark):
         tables.save_table(df, "x", "merge")
     with pytest.raises(QueryError):
         tables.create_table_as(df, "x", kind="INDEX")
+
+
+def test_csv_keeps_a_row_that_repeats_the_header(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.csv").write_text("made by hand\nid,name\n1,x\nid,name\n")
+    out = files.load_csv(spark, str(tmp_path), skip_rows=1)
+    assert sorted(tuple(r) for r in out.collect()) == [("1", "x"), ("1", "x"), ("id", "name"), ("id", "name")]
+
+
+def test_snapshots_by_day_and_automatic_folds(spark, tmp_path):
+    log = make_log(21, n=50)
+    table = ingest.KeyedTable(str(tmp_path / "t"), ["id"], "created_at")
+    body = ingest.apply_batch(table, fold_every=2)
+    for epoch, start in enumerate(range(0, 50, 10)):
+        body(spark.createDataFrame(log[start : start + 10], FEED), epoch)
+    assert [p.name for p in sorted((tmp_path / "t" / "state").iterdir())] == ["version=1", "version=3"]
+    assert list((tmp_path / "t" / "state" / "version=3").glob("year=*/month=*/day=*"))
+    assert state_of(table, spark) == truth(log)

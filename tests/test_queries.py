@@ -190,3 +190,10 @@ def test_filters_reach_the_scan(spark):
     kept = filters.apply_filters(orders, [Filter("o_orderdate", "TEMPORAL_RANGE", (datetime(1998, 1, 1), None))])
     plan = kept.select("o_orderkey").where(F.col("o_orderkey") > 5)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_dataset_time_formats_and_offset(spark):
+    df = spark.createDataFrame([(3600, 1.0), (7200, 2.0)], "at long, v double")
+    dataset = Dataset(df, time_col="at", time_formats={"at": "epoch_s"}, offset_hours=2)
+    spec = QuerySpec(dataset, metrics=[Metric("v", "v", "SUM")], is_timeseries=True, grain="PT1H", since=datetime(1970, 1, 1, 2))
+    assert rows(run_query(spec)) == [(datetime(1970, 1, 1, 4), 2.0)]

@@ -186,3 +186,11 @@ def test_fill_neighbor(spark):
     rows = [("s", DAY + timedelta(days=i), v) for i, v in enumerate([None, None, 1.0, None, None])]
     out = series.fill_neighbor(spark.createDataFrame(rows, "s string, t timestamp_ntz, v double"), ["s"], "t", "v", 0.0)
     assert [r["v"] for r in out.orderBy("t").collect()] == [None, 0.0, 1.0, 0.0, None]
+
+
+def test_own_rows_without_the_grid(frame, chunk):
+    mine = series.rolling(frame, ["s"], "t", {"v": "r"}, "mean", 4, 1, dense=False, drop_warmup=False).toPandas()
+    pdf = pd.DataFrame(ROWS, columns=["s", "t", "v"]).sort_values(["s", "t"])
+    pdf["r"] = pdf.groupby("s")["v"].transform(lambda v: v.astype(float).rolling(4, min_periods=1).mean())
+    mine = mine.sort_values(["s", "t"]).reset_index(drop=True)
+    pd.testing.assert_series_equal(mine["r"].astype(float), pdf["r"].reset_index(drop=True), atol=1e-9)
