@@ -69,10 +69,13 @@ def dense_matrix(edges: DataFrame, source: str, target: str, value: str, cap: in
 
     A pivot over the checked node list; no pairs are generated. Larger graphs keep ``sankey_links``.
     """
-    names = pivot_values(nodes(edges, source, target).withColumnRenamed("node", "n"), "n", cap)
-    links = _links(edges, source, target, value)
+    folded = edges.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum(value).alias("value"))
+    folded = cut_lineage(folded)
+    every = nodes(folded, "source", "target")
+    names = pivot_values(every, "node", cap)
+    links = _links(folded, "source", "target", "value")
     # every node gets a row, also those without an outgoing link
-    own = nodes(edges, source, target).select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("value"))
+    own = every.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("value"))
     both = links.select("source", "target", F.col("value").cast("double").alias("value")).unionByName(own)
     wide = both.groupBy("source").pivot("target", names).agg(F.sum("value"))
     return wide.fillna(0.0, subset=[c for c in wide.columns if c != "source"])

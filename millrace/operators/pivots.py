@@ -12,6 +12,7 @@ from millrace.errors import QueryError
 from millrace.functions.text import LABEL_SEPARATOR, NULL_LABEL, escape_label, natural_key
 from millrace.operators.aggregates import aggregate, contribution, null_label
 from millrace.operators.scale import PIVOT_COLUMNS, join_null_safe
+from millrace.session import cut_lineage
 
 LABEL = "__label"
 
@@ -46,7 +47,11 @@ def widen(
     combine: bool = False,
     cap: int = PIVOT_COLUMNS,
 ) -> DataFrame:
-    """(index, label, metrics) rows to one column per label and metric."""
+    """(index, label, metrics) rows to one column per label and metric.
+
+    The folded cells are settled once: the label list and the table both read them.
+    """
+    long = cut_lineage(long)
     labels = _known_labels(long, metrics, cap)
     values = [r[LABEL] for r in labels]
     # index columns go by place while wide: a label may spell the same as an index name

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from millrace.errors import QueryError
 from millrace.functions.grains import CALENDAR_GRAINS, SECOND_GRAINS, WEEK_GRAINS, ntz, shift, time_bucket, truncate
 from millrace.operators.scale import join_null_safe
+from millrace.session import cut_lineage
 
 POS = "__pos"
 CHUNK = 100_000
@@ -38,7 +39,11 @@ def _observed(time: str) -> Column:
 
 
 def densify(df: DataFrame, series: Sequence[str], time: str, position: bool = False) -> DataFrame:
-    """WN15: every observed series at every observed time; missing cells are null."""
+    """WN15: every observed series at every observed time; missing cells are null.
+
+    The folded frame is settled once: axis, series and cells all read it.
+    """
+    df = cut_lineage(df)
     grid = _on_axis(df, series, _observed(time), time)
     dense = join_null_safe(grid, df, [*series, time], "left")
     return dense if position else dense.drop(POS)
@@ -47,6 +52,7 @@ def densify(df: DataFrame, series: Sequence[str], time: str, position: bool = Fa
 def _positioned(df: DataFrame, series: Sequence[str], time: str, dense: bool) -> DataFrame:
     if dense:
         return densify(df, series, time, position=True)
+    df = cut_lineage(df)
     # each series keeps its own rows: place on the shared axis picks a piece, rows are numbered
     # inside it, and the pieces before it are added up
     axis = df.agg(_observed(time).alias("__axis")).select(F.posexplode("__axis").alias("__place", time))
@@ -305,6 +311,7 @@ def resample(
     """WN7: values on a regular grid from the first to the last bucket of the whole frame."""
     if method not in RESAMPLE_METHODS:
         raise QueryError(f"resample method should be one of {', '.join(RESAMPLE_METHODS)}")
+    df = cut_lineage(df)
     if method in ("mean", "median", "sum"):
         take = {"mean": F.avg, "sum": F.sum, "median": lambda c: F.percentile(c, F.lit(0.5))}[method]
         grid = _on_axis(df, series, _regular(time, grain), time).drop(POS)
@@ -399,6 +406,7 @@ def time_compare(
 
 def period_overlay(df: DataFrame, time: str, value: str, unit: str) -> DataFrame:
     """WN8: periods laid over the latest one: series ``current``, ``-1``, ``-2`` …"""
+    df = cut_lineage(df)
     anchored = df.withColumn("__anchor", truncate(unit, time))
     # one row per period: the ranking never sees the points
     periods = anchored.select("__anchor").distinct()
@@ -420,6 +428,7 @@ def period_overlay(df: DataFrame, time: str, value: str, unit: str) -> DataFrame
 
 def trend_headline(df: DataFrame, time: str, value: str, lag: int, series: Sequence[str] = ()) -> DataFrame:
     """WN9: newest known value, its time, and the change against the row ``lag`` places before the newest."""
+    df = cut_lineage(df)
     newest_first = W.partitionBy(*(series or [F.lit(0)])).orderBy(F.desc(time))
     # rank limit keeps lag + 1 rows per series and task before the shuffle
     recent = df.withColumn("__n", F.row_number().over(newest_first)).where(F.col("__n") <= lag + 1)
@@ -509,7 +518,7 @@ def forecast(
     unit, amount = grain_step(grain)
     keys = list(series)
     x = F.col(POS).cast("double")
-    past = _positioned(df, keys, time, True).withColumn("__y", F.col(value).cast("double"))
+    past = cut_lineage(_positioned(df, keys, time, True)).withColumn("__y", F.col(value).cast("double"))
     season_of = F.pmod(F.col(POS), F.lit(season)) if season else F.lit(0)
     line = past.groupBy(*keys).agg(
         F.regr_slope("__y", x).alias("__b"),

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.errors import QueryError
 from millrace.operators.scale import join_null_safe, quantile_columns, ranked_counts
+from millrace.session import cut_lineage
 
 
 def _whiskers(whisker: str, percentiles: Sequence[float] | None) -> dict[str, tuple[float, str]]:
@@ -160,6 +161,7 @@ def normalize_cells(df: DataFrame, x: str, y: str, v: str, across: str = "heatma
     """AG21: ``perc`` (min-max) and ``rank`` (average-rank percent) per x, per y, or overall."""
     if across not in ("heatmap", x, y):
         raise QueryError(f"cannot normalise across {across}")
+    df = cut_lineage(df.select(x, y, v))
     over = [] if across == "heatmap" else [across]
     if over and len(df.select(across).distinct().take(2)) <= 1:
         over = []
@@ -167,7 +169,7 @@ def normalize_cells(df: DataFrame, x: str, y: str, v: str, across: str = "heatma
         "rank", (F.col("below") + (F.col("n") + 1) / 2) / F.col("total")
     )
     ends = df.groupBy(*over).agg(F.min(v).alias("__lo"), F.max(v).alias("__hi"))
-    cells = join_null_safe(df.select(x, y, v), ends, over, "left")
+    cells = join_null_safe(df, ends, over, "left")
     cells = join_null_safe(cells, ranked.select(*over, v, "rank"), [*over, v], "left")
     perc = F.try_divide((F.col(v) - F.col("__lo")).cast("double"), (F.col("__hi") - F.col("__lo")).cast("double"))
     return cells.select(x, y, v, perc.alias("perc"), "rank")

@@ -18,6 +18,7 @@ def build_session(app: str = "millrace", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update(conf)
     for key, value in settings.items():
@@ -34,6 +35,8 @@ def chunk_count(spark: SparkSession) -> int:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
+    Used between rounds of an iteration, and where a folded frame is read several times: the
+    branches prune different columns, so without it each would fold the raw rows again.
     Only when the cluster names no folder (tests) is a scratch folder set.
     """
     context = df.sparkSession.sparkContext
