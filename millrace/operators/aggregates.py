@@ -51,18 +51,33 @@ def _combine(parts: Sequence[DataFrame], groups: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: join_null_safe(a, b, groups, "left"), parts)
 
 
-def _position(df: DataFrame, groups: Sequence[str], col: str, out: str, op: str, order: str) -> DataFrame:
+def _positions(df: DataFrame, groups: Sequence[str], wanted: Mapping[str, tuple[str, str]], order: str) -> DataFrame:
     """Place (0-based, by ``order``) of the first smallest / largest value of each group.
 
-    Found by an aggregate, then by counting the rows before it: no ordered group in one task.
+    One aggregate finds the rows, a second pass counts what lies before them: no ordered group
+    is ever held by one task. ``order`` is a number, date or timestamp.
     """
-    pick = F.min if op == "argmin" else F.max
-    best = df.where(F.col(col).isNotNull()).groupBy(*groups).agg(pick(col).alias("__best"))
-    hits = join_null_safe(df, best, groups, "inner").where(F.col(col) == F.col("__best"))
-    first = hits.groupBy(*groups).agg(F.min(order).alias("__at"))
-    placed = join_null_safe(df, first, groups, "left")
+    kind = dict(df.dtypes)[order]
+    if kind.startswith("timestamp"):
+        place = F.timestamp_diff("MICROSECOND", ntz(F.lit("1970-01-01")), ntz(order))
+    else:
+        place = F.unix_date(order) if kind == "date" else F.col(order)
+    df = df.withColumn("__o", place)
+    found = []
+    for out, (col, op) in wanted.items():
+        c, o = F.col(col), F.col("__o")
+        known = F.when(c.isNotNull(), o)
+        best = F.min_by(known, F.when(c.isNotNull(), F.struct(c, o))) if op == "argmin" else F.max_by(
+            known, F.when(c.isNotNull(), F.struct(c, -o))
+        )
+        found.append(best.alias(f"__at_{out}"))
+    first = df.groupBy(*groups).agg(*found)
+    placed = join_null_safe(df.select(*groups, "__o"), first, groups, "left")
     return placed.groupBy(*groups).agg(
-        F.when(F.max("__at").isNotNull(), F.count_if(F.col(order) < F.col("__at"))).alias(out)
+        *[
+            F.when(F.max(f"__at_{out}").isNotNull(), F.count_if(F.col("__o") < F.col(f"__at_{out}"))).alias(out)
+            for out in wanted
+        ]
     )
 
 
@@ -78,6 +93,7 @@ def aggregate(
     """
     groupby = list(groupby)
     plain, extra = [], []
+    positions: dict[str, tuple[str, str]] = {}
     quantiles: dict[str, dict[str, tuple[float, str]]] = {}
     if not aggs:
         raise QueryError("no aggregate asked for")
@@ -98,11 +114,13 @@ def aggregate(
         elif op in POSITION:
             if order is None:
                 raise QueryError(f"{op} needs the row order")
-            extra.append(_position(df, groupby, col, out, op, order))
+            positions[out] = (col, op)
         elif op in RUNNING:
             raise QueryError(f"{op} gives one value per row: use cumulative()")
         else:
             raise QueryError(f"unknown aggregate: {op}")
+    if positions:
+        extra.append(_positions(df, groupby, positions, order))
     extra += [group_quantiles(df, groupby, col, wanted) for col, wanted in quantiles.items()]
     if plain:
         base = df.groupBy(*groupby).agg(*plain)

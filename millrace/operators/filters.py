@@ -277,10 +277,10 @@ def ports_of(value: str | int) -> list[int]:
     text = str(value)
     if text.isnumeric():
         if not 1 <= int(text) <= 65535:
-            raise QueryError(f"{text!r} does not appear to be a port name or number")
+            raise QueryError(f"port out of range: {text}")
         return [int(text)]
     if text not in SERVICE_PORTS:
-        raise QueryError(f"{text!r} does not appear to be a port name or number")
+        raise QueryError(f"unknown service: {text}")
     return sorted(SERVICE_PORTS[text])
 
 

@@ -54,14 +54,14 @@ def rename_op(df: DataFrame, mapping: Mapping[str, str | None], level: int | Non
         if missing:
             raise QueryError(f"no such column: {sorted(missing)}")
         if all(new in df.columns for new in mapping.values()):
-            raise QueryError("label already exists")
+            raise QueryError("all the new labels are taken")
         return df.withColumnsRenamed({k: v for k, v in mapping.items() if v is not None})
     parts_of = {c: c.split(", ") for c in df.columns}
     known = {p[level] for p in parts_of.values() if len(p) > level}
     if not set(mapping) <= known:
         raise QueryError(f"no such label: {sorted(set(mapping) - known)}")
     if all(new in known for new in mapping.values()):
-        raise QueryError("label already exists")
+        raise QueryError("all the new labels are taken")
     renames = {}
     for column, parts in parts_of.items():
         if len(parts) > level and parts[level] in mapping and len(parts) > 1:

@@ -10,13 +10,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
 from millrace.functions.grains import normalize_time, shift, time_bucket
 from millrace.functions.timetext import TimeText, offset_of, span
 from millrace.operators.filters import Filter, RowRule, apply_filters, between_times, free_clause, row_predicate
+from millrace.operators.ordering import limit_with_flag
 from millrace.operators.scale import join_null_safe
 
 TIME_LABEL = "__timestamp"
@@ -298,6 +299,19 @@ def run_query(spec: QuerySpec) -> DataFrame:
     return result
 
 
+def run_sql(
+    spark: SparkSession, text: str, args: Mapping[str, object] | None = None, limit: int | None = None
+) -> tuple[DataFrame, bool]:
+    """Free SQL over published tables with named parameters; at most ``limit`` rows and whether more exist."""
+    result = spark.sql(text, args=dict(args or {}))
+    return (result, False) if limit is None else limit_with_flag(result, limit)
+
+
+def publish(dataset: Dataset, name: str, role: str | None = None) -> None:
+    """A dataset, its rules applied, under a name SQL can use as a table."""
+    dataset.frame(role).createOrReplaceTempView(name)
+
+
 def row_count(spec: QuerySpec) -> DataFrame:
     """AG4: rows of the whole query, its limit included."""
     return run_query(spec).agg(F.count(F.lit(1)).alias("rowcount"))

@@ -387,7 +387,7 @@ def time_compare(
     Points before the first and after the last known result are trimmed.
     """
     moved = past.withColumn(time, shift(time, unit, amount))
-    both = align_series(now, moved, time, value, series)
+    both = cut_lineage(align_series(now, moved, time, value, series))
     x, y = F.col(value).cast("double"), F.col(f"{value}__other")
     kinds = {
         "values": y,

@@ -6,6 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.errors import QueryError
+
 
 def build_session(app: str = "millrace", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings every operator assumes (UTC, AQE, no UI)."""
@@ -32,6 +34,15 @@ def chunk_count(spark: SparkSession) -> int:
     return max(8, min(512, 2 * width))
 
 
+def shared_folder(spark: SparkSession) -> str | None:
+    """The cluster's shared folder; None on a local master that names none."""
+    context = spark.sparkContext
+    shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not context.master.startswith("local"):
+        raise QueryError("set spark.checkpoint.dir to a folder all executors share")
+    return shared
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder of ``spark.checkpoint.dir``.
 
@@ -41,8 +52,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="millrace-ckpt-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession) or tempfile.mkdtemp(prefix="millrace-ckpt-"))
     return df.checkpoint(eager=True)

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from millrace.session import shared_folder
+
 
 def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -36,6 +38,5 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder in the cluster's shared checkpoint folder (a local one only where none is set)."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="millrace-")
+    base = shared_folder(spark) or tempfile.mkdtemp(prefix="millrace-")
     return f"{base}/{purpose}-{uuid.uuid4().hex}"

@@ -21,20 +21,23 @@ def write_jdbc(
     df.repartition(writers).write.jdbc(url, table, mode=mode, properties=dict(properties))
 
 
-def save_table(df: DataFrame, name: str, if_exists: str = "fail") -> None:
-    """SC13."""
+def save_table(df: DataFrame, name: str, if_exists: str = "fail", path: str | None = None) -> None:
+    """SC13: a catalogue table, at ``path`` when given."""
     modes = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
     if if_exists not in modes:
         raise QueryError(f"unknown if_exists: {if_exists}")
-    df.write.mode(modes[if_exists]).saveAsTable(name)
+    writer = df.write.mode(modes[if_exists])
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
-def create_table_as(df: DataFrame, name: str, overwrite: bool = False, kind: str = "TABLE") -> None:
+def create_table_as(
+    df: DataFrame, name: str, overwrite: bool = False, kind: str = "TABLE", path: str | None = None
+) -> None:
     """SC14: the result of a query as a table or a view."""
     if kind == "VIEW":
         df.createOrReplaceTempView(name) if overwrite else df.createTempView(name)
     elif kind == "TABLE":
-        save_table(df, name, "replace" if overwrite else "fail")
+        save_table(df, name, "replace" if overwrite else "fail", path)
     else:
         raise QueryError(f"cannot create a {kind}")
 

@@ -169,8 +169,16 @@ def start_ingest(
 
 
 def await_all(queries: Mapping[str, StreamingQuery]) -> None:
-    """Wait for every query; the first failure is raised."""
-    for query in queries.values():
+    """Wait until all have ended; whichever fails first is raised as soon as it does."""
+    running = list(queries.values())
+    manager = SparkSession.active().streams
+    while any(q.isActive for q in running):
+        manager.awaitAnyTermination(60)
+        manager.resetTerminated()
+        for query in running:
+            if not query.isActive and query.exception() is not None:
+                raise query.exception()
+    for query in running:
         query.awaitTermination()
 
 

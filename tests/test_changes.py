@@ -190,3 +190,28 @@ def test_snapshots_by_day_and_automatic_folds(spark, tmp_path):
     assert [p.name for p in sorted((tmp_path / "t" / "state").iterdir())] == ["version=1", "version=3"]
     assert list((tmp_path / "t" / "state" / "version=3").glob("year=*/month=*/day=*"))
     assert state_of(table, spark) == truth(log)
+
+
+def test_saved_tables(spark, tmp_path):
+    df = spark.range(4)
+    tables.save_table(df, "saved_numbers", path=str(tmp_path / "numbers"))
+    with pytest.raises(Exception):
+        tables.save_table(df, "saved_numbers", path=str(tmp_path / "numbers"))
+    tables.create_table_as(spark.range(2), "saved_numbers", overwrite=True, path=str(tmp_path / "numbers"))
+    assert spark.table("saved_numbers").count() == 2
+    spark.sql("DROP TABLE saved_numbers")
+
+
+def test_a_failing_stream_is_reported(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.json").write_text(json.dumps(make_log(1)[0]))
+    stream = feed.read_change_feed(spark, str(folder), FEED)
+
+    def broken(batch):
+        raise RuntimeError("cannot decode")
+
+    table = ingest.KeyedTable(str(tmp_path / "t"), ["id"])
+    started = ingest.start_ingest({"x": stream}, {"x": table}, str(tmp_path / "c"), interval=None, decoders={"x": broken})
+    with pytest.raises(Exception, match="cannot decode"):
+        ingest.await_all(started)

@@ -197,3 +197,20 @@ def test_dataset_time_formats_and_offset(spark):
     dataset = Dataset(df, time_col="at", time_formats={"at": "epoch_s"}, offset_hours=2)
     spec = QuerySpec(dataset, metrics=[Metric("v", "v", "SUM")], is_timeseries=True, grain="PT1H", since=datetime(1970, 1, 1, 2))
     assert rows(run_query(spec)) == [(datetime(1970, 1, 1, 4), 2.0)]
+
+
+def test_published_datasets_and_parameters(spark, sales):
+    from millrace.operators.filters import RowRule
+    from millrace.operators.query import publish, run_sql
+
+    publish(Dataset(sales, rules=[RowRule("v > 5", frozenset({"clerk"}))]), "sales_view", role="clerk")
+    df, more = run_sql(spark, "SELECT c, v FROM sales_view WHERE v < :top", {"top": 9.5}, limit=1)
+    assert more and df.count() == 1
+    assert run_sql(spark, "SELECT count(*) AS n FROM sales_view")[0].first()["n"] == 4
+
+
+def test_positions_of_repeated_extremes(spark):
+    rows_ = [("a", 2.0, 10), ("a", 1.0, 20), ("a", 1.0, 30), ("a", 2.0, 40), ("b", None, 50)]
+    df = spark.createDataFrame(rows_, "g string, v double, o int")
+    out = aggregate(df, ["g"], {"lo": ("v", "argmin"), "hi": ("v", "argmax")}, order="o")
+    assert rows(out) == [("a", 1, 0), ("b", None, None)]
