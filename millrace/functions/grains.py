@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +48,13 @@ def ntz(col: Column | str) -> Column:
     return as_column(col).cast("timestamp_ntz")
 
 
+def moment(value: datetime) -> Column:
+    """A wall-clock literal: independent of the driver's and the session's zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return moment(datetime(1970, 1, 1))
 
 
 def truncate(unit: str, col: Column | str) -> Column:
@@ -114,9 +121,9 @@ def normalize_time(
 
 def add_date_parts(df: DataFrame, col: str) -> DataFrame:
     """PR7: ``year, month, day`` of an epoch-seconds column."""
-    moment = epoch_to_ts(col, "epoch_s")
+    at = epoch_to_ts(col, "epoch_s")
     return df.withColumns(
-        {"year": F.year(moment), "month": F.month(moment), "day": F.dayofmonth(moment)}
+        {"year": F.year(at), "month": F.month(at), "day": F.dayofmonth(at)}
     )
 
 

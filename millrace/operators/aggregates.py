@@ -166,7 +166,7 @@ def percent_metrics(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 def _level(groups: Sequence[str]) -> Column:
     """How many leading group columns a grouping set kept."""
-    return reduce(lambda a, b: a + b, [F.lit(1) - F.grouping(g).cast("int") for g in groups]) if groups else F.lit(0)
+    return reduce(lambda a, b: a + b, [F.lit(1) - F.grouping(g).cast("bigint") for g in groups]) if groups else F.lit(0)
 
 
 def rollup_levels(df: DataFrame, groups: Sequence[str], metrics: Sequence[str], op: str = "sum") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.functions.grains import ntz
+from millrace.functions.grains import moment
 from millrace.errors import QueryError
 
 DELETE = "d"
@@ -92,10 +92,10 @@ def as_of_version(
 
 
 def as_of_time(
-    changes: DataFrame, keys: Sequence[str], moment: datetime, order: Sequence[Column], time_col: str, op: str = "_op"
+    changes: DataFrame, keys: Sequence[str], at: datetime, order: Sequence[Column], time_col: str, op: str = "_op"
 ) -> DataFrame:
     """SC7: the table as it stood at a moment."""
-    return replay(changes.where(F.col(time_col) <= ntz(F.lit(moment))), keys, order, op)
+    return replay(changes.where(F.col(time_col) <= moment(at)), keys, order, op)
 
 
 def change_history(

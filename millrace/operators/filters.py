@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import QueryError
-from millrace.functions.grains import ntz, time_bucket
+from millrace.functions.grains import moment, time_bucket
 from millrace.functions.text import EMPTY_LABEL, NULL_LABEL
 from millrace.functions.timetext import TimeText
 
@@ -69,7 +69,7 @@ def coerce_value(value: object, kind: str, listed: bool) -> object:
 
 
 def _literal(value: object) -> Column:
-    return ntz(F.lit(value)) if isinstance(value, datetime) else F.lit(value)
+    return moment(value) if isinstance(value, datetime) else F.lit(value)
 
 
 def between_times(col: Column, since: datetime | None, until: datetime | None) -> Column:

@@ -410,7 +410,7 @@ def period_overlay(df: DataFrame, time: str, value: str, unit: str) -> DataFrame
     anchored = df.withColumn("__anchor", truncate(unit, time))
     # one row per period: the ranking never sees the points
     periods = anchored.select("__anchor").distinct()
-    ranked = periods.withColumn("rank", F.dense_rank().over(W.orderBy(F.desc("__anchor"))) - 1)
+    ranked = periods.withColumn("rank", (F.dense_rank().over(W.orderBy(F.desc("__anchor"))) - 1).cast("bigint"))
     newest = df.agg(truncate(unit, F.max(time)).alias("m")).scalar()
     most = ranked.agg(F.max("rank")).scalar()
     joined = join_null_safe(anchored, ranked, ["__anchor"], "inner")

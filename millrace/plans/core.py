@@ -603,10 +603,10 @@ def aggregate_positions(spark, folder):
 
 @R.add(
     "aggregate_product",
-    "SELECT event_type, round(sum(ln(1 + value / 1000)), 6) AS log_product FROM events GROUP BY 1",
+    "SELECT event_type, round(sum(ln(1 + value / 1000000)), 6) AS log_product FROM events GROUP BY 1",
 )
 def aggregate_product(spark, folder):
-    events = table(spark, folder, "events").withColumn("f", 1 + F.col("value") / 1000)
+    events = table(spark, folder, "events").withColumn("f", 1 + F.col("value") / 1000000)
     result = aggregate(events, ["event_type"], {"p": ("f", "prod")})
     return result.select("event_type", F.round(F.ln("p"), 6).alias("log_product"))
 

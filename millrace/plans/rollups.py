@@ -105,26 +105,26 @@ l AS (SELECT CASE WHEN grouping(y) = 1 THEN '{total}' ELSE CAST(y AS VARCHAR) EN
   CASE WHEN grouping(y) = 1 THEN '' WHEN grouping(p) = 1 THEN 'Subtotal' ELSE p END AS p,
   CASE WHEN grouping(s) = 1 THEN '{total}' ELSE s END AS s, {agg} AS v FROM g
   GROUP BY GROUPING SETS ((y, p, s), (y, s), (s), (y, p), (y), ()))
-SELECT y, p, """ + ", ".join(f"""round(max(v) FILTER (WHERE s = '{s}'), 4) AS "v, {s}" """ for s in STATUS) + """,
-  round(max(v) FILTER (WHERE s = '{total}'), 4) AS "v, {total}" FROM l GROUP BY 1, 2"""
+SELECT y, p, """ + ", ".join(f"""round(max(v) FILTER (WHERE s = '{s}'), {{digits}}) AS "v, {s}" """ for s in STATUS) + """,
+  round(max(v) FILTER (WHERE s = '{total}'), {digits}) AS "v, {total}" FROM l GROUP BY 1, 2"""
 
 
-def _totals_entry(agg: str, expression: str) -> Entry:
+def _totals_entry(agg: str, expression: str, digits: int) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         frame = orders(spark, folder).select(
             F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("s"),
             F.col("o_totalprice").alias("v"),
         )
         wide = pivots.pivot_table(frame, ["y", "p"], ["s"], ["v"], agg, row_totals=True, col_totals=True)
-        return rounded(wide, 4, *[c for c in wide.columns if c.startswith("v, ")])
+        return rounded(wide, digits, *[c for c in wide.columns if c.startswith("v, ")])
 
-    return Entry(run, _TOTALS.format(total=f"Total ({agg})", agg=expression))
+    return Entry(run, _TOTALS.format(total=f"Total ({agg})", agg=expression, digits=digits))
 
 
-ENTRIES["pivot_totals_all_levels"] = _totals_entry("Sum", "sum(v)")
-ENTRIES["pivot_totals_average"] = _totals_entry("Average", "avg(v)")
-ENTRIES["pivot_totals_maximum"] = _totals_entry("Maximum", "max(v)")
-ENTRIES["pivot_totals_deviation"] = _totals_entry("Sample Standard Deviation", "CASE WHEN count(v) > 1 THEN stddev_samp(v) ELSE 0 END")
+ENTRIES["pivot_totals_all_levels"] = _totals_entry("Sum", "sum(v)", 3)
+ENTRIES["pivot_totals_average"] = _totals_entry("Average", "avg(v)", 6)
+ENTRIES["pivot_totals_maximum"] = _totals_entry("Maximum", "max(v)", 2)
+ENTRIES["pivot_totals_deviation"] = _totals_entry("Sample Standard Deviation", "CASE WHEN count(v) > 1 THEN stddev_samp(v) ELSE 0 END", 6)
 
 
 @R.add(
@@ -364,16 +364,16 @@ _CHARTS = {
 
 
 def _chart_entry(kind: str, groups: list[str], metrics: list[tuple[str, str]]) -> Entry:
-    share = kind in ("pie", "funnel")
+    share, digits = kind in ("pie", "funnel"), 6 if kind == "gauge" else 3
     roles = [r for _, r in metrics]
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         given = metrics[:1] if kind == "sunburst" else metrics
         framed = aggregates.chart_frame(orders(spark, folder), kind, groups, [F.expr(sql) for sql, _ in given])
-        framed = rounded(framed, 6, *roles)
+        framed = rounded(framed, digits, *roles)
         return rounded(framed, 6, "share") if share else framed
 
-    columns = ", ".join(f'round(CAST({sql} AS DOUBLE), 6) AS "{role}"' for sql, role in metrics)
+    columns = ", ".join(f'round(CAST({sql} AS DOUBLE), {digits}) AS "{role}"' for sql, role in metrics)
     extra = ", round(sum(o_totalprice) / sum(sum(o_totalprice)) OVER (), 6) AS share" if share else ""
     return Entry(run, f"SELECT {', '.join(groups)}, {columns}{extra} FROM orders GROUP BY {', '.join(groups)}")
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.grains import time_bucket
+from millrace.functions.grains import moment, time_bucket
 from millrace.operators import aggregates, ordering, pivots, series
 from millrace.operators.query import Dataset, Metric, QuerySpec, run_query
 from millrace.plans.base import Entry, Register, daily, rounded, table
@@ -58,12 +58,12 @@ def _rolling_entry(kind: str, expression: str, options: dict) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         cells = sparse(spark, folder).withColumn("p", F.dayofmonth("day").cast("double"))
         rolled = series.rolling(cells, BY, "day", {"v": "rolled"}, kind, 7, min_periods=4, **options)
-        return rounded(rolled, 4, "rolled").select("event_type", "day", "rolled")
+        return rounded(rolled, 6, "rolled").select("event_type", "day", "rolled")
 
     known = "count(*)" if kind == "count" else "count(v)"
     second = "CASE WHEN v IS NOT NULL THEN dayofmonth(day) END"
     sql = f"""WITH {_CELLS}, d AS (SELECT event_type, day, p AS place, v, {second} AS p FROM dense)
-SELECT event_type, day, round(CASE WHEN known >= 4 THEN r END, 4) AS rolled FROM (
+SELECT event_type, day, round(CASE WHEN known >= 4 THEN r END, 6) AS rolled FROM (
   SELECT event_type, day, place, {expression} AS r, {known} OVER w AS known FROM d
   WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)) WHERE place >= 4"""
     return Entry(run, sql)
@@ -75,14 +75,14 @@ for _kind, (_expression, _options) in ROLLING.items():
 
 @R.add(
     "rolling5_centered",
-    f"""WITH {_CELLS} SELECT event_type, day, round(CASE WHEN count(v) OVER w >= 1 THEN avg(v) OVER w END, 4) AS rolled FROM dense
+    f"""WITH {_CELLS} SELECT event_type, day, round(CASE WHEN count(v) OVER w >= 1 THEN avg(v) OVER w END, 6) AS rolled FROM dense
         WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)""",
 )
 def rolling5_centered(spark, folder):
     rolled = series.rolling(
         sparse(spark, folder), BY, "day", {"v": "rolled"}, "mean", 5, min_periods=1, center=True, drop_warmup=False
     )
-    return rounded(rolled, 4, "rolled").select("event_type", "day", "rolled")
+    return rounded(rolled, 6, "rolled").select("event_type", "day", "rolled")
 
 
 def _cumulative_entry(op: str, expression: str) -> Entry:
@@ -252,8 +252,8 @@ def align_two_series(spark, folder):
 )
 def shifted_week_compare(spark, folder):
     days = daily(table(spark, folder, "events"))
-    now = days.where(F.col("day") >= F.lit(datetime(2024, 1, 15)).cast("timestamp_ntz"))
-    past = days.where(F.col("day") < F.lit(datetime(2024, 1, 20)).cast("timestamp_ntz"))
+    now = days.where(F.col("day") >= moment(datetime(2024, 1, 15)))
+    past = days.where(F.col("day") < moment(datetime(2024, 1, 20)))
     return rounded(series.time_compare(now, past, "day", "v", "day", 7, "percentage"), 4, "change")
 
 

@@ -96,7 +96,7 @@ def main() -> int:
     sf = "0.01"
     if args[:1] == ["-s"]:
         sf, args = args[1], args[2:]
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
+    spark = build_session("oracle", "local[8]", **{"spark.sql.session.timeZone": os.environ.get("ZONE", "UTC"), "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     path = folder(sf)
     con = connection(path)
