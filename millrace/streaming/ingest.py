@@ -170,16 +170,10 @@ def start_ingest(
 
 def await_all(queries: Mapping[str, StreamingQuery]) -> None:
     """Wait until all have ended; whichever fails first is raised as soon as it does."""
-    running = list(queries.values())
-    manager = SparkSession.active().streams
-    while any(q.isActive for q in running):
-        manager.awaitAnyTermination(60)
-        manager.resetTerminated()
-        for query in running:
-            if not query.isActive and query.exception() is not None:
-                raise query.exception()
-    for query in running:
-        query.awaitTermination()
+    waiting = list(queries.values())
+    while waiting:
+        # a failed query raises here; only these queries are looked at
+        waiting = [q for q in waiting if not q.awaitTermination(1)]
 
 
 def stream_grain_metrics(events: DataFrame, time: str, value: str, by: Sequence[str], width: str, watermark: str) -> DataFrame:
