@@ -1,8 +1,9 @@
 """Language identification by the nearest centroid of TF-IDF n-gram vectors.
 
 Letters are lower-cased, everything else is a blank; runs of two and three characters are hashed to ``SLOTS`` numbers,
-weighted by the root of their count and by inverse document frequency, and scaled to length 1. Each language has
-``CENTROIDS`` spherical k-means centroids. The language of the centroid with the largest cosine is predicted and the
+weighted by the root of their count and by inverse document frequency, and scaled to length 1. Learned documents
+nearer to another language's mean than to their own count as mislabelled and are left out (unless none remains). Each
+language then has ``CENTROIDS`` spherical k-means centroids. The language of the centroid with the largest cosine is predicted and the
 cosine is the score. A text is rejected when its cosine falls below ``SLACK`` times the smallest one that a learned
 document of like length (by powers of four) had with its own language; unknown lengths use the nearest known one.
 
@@ -108,9 +109,16 @@ def fit(texts: list[str], languages: list[str]) -> Centroids:
     seen = sum((c > 0).astype(np.int64) for _, c in known)
     idf = np.log((1 + len(known)) / (1 + seen)) + 0.2
     names, centres, floors = [], [], {}
-    for name in sorted({lang for lang, _ in known}):
-        own = [c for lang, c in known if lang == name]
-        vectors = _scaled(np.stack([np.sqrt(c) * idf for c in own]).astype(np.float32))
+    every = _scaled(np.stack([np.sqrt(c) * idf for _, c in known]).astype(np.float32))
+    labels = np.array([lang for lang, _ in known])
+    kinds = sorted(set(labels))
+    means = _scaled(np.stack([every[labels == name].mean(axis=0) for name in kinds]))
+    nearest = np.array(kinds)[(every @ means.T).argmax(axis=1)]
+    for name in kinds:
+        use = (labels == name) & (nearest == name)
+        use = use if use.any() else labels == name
+        own = [c for (_, c), u in zip(known, use) if u]
+        vectors = every[use]
         found = _clustered(vectors, CENTROIDS)
         names += [name] * len(found)
         centres.append(found)

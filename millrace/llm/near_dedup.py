@@ -1,7 +1,7 @@
 """Near duplicates: b-bit MinHash signatures joined by a multi-index over Hamming distance, confirmed on full sets.
 
 A document's set holds its distinct five-word shingles (``shingle_set``). Its signature is ``SYMBOLS`` MinHash
-values cut to 16 bits. The signature is split into ``SYMBOLS / CHUNK`` chunks; a chunk enters the index once for
+values cut to 16 bits, and ``BITS`` values cut to one bit for finer distances. The signature is split into ``SYMBOLS / CHUNK`` chunks; a chunk enters the index once for
 every position left out, so two signatures meet whenever some chunk has at most one differing symbol. By the
 pigeonhole principle that is every pair whose signatures differ in at most ``2 * chunks - 1`` = 19 symbols. A pair
 of similarity 0.75 escapes with probability 1.5e-6 (all ten chunks with two errors or more).
@@ -29,14 +29,15 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bound_batches, settle
 
 SYMBOLS, CHUNK, WORDS = 40, 4, 5
-#: Candidates differing in more symbols than this are not confirmed; at similarity 0.75 the chance of it is 3e-9.
-FARTHEST = 27
+BITS = 512
+#: Candidates that differ in more bits than this are not confirmed; at similarity 0.75 (64 expected) the chance of it is 6e-6.
+FARTHEST = 98
 #: Nodes of documents without an id start here.
 NAMELESS = 1 << 62
 
 _DRAWN = np.random.default_rng(20)
-_FLIP = _DRAWN.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64)
-_TIMES = _DRAWN.integers(0, 1 << 63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _DRAWN.integers(0, 1 << 63, BITS, dtype=np.uint64)
+_TIMES = _DRAWN.integers(0, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -67,13 +68,14 @@ def shingle_set(text: str | None, words: WordHashes) -> np.ndarray:
     return np.unique(shingles)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` 16-bit MinHash symbols of a non-empty set."""
-    least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096, None]
-        least = np.minimum(least, ((part ^ _FLIP) * _TIMES).min(axis=0))
-    return ((least >> np.uint64(12)) & np.uint64(0xFFFF)).astype(np.int32)
+def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a non-empty set: the 16-bit symbols, and the single bits packed into numbers."""
+    least = np.full(BITS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), 512):
+        part = shingles[start : start + 512]
+        least = np.minimum(least, ((part ^ _FLIP[:, None]) * _TIMES[:, None]).min(axis=1))
+    low = least >> np.uint64(12)
+    return (low[:SYMBOLS] & np.uint64(0xFFFF)).astype(np.int32), np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
 def set_name(shingles: np.ndarray) -> bytes:
@@ -84,40 +86,45 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for batch in batches:
         sets = [shingle_set(t, words) for t in batch["text"].to_pylist()]
+        drawn = [signature(s) if len(s) else (None, None) for s in sets]
         yield pa.RecordBatch.from_arrays(
             [
                 batch["doc_id"],
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_name(s) for s in sets], pa.binary()),
-                pa.array([signature(s).tolist() if len(s) else None for s in sets], pa.list_(pa.int32())),
+                pa.array([d[0] for d in drawn], pa.list_(pa.int32())),
+                pa.array([d[1] for d in drawn], pa.list_(pa.int64())),
             ],
-            names=["doc_id", "n_shingles", "set_name", "symbols"],
+            names=["doc_id", "n_shingles", "set_name", "symbols", "bits"],
         )
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_name (a digest of the full set), symbols (null for an empty set)."""
+    """doc_id, n_shingles, set_name (a digest of the full set), symbols and bits (null for an empty set)."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_sketch, "doc_id long, n_shingles long, set_name binary, symbols array<int>")
+    return rows.mapInArrow(_sketch, "doc_id long, n_shingles long, set_name binary, symbols array<int>, bits array<long>")
 
 
-def _index_keys() -> Column:
-    """The entries of a signature in the index: every chunk, every left-out position."""
+def _index_keys(symbols: str = "symbols") -> Column:
+    """The entries of a signature in the index, in order: every chunk, every left-out position."""
     keys = []
     for chunk in range(SYMBOLS // CHUNK):
         for out in range(CHUNK):
-            kept = [F.col("symbols")[chunk * CHUNK + i].cast("long") for i in range(CHUNK) if i != out]
+            kept = [F.col(symbols)[chunk * CHUNK + i].cast("long") for i in range(CHUNK) if i != out]
             key = F.lit(chunk * CHUNK + out).cast("long")
             for symbol in kept:
                 key = F.shiftleft(key, 16).bitwiseOR(symbol)
             keys.append(key)
-    return F.explode(F.array(*keys))
+    return F.array(*keys)
 
 
 def _apart(x: Column, y: Column) -> Column:
-    """In how many symbols two signatures differ."""
-    return F.size(F.filter(F.zip_with(x, y, lambda a, b: a != b), lambda differs: differs))
+    """In how many bits two signatures differ."""
+    total = F.lit(0)
+    for i in range(BITS // 64):
+        total = total + F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i))))
+    return total
 
 
 def _possible(n: Column, m: Column) -> Column:
@@ -127,8 +134,8 @@ def _possible(n: Column, m: Column) -> Column:
 
 def _with_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) with their distance, without those that sizes or signatures rule out."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("symbols").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("symbols").alias("sb"))
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("sa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("sb"))
     near = pairs.join(a, "a").join(b, "b").where(_possible(F.col("na"), F.col("nb")))
     return near.select("a", "b", _apart(F.col("sa"), F.col("sb")).alias("apart")).where(F.col("apart") <= FARTHEST)
 
@@ -204,12 +211,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept."""
     sketched = settle(sketches(docs), "near-sketches")
     nodes = sketched.where("n_shingles > 0").groupBy("set_name").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("symbols").alias("symbols")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("symbols").alias("symbols"), F.first("bits").alias("bits")
     )
     nameless = F.lit(NAMELESS) + F.shiftrightunsigned(F.xxhash64("set_name"), 3)
     nodes = settle(nodes.withColumn("node", F.coalesce("doc_id", nameless)), "near-nodes")
 
-    entries = nodes.select(_index_keys().alias("key"), "node")
+    entries = nodes.select(F.explode(_index_keys()).alias("key"), "node")
     hubs = entries.groupBy("key").agg(
         F.min("node").alias("h1"), F.max("node").alias("h2"), F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("h3")
     ).where("h1 < h2")
@@ -242,19 +249,20 @@ def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame
     main = parts.groupBy("key").agg(
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count("component").alias("parts")
     ).where("parts > 1")
-    split = placed.join(main, "key").join(nodes.select("node", "n", "symbols"), "node")
-    split = settle(split.select("key", "node", "component", "main", "n", "symbols"), "near-split")
+    split = placed.join(main, "key").join(nodes.select("node", "n", "bits", _index_keys().alias("keys")), "node")
+    split = settle(split.select("key", "node", "component", "main", "n", "bits", "keys"), "near-split")
     out = split.where("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("symbols").alias("sa")
+        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("sa"), F.col("keys").alias("ka")
     )
     all_rows = split.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"), F.col("symbols").alias("sb")
+        "key", F.col("node").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"), F.col("bits").alias("sb"), F.col("keys").alias("kb")
     )
     once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
     near = (F.col("ca") != F.col("cb")) & once & _possible(F.col("na"), F.col("nb"))
     near = near & (_apart(F.col("sa"), F.col("sb")) <= FARTHEST)
+    near = near & (F.get(F.array_intersect("ka", "kb"), F.lit(0)) == out["key"])  # in the first bucket they share
     pairs = out.join(all_rows, (out["key"] == all_rows["key"]) & near)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def _result(sketched: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:

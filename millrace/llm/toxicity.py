@@ -3,7 +3,8 @@
 A text's terms are its distinct lower-cased words and the five-letter beginnings of longer words, hashed to 2^18
 numbers. The score is the logistic of b + sum w_i + sum_{i<j} <v_i, v_j> over the terms present: pairs such as an
 insult with a group's name add what neither word does alone. Only terms whose presence depends on the label in the
-sample (likelihood ratio above ``DEPENDS``, in ``LEAST`` documents or more) get weights.
+sample (likelihood ratio above ``DEPENDS``, a toxic share three times the usual or a third of it, in ``LEAST`` documents or more) get
+weights.
 
 It learns from a bounded sample of labelled rows (``SAMPLE_ROWS``, smallest id hashes first); all rows are scored on
 their whole text. Without labelled rows of both classes every score is the share of toxic ones (0 if there are none).
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bound_batches, fold_of, labelled
 
 SAMPLE_ROWS = 20_000
-HASHES, FACTORS, STEPS = 1 << 18, 8, 300
+HASHES, FACTORS, STEPS = 1 << 18, 8, 150
 LEAST, DEPENDS, START = 4, 15.0, 5
 
 _WORD = re.compile(r"\w+")
@@ -73,7 +74,24 @@ def _dependent(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     cells = [(toxic, n * positive / rows), (n - toxic, n * (rows - positive) / rows), (positive - toxic, (rows - n) * positive / rows)]
     cells.append((rows - n - positive + toxic, (rows - n) * (rows - positive) / rows))
     ratio = sum(2 * seen * np.log(np.maximum(seen, 1e-12) / np.maximum(due, 1e-12)) for seen, due in cells)
-    return np.flatnonzero((n >= LEAST) & (ratio > DEPENDS))
+    odds = ((toxic + 0.5) / (n + 1)) / ((positive + 0.5) / (rows + 1))
+    return np.flatnonzero((n >= LEAST) & (ratio > DEPENDS) & ((odds >= 3) | (odds <= 1 / 3)))
+
+
+class _Sums:
+    """Sums of rows of values over groups, by one sort up front."""
+
+    def __init__(self, groups: np.ndarray, size: int) -> None:
+        self.order = np.argsort(groups, kind="stable")
+        ordered = groups[self.order]
+        self.starts = np.flatnonzero(np.diff(ordered, prepend=-1))
+        self.into, self.size = ordered[self.starts], size
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        out = np.zeros((self.size, *values.shape[1:]))
+        if len(self.into):
+            out[self.into] = np.add.reduceat(values[self.order], self.starts, axis=0)
+        return out
 
 
 def fit(lists: list[np.ndarray], y: np.ndarray) -> Machine:
@@ -89,19 +107,15 @@ def fit(lists: list[np.ndarray], y: np.ndarray) -> Machine:
     state = [np.array([np.log(share / (1 - share))]), np.zeros(len(active)), rng.normal(0, 0.05, (len(active), FACTORS))]
     first, second = [np.zeros_like(s) for s in state], [np.zeros_like(s) for s in state]
 
-    def by_row(values: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(row, v, len(y)) for v in values.T], axis=1)
-
-    def by_col(values: np.ndarray) -> np.ndarray:
-        return np.stack([np.bincount(col, v, len(active)) for v in values.T], axis=1)
-
+    by_row, by_col = _Sums(row, len(y)), _Sums(col, len(active))
     for step in range(1, STEPS + 1):
         bias, w, v = state
-        sums = by_row(v[col])
-        z = bias + np.bincount(row, w[col], len(y)) + 0.5 * ((sums**2).sum(1) - np.bincount(row, (v[col] ** 2).sum(1), len(y)))
+        drawn = v[col]
+        sums = by_row(drawn)
+        z = bias + by_row(w[col]) + 0.5 * ((sums**2).sum(1) - by_row((drawn**2).sum(1)))
         error = (1 / (1 + np.exp(-np.clip(z, -60, 60))) - y) / len(y)
-        slope = [np.array([error.sum()]), np.bincount(col, error[row], len(active)) + 1e-5 * w]
-        slope.append(by_col(error[row, None] * (sums[row] - v[col])) + 1e-4 * v)
+        slope = [np.array([error.sum()]), by_col(error[row]) + 1e-5 * w]
+        slope.append(by_col(error[row, None] * (sums[row] - drawn)) + 1e-4 * v)
         for i, g in enumerate(slope):
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g * g
