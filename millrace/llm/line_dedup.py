@@ -116,7 +116,8 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spans = settle(spans, "line-spans").withColumnsRenamed({"d": "__d", "t": "__t"})
     d, t = _identity()
     mine = docs.select(*[F.col(c) for c in docs.columns if c != "removed_lines"], d.alias("__my_d"), t.alias("__my_t"))
-    joined = mine.join(spans, (F.col("__my_d") == F.col("__d")) & (F.col("__my_t") == F.col("__t")), "left")
+    # sorted on both sides at every size: texts move once, whether or not the spans would fit a broadcast
+    joined = mine.hint("merge").join(spans, (F.col("__my_d") == F.col("__d")) & (F.col("__my_t") == F.col("__t")), "left")
     first = F.concat(F.array(F.lit(0)), F.transform("__spans", lambda s: s["end"] + 1))
     stop = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.size(_lines())))
     kept = F.flatten(F.zip_with(first, stop, lambda a, b: F.slice(_lines(), a + 1, b - a)))
