@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bound_batches, settle
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-FREQUENT, LONG = 200_000, 512
+FREQUENT, LONG, TALLY = 200_000, 512, 300_000
 BLANK = "▁"
 #: Score of a character without a piece on a Viterbi path, below the least score.
 UNKNOWN_STEP = 10.0
@@ -65,10 +65,30 @@ class Model:
         kind = re.escape(joinable)
         return re.compile(f"{BLANK}*[{kind}]+|{BLANK}+|[^{kind}{BLANK}]") if joinable else re.compile(r"(?s).")
 
+    @cached_property
+    def pairs(self) -> frozenset[str]:
+        """Neighbouring characters that some piece holds; a unit is cut between any others."""
+        return frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
+
+    @cached_property
+    def _parts(self) -> dict[str, list[str]]:
+        return {}
+
+    def _cut_unit(self, unit: str) -> list[str]:
+        known = self._parts.get(unit)
+        if known is None:
+            if len(self._parts) >= 200_000:
+                self._parts.clear()
+            cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in self.pairs), len(unit)]
+            known = self._parts[unit] = [unit[a:b] for a, b in zip(cuts, cuts[1:])]
+        return known
+
     def cut(self, text: str | None) -> list[str]:
+        """The units of a text in order; joined, they are the text with its blanks replaced."""
         if not text:
             return []
-        return self.units.findall((BLANK if self.prefix else "") + text.replace(" ", BLANK))
+        found = self.units.findall((BLANK if self.prefix else "") + text.replace(" ", BLANK))
+        return [part for unit in found for part in (self._cut_unit(unit))]
 
     def spelled(self, piece: str) -> list[int]:
         """The id of a piece, or its bytes."""
@@ -103,31 +123,41 @@ def read_model(path: str = MODEL) -> Model:
 
 
 def vocabulary(docs: DataFrame, model: Model) -> DataFrame:
-    """(unit, n): the distinct units of all texts, pre-counted in each batch."""
+    """(unit, n): the distinct units of all texts, pre-counted in each task. Partitioned by unit."""
     bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    def batch_of(tally: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], names=["unit", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally: Counter[str] = Counter()
         for batch in batches:
-            tally = Counter()
             for text in batch["text"].to_pylist():
                 tally.update(shared.value.cut(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.string()), pa.array(list(tally.values()), pa.int64())], names=["unit", "n"])
+            if len(tally) >= TALLY:
+                yield batch_of(tally)
+                tally = Counter()
+        yield batch_of(tally)
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, edges): every substring that is a piece, as (start, end, id, score); units without one have none."""
+    """(unit, n, edges): every substring that is a piece, as (start, end, id, score); units without one have none.
+
+    ``units`` come partitioned by unit and stay so: edges meet their unit without a shuffle.
+    """
     spark = units.sparkSession
     table = F.broadcast(spark.createDataFrame(model.rows, "piece string, id int, score double"))  # the model's own table
-    starts = units.select("unit", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
+    starts = units.select("unit", "n", F.explode(F.sequence(F.lit(0), F.length("unit") - 1)).alias("start"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.length("unit") - F.col("start")))
-    parts = starts.select("unit", "start", F.explode(sizes).alias("size"))
-    parts = parts.select("unit", "start", (F.col("start") + F.col("size")).alias("end"), F.substring("unit", F.col("start") + 1, F.col("size")).alias("piece"))
+    parts = starts.select("unit", "n", "start", F.explode(sizes).alias("size"))
+    parts = parts.select("unit", "n", "start", (F.col("start") + F.col("size")).alias("end"), F.substring("unit", F.col("start") + 1, F.col("size")).alias("piece"))
     edge = F.when(F.col("id").isNotNull(), F.struct("start", "end", "id", "score"))
-    return parts.join(table, "piece", "left").groupBy("unit").agg(F.collect_list(edge).alias("edges"))
+    matched = parts.join(table, "piece", "left").where(F.col("id").isNotNull() | (F.col("start") + 1 == F.col("end")))
+    return matched.groupBy("unit", "n").agg(F.collect_list(edge).alias("edges"))
 
 
 def _spelled(segment: Column, byte_zero: int) -> Column:
@@ -185,21 +215,20 @@ def viterbi_cuts(least: float) -> Column:
 
 def encoded_units(units: DataFrame, model: Model) -> DataFrame:
     """(unit, n, ids) of the distinct units."""
-    short = units.where(F.length("unit") <= LONG)
-    edges = lattice(short.select("unit"), model)
+    edges = lattice(units.where(F.length("unit") <= LONG), model)
     pairs = F.transform("edges", lambda x: F.struct((x["start"] * _WIDE + x["end"]).alias("key"), F.struct(x["id"].alias("id"), x["score"].alias("score")).alias("value")))
     with_map = edges.withColumn("known", F.map_from_entries(pairs))
     cuts = viterbi_cuts(min(s for _, _, s in model.rows)) if model.unigram else joined_cuts(F.col("known"))
-    folded = with_map.withColumn("cuts", cuts).select("unit", _ids(F.col("cuts"), F.col("known"), model).alias("ids"))
+    folded = with_map.withColumn("cuts", cuts).select("unit", "n", _ids(F.col("cuts"), F.col("known"), model).alias("ids"))
     shared = units.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [long_ids(u, shared.value) for u in batch["unit"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["unit"], pa.array(found, pa.list_(pa.int32()))], names=["unit", "ids"])
+            yield pa.RecordBatch.from_arrays([batch["unit"], batch["n"], pa.array(found, pa.list_(pa.int32()))], names=["unit", "n", "ids"])
 
-    long = units.where(F.length("unit") > LONG).select("unit").mapInArrow(run, "unit string, ids array<int>")
-    return units.join(folded.union(long), "unit")
+    long = units.where(F.length("unit") > LONG).select("unit", "n").mapInArrow(run, "unit string, n long, ids array<int>")
+    return folded.union(long)
 
 
 def long_ids(unit: str, model: Model) -> list[int]:
@@ -242,6 +271,10 @@ def long_ids(unit: str, model: Model) -> list[int]:
     return [i for a in sorted(ends) for i in model.spelled(unit[a : ends[a]])]
 
 
+def _bytes(ids: pa.Scalar) -> bytes:
+    return ids.values.to_numpy(zero_copy_only=False).astype(np.int32).tobytes()
+
+
 def _arrays(rows: list[list[bytes]]) -> pa.Array:
     whole = [b"".join(r) for r in rows]
     offsets = np.concatenate(([0], np.cumsum([len(w) // 4 for w in whole]))).astype(np.int32)
@@ -254,8 +287,8 @@ def encoded(docs: DataFrame, model: Model, frequent: int = FREQUENT) -> DataFram
     bound_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     table = settle(encoded_units(vocabulary(rows, model), model), "piece-units")
-    known = table.orderBy(F.desc("n"), "unit").limit(frequent).collect()
-    dictionary = {r.unit: np.array(r.ids, np.int32).tobytes() for r in known}
+    known = table.orderBy(F.desc("n"), "unit").limit(frequent).toArrow()
+    dictionary = dict(zip(known["unit"].to_pylist(), map(_bytes, known["ids"])))
     shared = spark.sparkContext.broadcast((model, dictionary))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,8 +306,8 @@ def encoded(docs: DataFrame, model: Model, frequent: int = FREQUENT) -> DataFram
     out = rows.mapInArrow(whole, kinds)
     if len(known) < frequent:
         return out
-    last = known[-1]
-    rest = table.where((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("unit") > last.unit))).select("unit", "ids")
+    n, unit = known["n"][-1].as_py(), known["unit"][-1].as_py()
+    rest = table.where((F.col("n") < n) | ((F.col("n") == n) & (F.col("unit") > unit))).select("unit", "ids")
     return out.union(_with_rare(rows, rest, shared, kinds))
 
 
@@ -300,11 +333,11 @@ def _with_rare(rows: DataFrame, rest: DataFrame, shared, kinds: str) -> DataFram
                 found.append([units[u] if u in units else own[u] for u in held.cut(text)])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], _arrays(found)], names=["doc_id", "text", "ids"])
 
-    some = settle(rows.mapInArrow(lacking, "doc_id long, text string, others array<string>"), "piece-rare")
+    some = rows.mapInArrow(lacking, "doc_id long, text string, others array<string>")
     key = F.xxhash64("doc_id", "text").alias("key")
     wanted = some.select(key, F.explode("others").alias("unit")).distinct().join(rest, "unit")
     more = wanted.groupBy("key").agg(F.collect_set(F.struct("unit", "ids")).alias("more"))
-    return some.select("doc_id", "text", key).join(more, "key").select("doc_id", "text", "more").mapInArrow(completed, kinds)
+    return some.select("doc_id", "text", key).hint("merge").join(more, "key").select("doc_id", "text", "more").mapInArrow(completed, kinds)
 
 
 def decoded(rows: DataFrame, model: Model) -> DataFrame:

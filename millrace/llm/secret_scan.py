@@ -2,11 +2,11 @@
 
 Base rules find assignments, access keys and hexadecimal runs. Two first-order Markov models over printable ASCII,
 one of random strings and one of ordinary words, are trained from labelled samples; a candidate (a run of
-``CANDIDATE`` characters) whose log-likelihood ratio is above ``MARGIN`` per step is one more span, of kind ``random``,
+``CANDIDATE`` characters with a digit among them) whose log-likelihood ratio is above ``MARGIN`` per step is one more span, of kind ``random``,
 unless it touches a base span. Spans are kind:start:end in code points, end exclusive.
 
-Labelled samples come from at most ``SAMPLE_DOCS`` documents (smallest id hashes) in each class: values found by the base rules
-are random strings; words and identifiers outside of base spans are ordinary. Without samples of both classes the
+Labelled samples come from at most ``SAMPLE_DOCS`` documents (smallest id hashes): values found by the base rules are
+random strings; words and identifiers of texts without any are ordinary. Without samples of both classes the
 ratio is 0 and no span is added. Null text is empty. Ties and repeated rows need no rule: each row stands alone.
 """
 
@@ -17,12 +17,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bounded_sample
+from millrace.llm.common import bounded_sample, settle
 
-SAMPLE_DOCS = 4_000
+SAMPLE_DOCS = 6_000
 MARGIN = 0.9
 SYMBOLS = 95  # printable ASCII
-CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = "(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex")
 #: Fixed by the contract. A match of ``access`` or ``hex`` that is too short holds no longer one, so the length may stand in the pattern.
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -81,16 +81,16 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
 
 def labelled_samples(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
     """(sample, random): values of base spans, and words of texts in which the base rules find nothing."""
+    ids = docs.select(F.col("doc_id").alias("__id")).where(F.col("__id").isNotNull())
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    some = rows.join(F.broadcast(bounded_sample(ids, limit, "__id")), F.col("doc_id") == F.col("__id"))
     suspect = F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
-    ids = rows.select(F.col("doc_id").alias("__id"), suspect.alias("suspect"))
-    chosen = bounded_sample(ids.where("suspect"), limit, "__id").union(bounded_sample(ids.where("NOT suspect"), limit, "__id"))
-    some = rows.join(F.broadcast(chosen.where(F.col("__id").isNotNull())), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "suspect")
+    some = some.select("doc_id", "text", suspect.alias("suspect"))
     values = F.explode(F.concat("assign", "access", "hex"))
     random = with_base_spans(some.where("suspect")).select(values.alias("v")).select(F.col("v.found").alias("sample"), F.lit(True).alias("random"))
     words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0)))
     ordinary = some.where("NOT suspect").select(words.alias("sample"), F.lit(False).alias("random"))
-    return random.union(ordinary)
+    return settle(random.union(ordinary), "secret-samples")
 
 
 def _codes(text: Column) -> Column:
