@@ -32,12 +32,14 @@ SYMBOLS, CHUNK, WORDS = 40, 4, 5
 BITS = 512
 #: Candidates that differ in more bits than this are not confirmed; at similarity 0.75 (64 expected) the chance of it is 6e-6.
 FARTHEST = 98
+#: The same for pairs across components of a bucket, drawn only for documents in such buckets: 256 of FINE expected.
+FINE, FINEST = 2048, 322
 #: Nodes of documents without an id start here.
 NAMELESS = 1 << 62
 
 _DRAWN = np.random.default_rng(20)
-_FLIP = _DRAWN.integers(0, 1 << 63, BITS, dtype=np.uint64)
-_TIMES = _DRAWN.integers(0, 1 << 63, BITS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FLIP = _DRAWN.integers(0, 1 << 63, BITS + FINE, dtype=np.uint64)[:, None]
+_TIMES = _DRAWN.integers(0, 1 << 63, BITS + FINE, dtype=np.uint64)[:, None] * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _STIR = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -68,14 +70,23 @@ def shingle_set(text: str | None, words: WordHashes) -> np.ndarray:
     return np.unique(shingles)
 
 
+def _least(shingles: np.ndarray, draws: slice) -> np.ndarray:
+    """MinHash values of a non-empty set for some of the draws, without the lowest bits."""
+    flip, times = _FLIP[draws], _TIMES[draws]
+    least = np.full(len(flip), np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), 256):
+        least = np.minimum(least, ((shingles[start : start + 256] ^ flip) * times).min(axis=1))
+    return least >> np.uint64(12)
+
+
+def _packed(least: np.ndarray) -> np.ndarray:
+    return np.packbits((least & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of a non-empty set: the 16-bit symbols, and the single bits packed into numbers."""
-    least = np.full(BITS, np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), 512):
-        part = shingles[start : start + 512]
-        least = np.minimum(least, ((part ^ _FLIP[:, None]) * _TIMES[:, None]).min(axis=1))
-    low = least >> np.uint64(12)
-    return (low[:SYMBOLS] & np.uint64(0xFFFF)).astype(np.int32), np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
+    least = _least(shingles, slice(0, BITS))
+    return (least[:SYMBOLS] & np.uint64(0xFFFF)).astype(np.int32), _packed(least)
 
 
 def set_name(shingles: np.ndarray) -> bytes:
@@ -119,6 +130,11 @@ def _index_keys(symbols: str = "symbols") -> Column:
     return F.array(*keys)
 
 
+def _far_apart(x: Column, y: Column) -> Column:
+    """The same for any number of bits; slower, so it stands behind the shorter test."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, m: n + m)
+
+
 def _apart(x: Column, y: Column) -> Column:
     """In how many bits two signatures differ."""
     total = F.lit(0)
@@ -162,13 +178,24 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
+def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, set_name, text): the documents that may show a node's set; ``wanted`` holds nodes."""
+    ids = nodes.join(wanted, "node").select("node", "set_name", F.col("doc_id").alias("__doc"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.join(ids, F.col("doc_id").eqNullSafe(F.col("__doc"))).select("node", "set_name", "text")
+
+
+def _finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _full_sets(batches):
+        sets = (np.frombuffer(h.as_buffer(), np.uint64) for h in batch["hashes"])
+        bits = [_packed(_least(s, slice(BITS, BITS + FINE))) for s in sets]
+        yield pa.RecordBatch.from_arrays([batch["node"], pa.array(bits, pa.list_(pa.int64()))], names=["node", "fine"])
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= 75 * union."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(wanted, "node").select("node", "set_name", F.col("doc_id").alias("__doc"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__doc"))).select("node", "set_name", "text")
-    sets = rows.mapInArrow(_full_sets, "node long, hashes binary").dropDuplicates(["node"])
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    sets = _texts(wanted, nodes, docs).mapInArrow(_full_sets, "node long, hashes binary").dropDuplicates(["node"])
     sets = settle(sets, "near-sets")
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
@@ -237,30 +264,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = settle(_labels(nodes, links), "near-labels")
 
     tried = stars.select("a", "b")
-    across = settle(_across(shared, nodes, labels).join(tried, ["a", "b"], "left_anti"), "near-across")
+    across = settle(_across(shared, nodes, labels, docs).join(tried, ["a", "b"], "left_anti"), "near-across")
     links = links.union(confirmed(across, nodes, docs))
     return _result(sketched, nodes, _labels(nodes, links))
 
 
-def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs of a bucket with an end outside its main component and ends in different components."""
     placed = shared.select("key", "node").join(labels, "node")
     parts = placed.groupBy("key", "component").agg(F.count("node").alias("size"))
     main = parts.groupBy("key").agg(
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count("component").alias("parts")
     ).where("parts > 1")
-    split = placed.join(main, "key").join(nodes.select("node", "n", "bits", _index_keys().alias("keys")), "node")
-    split = settle(split.select("key", "node", "component", "main", "n", "bits", "keys"), "near-split")
+    split = settle(placed.join(main, "key").select("key", "node", "component", "main"), "near-split")
+    fine = _texts(split.select("node").distinct(), nodes, docs).mapInArrow(_finely, "node long, fine array<long>").dropDuplicates(["node"])
+    known = nodes.select("node", "n", "bits", _index_keys().alias("keys")).join(fine, "node")
+    split = settle(split.join(known, "node"), "near-split")
     out = split.where("component <> main").select(
-        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("sa"), F.col("keys").alias("ka")
+        "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("sa"), F.col("keys").alias("ka"),
+        F.col("fine").alias("fa"),
     )
     all_rows = split.select(
-        "key", F.col("node").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"), F.col("bits").alias("sb"), F.col("keys").alias("kb")
+        "key", F.col("node").alias("b"), F.col("component").alias("cb"), "main", F.col("n").alias("nb"), F.col("bits").alias("sb"), F.col("keys").alias("kb"),
+        F.col("fine").alias("fb"),
     )
     once = (F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))
     near = (F.col("ca") != F.col("cb")) & once & _possible(F.col("na"), F.col("nb"))
     near = near & (_apart(F.col("sa"), F.col("sb")) <= FARTHEST)
     near = near & (F.get(F.array_intersect("ka", "kb"), F.lit(0)) == out["key"])  # in the first bucket they share
+    near = near & (_far_apart(F.col("fa"), F.col("fb")) <= FINEST)
     pairs = out.join(all_rows, (out["key"] == all_rows["key"]) & near)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
