@@ -1,9 +1,10 @@
 """Language identification by the nearest centroid of TF-IDF n-gram vectors.
 
 Letters are lower-cased, everything else is a blank; runs of two and three characters are hashed to ``SLOTS`` numbers,
-weighted by the root of their count and by inverse document frequency, and scaled to length 1. Learned documents
-nearer to another language's mean than to their own count as mislabelled and are left out (unless none remains). Each
-language then has ``CENTROIDS`` spherical k-means centroids. The language of the centroid with the largest cosine is predicted and the
+weighted by the root of their count and by inverse document frequency, and scaled to length 1. A learned document's
+margin is its cosine to its own language's mean less that to the nearest other mean. Documents with under ``CLEAR`` of
+their language's median margin count as mislabelled or mixed and are left out (two passes). Each language then has up to
+``CENTROIDS`` spherical k-means centroids; clusters with under ``SHARE`` of its documents are dropped. The language of the centroid with the largest cosine is predicted and the
 cosine is the score. A text is rejected when its cosine falls below ``SLACK`` times the smallest one that a learned
 document of like length (by powers of four) had with its own language; unknown lengths use the nearest known one.
 
@@ -29,6 +30,7 @@ PER_LANGUAGE, CENTROIDS = 300, 4
 SLOT_BITS = 13
 SLOTS = 1 << SLOT_BITS
 SLACK = 0.3
+CLEAR, SHARE = 0.5, 0.1
 UNKNOWN = "und"
 
 _letters: np.ndarray | None = None
@@ -90,15 +92,29 @@ class Centroids:
 
 
 def _clustered(rows: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means from the first row and the rows farthest from those chosen; empty clusters stay as they are."""
-    chosen = [0]
-    while len(chosen) < min(k, len(rows)):
-        chosen.append(int((rows @ rows[chosen].T).max(axis=1).argmin()))
-    centres = rows[chosen]
+    """Spherical k-means from rows spread evenly over the cosines to the mean; empty clusters stay as they are."""
+    order = (rows @ rows.mean(axis=0)).argsort(kind="stable")
+    k = min(k, len(rows))
+    centres = rows[[order[(2 * i + 1) * len(rows) // (2 * k)] for i in range(k)]]
     for _ in range(10):
         nearest = (rows @ centres.T).argmax(axis=1)
         centres = _scaled(np.stack([rows[nearest == i].sum(0) if (nearest == i).any() else c for i, c in enumerate(centres)]))
-    return centres
+    sizes = np.bincount((rows @ centres.T).argmax(axis=1), minlength=len(centres))
+    return centres[sizes >= max(1, min(sizes.max(), SHARE * len(rows)))]
+
+
+def _clear(rows: np.ndarray, labels: np.ndarray, kinds: list[str], used: np.ndarray) -> np.ndarray:
+    """Which rows are clearly of their language, by the means of those used so far; never none of a language."""
+    means = _scaled(np.stack([rows[(labels == name) & used].mean(axis=0) for name in kinds]))
+    cosines = rows @ means.T
+    mine = labels[:, None] == np.array(kinds)
+    margins = cosines[mine] - np.where(mine, -1, cosines).max(axis=1)
+    out = np.zeros(len(rows), bool)
+    for name in kinds:
+        own = labels == name
+        middle = np.median(margins[own])
+        out |= own & (margins >= (CLEAR * middle if middle > 0 else middle))
+    return out
 
 
 def fit(texts: list[str], languages: list[str]) -> Centroids:
@@ -111,12 +127,12 @@ def fit(texts: list[str], languages: list[str]) -> Centroids:
     names, centres, floors = [], [], {}
     every = _scaled(np.stack([np.sqrt(c) * idf for _, c in known]).astype(np.float32))
     labels = np.array([lang for lang, _ in known])
-    kinds = sorted(set(labels))
-    means = _scaled(np.stack([every[labels == name].mean(axis=0) for name in kinds]))
-    nearest = np.array(kinds)[(every @ means.T).argmax(axis=1)]
+    kinds = sorted({lang for lang, _ in known})
+    clear = np.ones(len(labels), bool)
+    for _ in range(2 if len(kinds) > 1 else 0):
+        clear = _clear(every, labels, kinds, clear)
     for name in kinds:
-        use = (labels == name) & (nearest == name)
-        use = use if use.any() else labels == name
+        use = (labels == name) & clear
         own = [c for (_, c), u in zip(known, use) if u]
         vectors = every[use]
         found = _clustered(vectors, CENTROIDS)
