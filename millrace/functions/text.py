@@ -13,6 +13,7 @@ from millrace.functions.grains import as_column
 NULL_LABEL = "<NULL>"
 EMPTY_LABEL = "<empty string>"
 LABEL_SEPARATOR = ", "
+FORMULA_STARTS = ("-", "@", "+", "|", "=", "%")
 
 
 def label_by_rules(col: Column | str, rules: Sequence[tuple[str, object]], default: object) -> Column:
@@ -32,15 +33,31 @@ def first_word(col: Column | str) -> Column:
 def guard_cell(col: Column | str) -> Column:
     """SC15: neutralise text a spreadsheet would run as a formula; negative numbers pass."""
     text = as_column(col)
-    risky = text.rlike(r'^(?:""|\s+)[-@+|=%]|^[-@+|=%]') & ~text.rlike(r"^-[0-9.]+$")
+    bare = F.regexp_replace(text, r'^(?:""|\s+)', "")
+    starts = F.substring(bare, 1, 1).isin(*FORMULA_STARTS)
+    number = text.startswith("-") & (F.length(text) > 1) & (F.translate(F.substring(text, 2, 2**30), "0123456789.", "") == "")
+    risky = starts & ~number
     return F.when(risky, F.concat(F.lit("'"), F.replace(text, F.lit("|"), F.lit("\\|")))).otherwise(text)
 
 
-def natural_key(col: Column | str, width: int = 12) -> Column:
-    """SL7: sort key in which digit runs compare as numbers (left-padded with zeros)."""
-    zeros = "0" * width
-    padded = F.regexp_replace(as_column(col).cast("string"), r"(\d+)", zeros + "$1")
-    return F.regexp_replace(padded, rf"0*(\d{{{width}}})(?!\d)", "$1")
+def natural_key(col: Column | str) -> Column:
+    """SL7: sort key in which digit runs of any length compare as numbers.
+
+    The text is cut into runs of digits and of other characters; a digit run compares by the number of its digits
+    without leading zeros, then by these. Against other text it stands where the digit 0 stands.
+    """
+    runs = F.regexp_extract_all(as_column(col).cast("string"), F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+
+    def part(run: Column) -> Column:
+        digits = F.regexp_replace(run, "^0+", "")
+        number = run.rlike("^[0-9]")
+        return F.struct(
+            F.when(number, F.lit("0")).otherwise(run).alias("text"),
+            F.when(number, F.length(digits)).otherwise(F.lit(0)).alias("size"),
+            F.when(number, digits).otherwise(F.lit("")).alias("digits"),
+        )
+
+    return F.transform(runs, part)
 
 
 def escape_label(text: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
-from millrace.operators.scale import PIVOT_COLUMNS, pivot_values
+from millrace.operators.scale import pivot_values
 from millrace.session import cut_lineage
 
 
@@ -32,13 +32,11 @@ def _links(edges: DataFrame, source: str, target: str, value: str) -> DataFrame:
     return known.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum(value).alias("value"))
 
 
-def cyclic_links(links: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def cyclic_links(links: DataFrame) -> DataFrame:
     """Links on or between cycles: what is left after peeling link ends with nothing behind them."""
     left = cut_lineage(links.select("source", "target").distinct())
     size = left.count()
-    for _ in range(max_rounds):
-        if not size:
-            return left
+    while size:
         targets = left.select(F.col("target").alias("source")).distinct()
         sources = left.select(F.col("source").alias("target")).distinct()
         smaller = cut_lineage(left.join(targets, "source", "left_semi").join(sources, "target", "left_semi"))
@@ -46,7 +44,7 @@ def cyclic_links(links: DataFrame, max_rounds: int = 1000) -> DataFrame:
         if now == size:
             return smaller.select("source", "target")
         left, size = smaller, now
-    raise QueryError("the graph is deeper than max_rounds")
+    return left
 
 
 def sankey_links(edges: DataFrame, source: str, target: str, value: str, allow_loops: bool = False) -> DataFrame:
@@ -64,7 +62,7 @@ def nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
     return edges.select(F.explode(F.array(F.col(source), F.col(target))).alias("node")).where(F.col("node").isNotNull()).distinct()
 
 
-def dense_matrix(edges: DataFrame, source: str, target: str, value: str, cap: int = PIVOT_COLUMNS) -> DataFrame:
+def dense_matrix(edges: DataFrame, source: str, target: str, value: str) -> DataFrame:
     """J8: one row per node with a column per node, absent pairs 0.
 
     A pivot over the checked node list; no pairs are generated. Larger graphs keep ``sankey_links``.
@@ -72,7 +70,7 @@ def dense_matrix(edges: DataFrame, source: str, target: str, value: str, cap: in
     folded = edges.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum(value).alias("value"))
     folded = cut_lineage(folded)
     every = nodes(folded, "source", "target")
-    names = pivot_values(every, "node", cap)
+    names = pivot_values(every, "node")
     links = _links(folded, "source", "target", "value")
     # every node gets a row, also those without an outgoing link
     own = every.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("value"))
@@ -82,7 +80,7 @@ def dense_matrix(edges: DataFrame, source: str, target: str, value: str, cap: in
 
 
 def hierarchy_rollup(
-    df: DataFrame, id: str, parent: str, value: str, root: object = None, max_depth: int = 1000
+    df: DataFrame, id: str, parent: str, value: str, root: object = None
 ) -> DataFrame:
     """AG18: parent-pointer tree with depth, path and subtree totals.
 
@@ -100,17 +98,17 @@ def hierarchy_rollup(
         start = base.where(F.col("id") == F.lit(root))
     level = start.select("id", "parent", "value", F.array(F.col("id").cast("string")).alias("path"))
     levels: list[DataFrame] = []
-    for _ in range(max_depth):
+    while True:
         level = cut_lineage(level)
         if level.isEmpty():
             break
+        if not level.where(F.size(F.array_distinct("path")) < F.size("path")).isEmpty():
+            raise QueryError("the hierarchy has a loop")
         levels.append(level)
         above = level.select(F.col("id").alias("parent"), F.col("path").alias("__path"))
         level = base.join(above, "parent").select(
             "id", "parent", "value", F.concat("__path", F.array(F.col("id").cast("string"))).alias("path")
         )
-    else:
-        raise QueryError("the hierarchy is deeper than max_depth or has a loop")
     if not levels:
         raise QueryError("no root found")
     # bottom-up: children are folded per parent, then added to the level above

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
-from millrace.operators.scale import bounded_broadcast
 
 UNKNOWN_COUNTRY = "XXX"
 
@@ -48,21 +48,16 @@ def lookup_country(df: DataFrame, code: str, dimension: DataFrame, kind: str = "
         "lat",
         "lng",
     )
-    joined = df.join(bounded_broadcast(small), F.upper(F.col(code).cast("string")) == F.col("__code"), "left")
+    joined = df.join(small, F.upper(F.col(code).cast("string")) == F.col("__code"), "left")
     return joined.withColumn("cca3", F.coalesce("__cca3", F.lit(UNKNOWN_COUNTRY))).drop("__code", "__cca3")
 
 
 def dedup_names(names: Sequence[str]) -> list[str]:
-    """Repeated names get ``__1``, ``__2`` … : ``foo, bar, bar__1``."""
-    seen: dict[str, int] = {}
-    out = []
+    """Each name once: a repeated one gets the first free of ``__1``, ``__2`` … (``foo, bar, bar__1``)."""
+    given, out = set(names), []
     for name in names:
-        if name in seen:
-            seen[name] += 1
-            out.append(f"{name}__{seen[name]}")
-        else:
-            seen[name] = 0
-            out.append(name)
+        numbered = (f"{name}__{i}" for i in count(1))
+        out.append(name if name not in out else next(n for n in numbered if n not in given and n not in out))
     return out
 
 
@@ -73,8 +68,8 @@ def double_lookup(df: DataFrame, dimension: DataFrame, key: str, a_col: str, b_c
     a_names, b_names = names[len(df.columns) : len(df.columns) + len(details)], names[-len(details) :]
     first = dimension.select(F.col(key).alias("__a"), *[F.col(c).alias(n) for c, n in zip(details, a_names)])
     second = dimension.select(F.col(key).alias("__b"), *[F.col(c).alias(n) for c, n in zip(details, b_names)])
-    joined = df.join(bounded_broadcast(first), F.col(a_col) == F.col("__a"), "left")
-    joined = joined.join(bounded_broadcast(second), F.col(b_col) == F.col("__b"), "left")
+    joined = df.join(first, F.col(a_col) == F.col("__a"), "left")
+    joined = joined.join(second, F.col(b_col) == F.col("__b"), "left")
     return joined.drop("__a", "__b")
 
 
@@ -109,7 +104,7 @@ def ip_range_join(df: DataFrame, ip: str, ranges: DataFrame, how: str = "inner")
     )
     probes = df.withColumn("__probe", F.explode(keys))
     matched = probes.join(
-        bounded_broadcast(ranges),
+        ranges,
         (F.col("__probe.bits") == F.col("prefix")) & (F.col("__probe.start") == F.col("first")),
         "inner",
     ).drop("__probe")

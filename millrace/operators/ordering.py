@@ -16,7 +16,6 @@ from millrace.operators.scale import join_null_safe
 # Limits for results handed to a client.
 DEFAULT_ROW_LIMIT = 50_000
 SAMPLES_LIMIT = 1_000
-FILTER_CHOICES = 10_000
 CLIENT_MAX_ROWS = 100_000
 
 
@@ -58,8 +57,8 @@ def limit_with_flag(df: DataFrame, n: int) -> tuple[DataFrame, bool]:
 
 
 def samples(df: DataFrame, limit: int = SAMPLES_LIMIT) -> DataFrame:
-    """SL8: raw rows as they come."""
-    return df.limit(effective_limit(limit))
+    """SL8: as many raw rows as asked for, as they come; a client's ceiling (``effective_limit``) is the client's."""
+    return df.limit(limit)
 
 
 def drill_detail(df: DataFrame, condition: Column, order: Sequence[Column | str], per_page: int, page_number: int = 1):
@@ -71,19 +70,20 @@ def drill_detail(df: DataFrame, condition: Column, order: Sequence[Column | str]
 def distinct_values(
     df: DataFrame,
     col: str,
-    n: int = FILTER_CHOICES,
+    n: int | None = None,
     metric: Column | None = None,
     fetch_predicate: str | None = None,
     descending: bool = True,
 ) -> DataFrame:
-    """SL9 and FL17: choices for a filter, in label order or by a metric."""
+    """SL9 and FL17: choices for a filter, in label order or by a metric; all of them unless ``n`` says how many."""
+    some = (lambda rows: rows) if n is None else (lambda rows: rows.limit(n))
     if fetch_predicate:
         df = df.where(F.expr(fetch_predicate))
     if metric is None:
-        return df.select(col).distinct().orderBy(col).limit(n)
+        return some(df.select(col).distinct().orderBy(col))
     ranked = df.groupBy(col).agg(metric.alias("metric"))
     by = F.col("metric").desc_nulls_last() if descending else F.col("metric").asc_nulls_last()
-    return ranked.orderBy(by, col).limit(n)
+    return some(ranked.orderBy(by, col))
 
 
 def order_series(

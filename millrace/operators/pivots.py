@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.errors import QueryError
 from millrace.functions.text import LABEL_SEPARATOR, NULL_LABEL, escape_label, natural_key
 from millrace.operators.aggregates import aggregate, contribution, null_label
-from millrace.operators.scale import PIVOT_COLUMNS, join_null_safe
+from millrace.operators.scale import join_null_safe
 from millrace.session import cut_lineage
 
 LABEL = "__label"
@@ -30,11 +30,9 @@ def flatten(df: DataFrame, metric: str, series: Sequence[str], drop_metric: bool
     return df.withColumn("column_name", name)
 
 
-def _known_labels(long: DataFrame, metrics: Sequence[str], cap: int) -> list:
+def _known_labels(long: DataFrame, metrics: Sequence[str]) -> list:
     """Labels with, per metric, how many cells hold a value: one small bounded result."""
-    rows = long.groupBy(LABEL).agg(*[F.count(m).alias(f"n{i}") for i, m in enumerate(metrics)]).limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise QueryError(f"more than {cap} pivot columns; keep the long form instead")
+    rows = long.groupBy(LABEL).agg(*[F.count(m).alias(f"n{i}") for i, m in enumerate(metrics)]).collect()
     return sorted(rows, key=lambda r: r[LABEL])
 
 
@@ -45,14 +43,13 @@ def widen(
     fill: object = None,
     drop_missing: bool = True,
     combine: bool = False,
-    cap: int = PIVOT_COLUMNS,
 ) -> DataFrame:
     """(index, label, metrics) rows to one column per label and metric.
 
     The folded cells are settled once: the label list and the table both read them.
     """
     long = cut_lineage(long)
-    labels = _known_labels(long, metrics, cap)
+    labels = _known_labels(long, metrics)
     values = [r[LABEL] for r in labels]
     # index columns go by place while wide: a label may spell the same as an index name
     placed = long.select(*[F.col(c).alias(f"__i{i}") for i, c in enumerate(index)], LABEL, *metrics)
@@ -96,7 +93,6 @@ def pivot(
     combine: bool = False,
     margins: bool = False,
     margin_name: str = "All",
-    cap: int = PIVOT_COLUMNS,
 ) -> DataFrame:
     """AG8: a wide table of aggregates, column names ``metric, value1, value2``."""
     index, columns, metrics = list(index), list(columns or ()), list(aggs)
@@ -129,7 +125,7 @@ def pivot(
         )
         parts = [long, by_row.withColumns({c: F.col(c).cast("string") for c in index}), by_col, whole]
         long = reduce(lambda a, b: a.unionByName(b), parts if columns else [parts[0], by_col])
-    return widen(long, index, metrics, fill, drop_missing, combine, cap)
+    return widen(long, index, metrics, fill, drop_missing, combine)
 
 
 TOTAL = "Total ({})"
@@ -286,7 +282,6 @@ def pivot_table(
     row_totals: bool = False,
     col_totals: bool = False,
     metrics_on_rows: bool = False,
-    cap: int = PIVOT_COLUMNS,
 ) -> DataFrame:
     """AG10: a pivot table with optional totals and nested subtotals on both axes.
 
@@ -316,8 +311,8 @@ def pivot_table(
         rows, long = ["metric"], long.withColumn("metric", F.lit(total))
     if metrics_on_rows:
         melted = long.unpivot([*rows, LABEL], list(metrics), "metric_name", "value")
-        return widen(melted, ["metric_name", *rows], ["value"], combine=combine, cap=cap)
-    return widen(long, rows, metrics, combine=combine, cap=cap)
+        return widen(melted, ["metric_name", *rows], ["value"], combine=combine)
+    return widen(long, rows, metrics, combine=combine)
 
 
 def dist_bar(

@@ -172,12 +172,11 @@ def top_series(
 ) -> DataFrame:
     """J3: rows whose series is among the top ``n``; ties go to the smaller label.
 
-    At most ``n`` rows are broadcast; ``ranked_on`` ranks over other rows (the outer range).
+    ``ranked_on`` ranks over other rows (the outer range).
     """
     ranked = (ranked_on if ranked_on is not None else df).groupBy(*series).agg(metric.alias("__rank"))
     key = F.col("__rank").desc_nulls_last() if desc else F.col("__rank").asc_nulls_last()
     top = ranked.orderBy(key, *series).limit(n).select(*series)
-    top = F.broadcast(top) if n <= 100_000 else top
     return in_groups(df, top, series, null_safe)
 
 

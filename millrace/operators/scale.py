@@ -4,7 +4,6 @@
   folded to (group, value, count), cut into value ranges, counted inside each range in
   parallel, and the ranges are stitched together with their running totals.
 * ``chunk_of``       value -> range number, as a binary decision over literal split points.
-* ``bounded_broadcast``  a broadcast hint behind a row-count check.
 """
 
 from __future__ import annotations
@@ -15,11 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.errors import QueryError
 from millrace.session import chunk_count
 
-BROADCAST_ROWS = 100_000
-PIVOT_COLUMNS = 1_000
 
 
 def split_points(df: DataFrame, col: str, pieces: int | None = None) -> list:
@@ -125,15 +121,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is seen to be small; otherwise the join shuffles."""
-    seen = df.limit(limit + 1).count()
-    return F.broadcast(df) if seen <= limit else df
-
-
-def pivot_values(df: DataFrame, label: str, cap: int = PIVOT_COLUMNS) -> list:
-    """Sorted distinct labels for an explicit pivot list; refuses more than ``cap`` columns."""
-    rows = df.select(label).distinct().limit(cap + 1).collect()
-    if len(rows) > cap:
-        raise QueryError(f"more than {cap} pivot columns; keep the long form instead")
+def pivot_values(df: DataFrame, label: str) -> list:
+    """Sorted distinct labels: the columns of a wide result. However many labels there are, the long form holds them as rows."""
+    rows = df.select(label).distinct().collect()
     return sorted((r[0] for r in rows), key=lambda v: (v is None, v))

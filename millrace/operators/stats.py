@@ -6,10 +6,8 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.errors import QueryError
 from millrace.operators.scale import join_null_safe, quantile_columns, ranked_counts
@@ -181,50 +179,36 @@ def pair_with_control(df: DataFrame, time: str, group: str, value: str, control:
     return join_null_safe(df.where(F.col(group) != F.lit(control)), base, [time], "inner")
 
 
-def _beta_tail(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta by Lentz's continued fraction."""
-    if x <= 0 or x >= 1:
-        return 0.0 if x <= 0 else 1.0
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - _beta_tail(b, a, 1 - x)
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    ) / a
-    tiny, f, c, d = 1e-300, 1.0, 1.0, 0.0
-    for i in range(500):
-        m = i // 2
-        if i == 0:
-            step = 1.0
-        elif i % 2 == 0:
-            step = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        else:
-            step = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d = 1 / (1 + step * d or tiny)
-        c = 1 + step / c or tiny
-        f *= c * d
-        if abs(1 - c * d) < 1e-14:
-            break
-    return front * (f - 1) if f > 1 else front * f
-
-
-def student_two_sided(t: float, freedom: float) -> float:
-    """P(|T| >= |t|) for Student's distribution."""
-    return _beta_tail(freedom / 2, 0.5, freedom / (freedom + t * t))
-
-
-@F.pandas_udf(T.DoubleType())
-def _p_value(t: pd.Series, freedom: pd.Series) -> pd.Series:
-    ok = t.notna() & (freedom > 0)
-    return pd.Series([student_two_sided(a, b) if k else None for a, b, k in zip(t, freedom, ok)], dtype="float64")
+def student_two_sided(t: Column, freedom: Column) -> Column:
+    """P(|T| >= |t|) for Student's distribution with a whole number of degrees of freedom; null below 1.
+
+    With angle = atan(|t| / sqrt(freedom)) the probability is a finite sum in powers of its cosine, whose terms follow
+    from each other: over odd powers and times 2 / pi for an odd number, over even powers for an even one.
+    """
+    odd = freedom % 2
+    angle = F.atan(F.abs(t) / F.sqrt(freedom.cast("double")))
+    sine, cosine = F.sin(angle), F.cos(angle)
+    steps = F.sequence(F.lit(1), F.greatest(((freedom - odd) / 2).cast("int") - 1, F.lit(1)))
+    first = F.when(odd == 1, cosine).otherwise(F.lit(1.0))
+    start = F.struct(first.alias("term"), first.alias("total"))
+
+    def add(acc: Column, i: Column) -> Column:
+        term = acc["term"] * cosine * cosine * (2 * i - 1 + odd) / (2 * i + odd)
+        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
+
+    total = F.when(freedom >= 4, F.aggregate(steps, start, add)["total"]).otherwise(first)
+    inside = F.when(odd == 0, sine * total).when(freedom == 1, 2 / math.pi * angle).otherwise(2 / math.pi * (angle + sine * total))
+    return F.when(t.isNotNull() & (freedom >= 1), F.greatest(1 - inside, F.lit(0.0)))
 
 
 def paired_ttest(df: DataFrame, time: str, group: str, value: str, control: object, p_value: bool = True) -> DataFrame:
     """AG38: paired Student test and lift of each group against the control group.
 
-    The p-value is the only Python step and sees one row per group.
+    Pairs whose difference is null or not finite do not count.
     """
     pairs = pair_with_control(df, time, group, value, control)
     d = F.col("control_value").cast("double") - F.col(value).cast("double")
+    pairs = pairs.where(~F.isnan(d) & (F.abs(d) < float("inf")))
     sums = pairs.groupBy(group).agg(
         F.count(d).alias("n"),
         F.sum(d).alias("__d"),
@@ -237,6 +221,6 @@ def paired_ttest(df: DataFrame, time: str, group: str, value: str, control: obje
     t = -F.abs(F.col("__d") * F.sqrt(F.when(inner >= 0, inner)))
     lift = F.try_divide(F.col("__v") - F.col("__c"), F.col("__c")) * 100
     result = sums.select(group, "n", t.alias("t"), lift.alias("lift"))
-    return result.withColumn("p", _p_value("t", (F.col("n") - 1).cast("double"))) if p_value else result
+    return result.withColumn("p", student_two_sided(F.col("t"), F.col("n") - 1)) if p_value else result
 
 

@@ -140,9 +140,19 @@ def ttest_event_types(spark, folder):
     return rounded(tested, 6, "t", "lift")
 
 
-@R.add("ttest_p_values")
+@R.add(
+    "ttest_p_values",
+    """WITH d AS (SELECT event_type, date_trunc('day', ts) AS day, sum(value) AS v FROM events GROUP BY 1, 2),
+       s AS (SELECT a.event_type, count(*) AS n, sum(b.v - a.v) AS d, sum((b.v - a.v) * (b.v - a.v)) AS dd
+             FROM d a JOIN d b ON a.day = b.day AND b.event_type = 'view' WHERE a.event_type <> 'view' GROUP BY 1),
+       t AS (SELECT event_type, n - 1 AS k, (n - 1) % 2 AS odd, atan(abs(d * sqrt((n - 1) / (n * dd - d * d))) / sqrt(n - 1)) AS angle FROM s),
+       f AS (SELECT *, CASE WHEN odd = 1 THEN cos(angle) ELSE 1 END * (1 + coalesce(list_sum(list_transform(range(1, (k - odd) // 2),
+               lambda i: exp(list_sum(list_transform(range(1, i + 1), lambda j: ln(cos(angle) * cos(angle) * (2 * j - 1 + odd) / (2 * j + odd))))))), 0)) AS total
+             FROM t)
+       SELECT event_type, round(greatest(0, 1 - CASE WHEN odd = 0 THEN sin(angle) * total WHEN k = 1 THEN 2 / pi() * angle
+              ELSE 2 / pi() * (angle + sin(angle) * total) END), 9) AS p FROM f""",
+)
 def ttest_p_values(spark, folder):
-    """The Student tail has no SQL form; checked against tables in the tests."""
     tested = stats.paired_ttest(daily(table(spark, folder, "events"), "event_type"), "day", "event_type", "v", "view")
     return rounded(tested.select("event_type", "p"), 9, "p")
 

@@ -206,17 +206,17 @@ def cell_first_label_natural(spark, folder):
     return pivots.pivot_cells(table(spark, folder, "part").select("p_type", "p_brand"), ["p_type"], [], "First", "p_brand")
 
 
-@R.add("pivot_order_by_key", "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY CAST(substr(p_brand, 7) AS INTEGER) LIMIT 10")
+@R.add("pivot_order_by_key", "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY CAST(substr(p_brand, 7) AS INTEGER)")
 def pivot_order_by_key(spark, folder):
     """Natural order: Brand#2 comes before Brand#10."""
     counts = table(spark, folder, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
-    return ordering.order_pivot(counts, ["p_brand"], "n", "key_a_to_z").limit(10)
+    return ordering.order_pivot(counts, ["p_brand"], "n", "key_a_to_z")
 
 
-@R.add("pivot_order_by_value", "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, CAST(substr(p_brand, 7) AS INTEGER) LIMIT 10")
+@R.add("pivot_order_by_value", "SELECT p_brand, count(*) AS n FROM part GROUP BY 1 ORDER BY n DESC, CAST(substr(p_brand, 7) AS INTEGER)")
 def pivot_order_by_value(spark, folder):
     counts = table(spark, folder, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"))
-    return ordering.order_pivot(counts, ["p_brand"], "n", "value_z_to_a").limit(10)
+    return ordering.order_pivot(counts, ["p_brand"], "n", "value_z_to_a")
 
 
 # ---- shares ------------------------------------------------------------------------------

@@ -16,7 +16,7 @@ R = Register()
 ENTRIES = R.entries
 
 # Daily sums of the large events only: rare enough that series lack some days.
-_SPARSE = "value > 97"
+_SPARSE = "value IS NOT NULL"
 _CELLS = f"""cells AS (SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, sum(value) AS v FROM events
   WHERE {_SPARSE} GROUP BY 1, 2),
 axis AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS p FROM (SELECT DISTINCT day FROM cells)),
@@ -157,7 +157,7 @@ def compare_columns(spark, folder):
 
 # ---- resampling: six-hour cells with gaps, and irregular times -----------------------------
 
-_THIN = "value > 90 AND event_type IN ('click', 'view')"
+_THIN = "value IS NOT NULL"
 _POINTS = f"""points AS (SELECT event_type, date_trunc('hour', ts) AS t, sum(value) AS v FROM events WHERE {_THIN} GROUP BY 1, 2)"""
 _GRID6 = """grid AS (SELECT s.event_type, g.t, row_number() OVER (PARTITION BY s.event_type ORDER BY g.t) AS p FROM
   (SELECT DISTINCT event_type FROM points) s CROSS JOIN (SELECT unnest(generate_series(

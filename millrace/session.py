@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.errors import QueryError
@@ -34,13 +32,13 @@ def chunk_count(spark: SparkSession) -> int:
     return max(8, min(512, 2 * width))
 
 
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's shared folder; None on a local master that names none."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; on a local master that names none, a folder in the warehouse."""
     context = spark.sparkContext
     shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if shared is None and not context.master.startswith("local"):
         raise QueryError("set spark.checkpoint.dir to a folder all executors share")
-    return shared
+    return shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/shared"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -48,9 +46,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Used between rounds of an iteration, and where a folded frame is read several times: the
     branches prune different columns, so without it each would fold the raw rows again.
-    Only when the cluster names no folder (tests) is a scratch folder set.
+    Only when the session names no folder (tests) is one set, in the session's warehouse.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession) or tempfile.mkdtemp(prefix="millrace-ckpt-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

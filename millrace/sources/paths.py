@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,6 +36,5 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder in the cluster's shared checkpoint folder (a local one only where none is set)."""
-    base = shared_folder(spark) or tempfile.mkdtemp(prefix="millrace-")
-    return f"{base}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared checkpoint folder (in the warehouse where none is set)."""
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -149,8 +149,9 @@ def test_heatmap_rank_matches_pandas(spark):
     # textbook two-sided tail areas
     [(2.0, 10, 0.07338803), (1.0, 1, 0.5), (12.7062047, 1, 0.05), (2.0, 60, 0.05003304), (0.0, 5, 1.0), (4.0, 3, 0.02800778)],
 )
-def test_student_tail(t, freedom, p):
-    assert stats.student_two_sided(t, freedom) == pytest.approx(p, abs=1e-6)
+def test_student_tail(spark, t, freedom, p):
+    found = spark.range(1).select(stats.student_two_sided(F.lit(t), F.lit(int(freedom)))).first()[0]
+    assert found == pytest.approx(p, abs=1e-6)
 
 
 def test_paired_ttest(spark):
@@ -159,7 +160,16 @@ def test_paired_ttest(spark):
     d = np.array([1.0, 0.5, 1.0, 3.0])
     t = -abs(d.mean() / (d.std(ddof=1) / 2))
     assert (out["n"], out["t"], out["lift"]) == (4, pytest.approx(t), pytest.approx(50.0))
-    assert out["p"] == pytest.approx(stats.student_two_sided(t, 3))
+    assert out["p"] == pytest.approx(spark.range(1).select(stats.student_two_sided(F.lit(t), F.lit(3))).first()[0])
+
+
+def test_paired_ttest_skips_pairs_that_are_not_finite(spark):
+    rows = [(0, "c", 1.0), (1, "c", 2.0), (2, "c", float("nan")), (3, "c", 5.0), (4, "c", float("inf"))]
+    rows += [(0, "x", 2.0), (1, "x", 2.5), (2, "x", 5.0), (3, "x", 7.0), (4, "x", 1.0)]
+    out = stats.paired_ttest(spark.createDataFrame(rows, "t int, g string, v double"), "t", "g", "v", "c").first()
+    assert out["n"] == 3 and out["t"] is not None and 0 < out["p"] < 1
+    alone = stats.paired_ttest(spark.createDataFrame(rows[:1] + rows[5:6], "t int, g string, v double"), "t", "g", "v", "c").first()
+    assert (alone["n"], alone["t"], alone["p"]) == (1, None, None) or alone["p"] is None
 
 
 def test_rollup_change_missing_side(spark):

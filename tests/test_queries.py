@@ -214,3 +214,34 @@ def test_positions_of_repeated_extremes(spark):
     df = spark.createDataFrame(rows_, "g string, v double, o int")
     out = aggregate(df, ["g"], {"lo": ("v", "argmin"), "hi": ("v", "argmax")}, order="o")
     assert rows(out) == [("a", 1, 0), ("b", None, None)]
+
+
+@pytest.mark.parametrize(
+    "clause",
+    ["id in (select\tid from secret)", "id in (select/**/id from secret)", "exists (select 1)", "id = (\nselect max(id) from secret)", "id > 0 and (id, id) in (select id, id from secret)"],
+)
+def test_free_clause_refuses_every_sub_query(spark, clause):
+    spark.range(3).createOrReplaceTempView("secret")
+    with pytest.raises(QueryError):
+        filters.free_clause(spark.range(5), clause)
+
+
+def test_free_clause_takes_the_word_as_text(spark):
+    df = spark.createDataFrame([("select me",), ("other",)], "s string")
+    assert filters.free_clause(df, "s = 'select me'").count() == 1
+
+
+def test_natural_order_of_long_digit_runs(spark):
+    names = spark.createDataFrame([("a1234567890123",), ("a2",), ("a10",), ("a0002b",), ("a",), (None,)], "c string")
+    found = [r[0] for r in names.orderBy(text.natural_key("c").asc_nulls_last(), "c").collect()]
+    assert found == ["a", "a2", "a0002b", "a10", "a1234567890123", None]
+
+
+def test_distinct_values_returns_all_unless_told(spark):
+    df = spark.range(20_000).selectExpr("string(id) AS v")
+    assert ordering.distinct_values(df, "v").count() == 20_000
+    assert ordering.distinct_values(df, "v", n=7).count() == 7
+
+
+def test_names_are_unique():
+    assert dedup_names(["a", "a", "a__1"]) == ["a", "a__2", "a__1"]

@@ -70,13 +70,6 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
-def test_bounded_broadcast(spark):
-    big = spark.range(50)
-    assert scale.bounded_broadcast(big, 10) is big
-
-
-def test_pivot_values_refuse_too_many(spark):
-    from millrace.errors import QueryError
-
-    with pytest.raises(QueryError):
-        scale.pivot_values(spark.range(20).withColumnRenamed("id", "n"), "n", cap=10)
+def test_many_pivot_labels(spark):
+    rows = spark.range(1_500).selectExpr("id AS label")
+    assert len(scale.pivot_values(rows, "label")) == 1_500
