@@ -137,15 +137,16 @@ def break_points(df: DataFrame, col: str, n: int = 10, breaks: Sequence[float] |
     """AG20: bucket edges over the extent (two numbers on the driver), or the given ones sorted."""
     if breaks:
         return sorted(float(b) for b in breaks)
-    row = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
-    if row[0] is None:
-        return []
-    low, high = row
-    delta = (high - low) / n
-    digits = 0 if delta == 0 else max(0, math.ceil(math.log10(1 / delta)))
-    extra = 1 if high > round(high, digits) else 0
-    start = low - 1 if low < round(low, digits) else low
-    return [round(start + i * delta, digits) for i in range(n + 1 + extra)]
+    ends = df.agg(F.min(col).cast("double").alias("low"), F.max(col).cast("double").alias("high")).where("low IS NOT NULL")
+    decimals = F.when(F.col("high") > F.col("low"), F.greatest(F.ceil(-F.log10("step")), F.lit(0))).otherwise(F.lit(0))
+    scale = F.pow(F.lit(10.0), decimals)
+    # the first edge is rounded down so that it never passes the least value; one more edge if the last falls short
+    first = F.floor(F.col("low") * F.col("scale")) / F.col("scale")
+    edge = lambda i: F.round((first + i * F.col("step")) * F.col("scale")) / F.col("scale")
+    last = F.when(edge(F.lit(n)) < F.col("high"), n + 1).otherwise(n)
+    rows = ends.withColumn("step", (F.col("high") - F.col("low")) / n).withColumn("scale", scale)
+    found = rows.select(F.transform(F.sequence(F.lit(0), last), edge)).first()
+    return found[0] if found else []
 
 
 def bucketize(df: DataFrame, col: str, edges: Sequence[float], target: str = "bucket") -> DataFrame:
