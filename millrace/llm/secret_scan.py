@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bounded_sample, settle
 
 SAMPLE_DOCS = 6_000
-MARGIN = 0.9
+MARGIN = 0.2
 SYMBOLS = 95  # printable ASCII
 CANDIDATE = "(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex")
