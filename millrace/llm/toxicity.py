@@ -3,8 +3,8 @@
 A text's terms are its distinct lower-cased words and the five-letter beginnings of longer words, hashed to 2^18
 numbers. The score is the logistic of b + sum w_i + sum_{i<j} <v_i, v_j> over the terms present: pairs such as an
 insult with a group's name add what neither word does alone. Only terms whose presence depends on the label in the
-sample (likelihood ratio above ``DEPENDS``, a toxic share three times the usual or a third of it, in ``LEAST`` documents or more) get
-weights.
+sample (likelihood ratio above ``DEPENDS``, a toxic share of ``LIFT`` times the usual or more, in ``LEAST`` documents or
+more) get weights.
 
 It learns from a bounded sample of labelled rows (``SAMPLE_ROWS``, smallest id hashes first); all rows are scored on
 their whole text. Without labelled rows of both classes every score is the share of toxic ones (0 if there are none).
@@ -28,7 +28,7 @@ from millrace.llm.common import bound_batches, fold_of, labelled
 
 SAMPLE_ROWS = 20_000
 HASHES, FACTORS, STEPS = 1 << 18, 8, 150
-LEAST, DEPENDS, START = 4, 15.0, 5
+LEAST, DEPENDS, LIFT, START = 4, 15.0, 1.6, 5
 
 _WORD = re.compile(r"\w+")
 
@@ -75,7 +75,7 @@ def _dependent(lists: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     cells.append((rows - n - positive + toxic, (rows - n) * (rows - positive) / rows))
     ratio = sum(2 * seen * np.log(np.maximum(seen, 1e-12) / np.maximum(due, 1e-12)) for seen, due in cells)
     odds = ((toxic + 0.5) / (n + 1)) / ((positive + 0.5) / (rows + 1))
-    return np.flatnonzero((n >= LEAST) & (ratio > DEPENDS) & ((odds >= 3) | (odds <= 1 / 3)))
+    return np.flatnonzero((n >= LEAST) & (ratio > DEPENDS) & (odds >= LIFT))
 
 
 class _Sums:
