@@ -92,20 +92,18 @@ def _prepared(items: tuple[str, ...], rate: float):
 
 def occurrences(text: str, patterns, automaton) -> list[tuple[int, int, int, int]]:
     """(item number, edits, start, end) in the normalised text; one per stretch of overlapping candidates."""
-    windows: dict[int, list[list[int]]] = {}
+    starts: dict[int, set[int]] = {}
     for last, (size, places) in automaton.iter(text):
         for number, offset in places:
-            pattern = patterns[number]
-            start = last - size + 1 - offset - pattern.budget
-            end = start + pattern.size + 2 * pattern.budget
-            known = windows.setdefault(number, [])
-            if known and start - known[-1][0] <= 2 * pattern.budget:
-                known[-1][1] = max(known[-1][1], end)
-            else:
-                known.append([start, end])
+            starts.setdefault(number, set()).add(last - size + 1 - offset - patterns[number].budget)
     out = []
-    for number, spans in windows.items():
+    for number, found in starts.items():
         pattern, reached = patterns[number], -1
+        spans: list[list[int]] = []
+        for start in sorted(found):  # hits of later pieces may open earlier windows
+            if not spans or start - spans[-1][0] > 2 * pattern.budget:
+                spans.append([start, 0])
+            spans[-1][1] = start + pattern.size + 2 * pattern.budget
         for start, end in spans:
             start, end = max(0, start), min(len(text), end)
             edits, stop = pattern.best(text[start:end])

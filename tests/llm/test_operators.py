@@ -124,6 +124,22 @@ def test_contamination_within_the_budget(spark):
     assert docs[0][1][first.start : first.end].lower() == item and first.edits == 0
 
 
+def test_repeated_phrases_with_edited_first_pieces():
+    rng = random.Random(8)
+    for _ in range(60):
+        phrase = words(rng, rng.randint(5, 10))
+        item = decontamination.normal(f"{phrase} {phrase} {words(rng, rng.randint(25, 60))} {phrase}")
+        budget = int(len(item) * decontamination.ERROR_RATE)
+        copy = list(item)
+        for offset, piece in decontamination.pieces(item, budget):
+            if offset <= len(phrase):
+                copy[offset + rng.randrange(len(piece))] = "#"
+        text = decontamination.normal(words(rng, 30)) + "".join(copy) + decontamination.normal(words(rng, 30))
+        found = decontamination.occurrences(text, *decontamination._prepared((item,), decontamination.ERROR_RATE))
+        least = brute_edits(item, text)
+        assert (min(edits for _, edits, _, _ in found) if found else budget + 1) == min(least, budget + 1)
+
+
 def test_lines_keep_first_copies_only(spark):
     run = "\n".join(" ".join(f"r{i}{j}" for j in range(20)) for i in range(3))
     docs = [(1, f"own one\n{run}\nend"), (2, f"{run}\nother own"), (3, "short\nshort\nshort"), (4, run), (5, None), (6, f"{run}\n{run}")]
