@@ -215,6 +215,19 @@ def test_main_text(spark):
     assert html_text.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_templates_of_a_host(spark):
+    """Constant text under unlisted names, listed parts of names on body and article, and a template on a fifth of the pages."""
+    plain = "<body><div class='xq'><p>Sign up today</p></div><div class='story'><p>Tale {0} goes</p><p>on for {0} nights</p></div></body>"
+    listed = "<body class='has-sidebar postid-{0}'><article class='post no-comments'><p>News {0}</p><div class='xr'>Tell a friend</div></article></body>"
+    rare = "<body><section id='r{0}' class='deep'><h2>Rare {0}</h2><p>its own text of {0}</p></section><div class='zz'>n {0}</div><div class='xs'>Only here</div></body>"
+    kinds = [plain] * 8 + [listed] * 8 + [rare] * 4
+    pages = [(i, f"http://t.org/{i}", kind.format(f"a{i}")) for i, kind in enumerate(kinds)]
+    pages.append((20, "http://one.org/", "<body class='has-sidebar'><div class='sidebar'>all there is</div></body>"))
+    got = {r.page_id: r.text for r in html_text.main_texts(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    want = {i: f"Tale a{i} goes\non for a{i} nights" for i in range(8)} | {i: f"News a{i}" for i in range(8, 16)}
+    assert got == want | {i: f"Rare a{i}\nits own text of a{i}" for i in range(16, 20)} | {20: "all there is"}
+
+
 def test_fingerprints_estimate_weighted_jaccard():
     rng, draws, off = random.Random(2), fingerprints.Draws(), []
     for _ in range(40):
