@@ -1,13 +1,14 @@
 """Secret scan: base rules, and character Markov models for random strings beside them. DataFrames only.
 
 Base rules find assignments, access keys and hexadecimal runs. Two first-order Markov models over printable ASCII,
-one of random strings and one of ordinary words, are trained from labelled samples; a candidate (a run of
-``CANDIDATE`` characters with a digit among them) whose log-likelihood ratio is above ``MARGIN`` per step is one more span, of kind ``random``,
+one of random strings and one of ordinary words, are trained from labelled samples; a candidate (any run of
+``CANDIDATE`` characters) whose log-likelihood ratio is above ``MARGIN`` per step is one more span, of kind ``random``,
 unless it touches a base span. Spans are kind:start:end in code points, end exclusive.
 
-Labelled samples come from at most ``SAMPLE_DOCS`` documents (smallest id hashes): values found by the base rules are
-random strings; words and identifiers of texts without any are ordinary. Without samples of both classes the
-ratio is 0 and no span is added. Null text is empty. Ties and repeated rows need no rule: each row stands alone.
+Labelled samples come from at most ``SAMPLE_DOCS`` documents (smallest id hashes) of those that hold base spans and as
+many of the rest: values found by the base rules are random strings; words and identifiers of the rest are ordinary.
+Without samples of both classes the ratio is 0 and no span is added. Null text is empty. Ties and repeated rows need no
+rule: each row stands alone.
 """
 
 from __future__ import annotations
@@ -22,12 +23,14 @@ from millrace.llm.common import bounded_sample, settle
 SAMPLE_DOCS = 6_000
 MARGIN = 0.2
 SYMBOLS = 95  # printable ASCII
-CANDIDATE = "(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE = "[A-Za-z0-9+/_=-]{16,}"
 KINDS = ("assign", "access", "hex")
 #: Fixed by the contract. A match of ``access`` or ``hex`` that is too short holds no longer one, so the length may stand in the pattern.
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
+#: ``ASSIGN`` with a value that is long enough.
+ASSIGN_FITS = ASSIGN[:-2] + "{8,})"
 
 OPEN, CLOSE, OTHER = "\x01", "\x02", "\x03"
 
@@ -80,12 +83,16 @@ def with_base_spans(docs: DataFrame) -> DataFrame:
 
 
 def labelled_samples(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
-    """(sample, random): values of base spans, and words of texts in which the base rules find nothing."""
-    ids = docs.select(F.col("doc_id").alias("__id")).where(F.col("__id").isNotNull())
+    """(sample, random): values of base spans, and words of texts in which the base rules find nothing.
+
+    Every text is looked at for base spans; at most ``limit`` documents with and ``limit`` without them are read.
+    """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    some = rows.join(F.broadcast(bounded_sample(ids, limit, "__id")), F.col("doc_id") == F.col("__id"))
-    suspect = F.col("text").rlike(ASSIGN) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
-    some = some.select("doc_id", "text", suspect.alias("suspect"))
+    suspect = F.col("text").rlike(ASSIGN_FITS) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
+    ids = settle(rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), suspect.alias("suspect")), "secret-ids")
+    chosen = [bounded_sample(ids.where(which), limit, "__id").distinct() for which in ("suspect", "NOT suspect")]
+    some = rows.join(F.broadcast(chosen[0].union(chosen[1])), F.col("doc_id") == F.col("__id")).where(F.col("suspect") == suspect)
+    some = some.select("doc_id", "text", "suspect")
     values = F.explode(F.concat("assign", "access", "hex"))
     random = with_base_spans(some.where("suspect")).select(values.alias("v")).select(F.col("v.found").alias("sample"), F.lit(True).alias("random"))
     words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0)))

@@ -172,6 +172,24 @@ def test_random_strings_stand_out(spark):
     assert got[1].startswith("random:4:") and got[2] == ""
 
 
+def test_random_strings_without_digits_and_rare_secrets(spark):
+    rng = random.Random(2)
+    draw = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    prose = "the configuration of station parallel internal reference total running characteristically internationalization".split()
+    texts = {i: " ".join(rng.choice(prose) for _ in range(30)) for i in range(300)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    late = [r[0] for r in docs.orderBy(F.xxhash64("doc_id")).select("doc_id").collect()][-8:]  # out of a blind sample's reach
+    texts |= {i: f"{texts[i]}{''.join(f' token={draw(40)}' for _ in range(40))}" for i in late} | {i: f"{texts[i]} password=short" for i in range(300) if i not in late}
+    samples = secret_scan.labelled_samples(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 20)
+    assert {r["random"] for r in samples.collect()} == {True, False}
+    keys = {i: draw(20) for i in range(1000, 1010)}
+    texts |= {i: f"key {k} of internationalization/characteristically" for i, k in keys.items()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scanned(docs, secret_scan.train(samples)).collect()}
+    assert {i: got[i] for i in keys} == dict.fromkeys(keys, "random:4:24")
+    assert all(("random" not in got[i]) for i in range(300))
+
+
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = pieces.read_model()
