@@ -278,6 +278,15 @@ def test_pairs_of_terms_count():
     assert machine.score({1, 2}) > 0.9 and machine.score({1}) < 0.3 and machine.score({2}) < 0.3 and machine.score(set()) < 0.3
 
 
+def test_quality_scans_in_many_tasks(spark, monkeypatch):
+    plans = []
+    settle = quality.settle
+    monkeypatch.setattr(quality, "settle", lambda df, purpose: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), settle(df, purpose))[1])
+    rows = [(("good words of prose " if i % 2 else "### $$$ ") * (i + 3), float(i % 2)) for i in range(40)]
+    quality.train(spark.createDataFrame(rows, "text string, y double").repartition(8))
+    assert len(plans) == 1 and "Repartition 1, false" not in plans[0]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
