@@ -4,6 +4,7 @@
   folded to (group, value, count), cut into value ranges, counted inside each range in
   parallel, and the ranges are stitched together with their running totals.
 * ``chunk_of``       value -> range number, as a binary decision over literal split points.
+* ``numbered``       places in a total order: ranges are sorted in parallel, their sizes added up.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.session import chunk_count
-
+from millrace.session import chunk_count, cut_lineage
 
 
 def split_points(df: DataFrame, col: str, pieces: int | None = None) -> list:
@@ -107,6 +107,25 @@ def group_quantiles(
     return ranked.groupBy(*groups).agg(*quantile_columns(value, wanted))
 
 
+def numbered(df: DataFrame, order: Sequence[Column | str], name: str, pieces: int | None = None) -> DataFrame:
+    """Adds ``name``: each row's place, from 0, in the total order; no task sees more than one range of it.
+
+    Rows are dealt by ranges of ``order`` and sorted inside them; Spark's row ids then hold the range and the place
+    in it. The dealt rows are settled once, so that counts and rows come from the same ranges. Only one count per
+    range is added up in one place. Make ``order`` total, or a lost executor may swap equal rows.
+    """
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = df.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
+    dealt = cut_lineage(dealt.withColumn("__row", F.monotonically_increasing_id()))
+    dealt = dealt.withColumn("__range", F.shiftright("__row", 33))
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = W.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    place = F.col("__before") + F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    # at most ``pieces`` rows
+    return dealt.join(F.broadcast(offsets), "__range").select(*df.columns, place.alias(name))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join on ``<=>`` keeping the left key columns only."""
     keys = list(keys)

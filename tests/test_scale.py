@@ -73,3 +73,17 @@ def test_no_cartesian_products(spark):
 def test_many_pivot_labels(spark):
     rows = spark.range(1_500).selectExpr("id AS label")
     assert len(scale.pivot_values(rows, "label")) == 1_500
+
+
+def test_numbered_is_one_total_order(spark):
+    rows = [(i % 3 if i % 2 else 7, i) for i in range(2000)] + [(None, 2000), (None, 2001)]
+    df = spark.createDataFrame(rows, "score int, id int").repartition(6)
+    mine = [(r["score"], r["id"], r["place"]) for r in scale.numbered(df, [F.desc("score"), F.asc("id")], "place").collect()]
+    best = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert sorted(mine, key=lambda r: r[2]) == [(*r, i) for i, r in enumerate(best)]
+
+
+def test_numbered_keeps_columns_and_empty_frames(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    out = scale.numbered(df, ["a"], "n")
+    assert out.columns == ["a", "b", "n"] and out.count() == 0
