@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from millrace.llm import (
-    decontamination, fingerprints, html_text, language_id, line_dedup, near_dedup, pieces, quality, secret_scan, toxicity,
+    decontamination, fingerprints, html_text, language_id, line_dedup, near_dedup, pieces, quality, resampling, secret_scan, toxicity,
 )
 from millrace.llm.common import table
 from millrace.plans.base import Register
@@ -60,3 +60,8 @@ def op9(spark, folder):
 @_register.add("op10_fingerprints")
 def op10(spark, folder):
     return fingerprints.compared(table(spark, folder, "documents"))
+
+
+@_register.add("op11_resampling", resampling.SQL)
+def op11(spark, folder):
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
