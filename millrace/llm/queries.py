@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from millrace.llm import (
-    decontamination, fingerprints, html_text, language_id, line_dedup, near_dedup, pieces, quality, resampling, secret_scan, toxicity,
+    decontamination, fingerprints, html_text, language_id, lexical_search, line_dedup, near_dedup, pieces, quality, resampling,
+    secret_scan, token_files, toxicity,
 )
 from millrace.llm.common import table
 from millrace.plans.base import Register
@@ -65,3 +68,13 @@ def op10(spark, folder):
 @_register.add("op11_resampling", resampling.SQL)
 def op11(spark, folder):
     return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@_register.add("op12_token_files")
+def op12(spark, folder):
+    return token_files.encoded(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_register.add("op13_search", lexical_search.SQL)
+def op13(spark, folder):
+    return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
