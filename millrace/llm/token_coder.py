@@ -16,16 +16,18 @@ from __future__ import annotations
 import numpy as np
 
 #: Lanes of a block at most, and ids a lane should have at least.
-LANES, LEAST_STEPS = 4096, 48
+LANES, LEAST_STEPS = 8192, 48
 #: Slots of the order-2 table (a power of two), greatest confidence, weight of an id seen at order 0.
 SLOTS_BITS, SURE, SEEN = 18, 3, 32
 #: Ids between renewals of the order-0 frequencies, at most.
-RENEWAL = 16_384
+RENEWAL = 32_768
 
 _MIX_BITS = np.uint64(16)
 _LEAST = np.uint64(1 << 32)
 _UNIT, _TOP = np.uint64(16), np.uint64(48)
 _MASK = np.uint64((1 << 32) - 1)
+#: The trust that follows a trust whose guess was right (even places) or wrong (odd); a new guess starts at 1.
+_TRUST = np.array([x for trust in range(SURE + 1) for x in (min(trust + 1, SURE), max(trust - 1, 1))], np.int8)
 
 
 def lanes_of(n: int) -> tuple[int, int]:
@@ -56,36 +58,52 @@ class Model:
         self.below = np.zeros(self.vocabulary + 1, np.uint64)
         np.cumsum(self.seen, out=self.below[1:].view(np.int64))
         self.total = self.below[-1]
+        self.cells = None
+
+    def find(self, target: np.ndarray) -> np.ndarray:
+        """The ids whose stretches of the order-0 frequencies hold ``target``: by a table of cells, then by halving."""
+        shift = np.uint64(max(0, int(self.total).bit_length() - 14))
+        if self.cells is None:
+            cell = (self.below >> shift).astype(np.int64)
+            self.cells = np.append(0, np.cumsum(np.bincount(cell))) - 1  # the last id that begins before a cell
+        cell = (target >> shift).astype(np.int64)
+        low, high = np.maximum(self.cells[cell], 0), self.cells[cell + 1]
+        left = np.flatnonzero(low < high)
+        while len(left):
+            middle = (low[left] + high[left] + 1) >> 1
+            fits = self.below[middle] <= target[left]
+            low[left[fits]] = middle[fits]
+            high[left[~fits]] = middle[~fits] - 1
+            left = left[low[left] < high[left]]
+        return low
 
     def predict(self, active: int) -> None:
-        """Guesses, the row of the mix and the two cuts of its interval for the first ``active`` lanes."""
+        """Guesses and the row of the mix for the first ``active`` lanes, and the cuts of each row's interval."""
         one = self.last[:active]
         two = (self.second[:active] * 0x9E3779B1 + one * 0x85EBCA77 >> 7) & ((1 << SLOTS_BITS) - 1)
-        self.slots = [one, two]
+        self.slots = (one, two)
         self.first, self.other = self.guess[1][two], self.guess[0][one]
-        self.trusts = [self.trust[0][one], self.trust[1][two]]
-        same = self.first == self.other
-        self.row = (self.trusts[1] * (SURE + 1) + self.trusts[0]) * 2 + same
-        # cuts in 2^16: the order-2 guess lies below the first, the order-1 guess between both
-        n = self.mixed.sum(axis=1)
-        low = (self.mixed[:, 0] << 16) // n
+        self.trusts = (self.trust[0][one], self.trust[1][two])
+        row = self.trusts[1] * np.int8(2 * (SURE + 1)) + self.trusts[0] * np.int8(2)
+        self.row = (row + (self.first == self.other)).astype(np.int64) * 3
+        # of 2^16, the order-2 guess has what lies below the first cut, the order-1 guess what lies below the second
+        low, high = (np.cumsum(self.mixed[:, :2], axis=1) << 16).T // self.mixed.sum(axis=1)
         low = np.clip(low, 1, (1 << 16) - 3)
-        high = np.clip(((self.mixed[:, 0] + self.mixed[:, 1]) << 16) // n, low + 1, (1 << 16) - 1)
-        self.cut_one, self.cut_two = low.astype(np.uint64)[self.row], high.astype(np.uint64)[self.row]
+        high = np.clip(high, low + 1, (1 << 16) - 1)
+        self.begin = np.stack([np.zeros_like(low), low, high], axis=1).astype(np.uint64).ravel()
+        self.width = np.stack([low, high - low, (1 << 16) - high], axis=1).astype(np.uint64).ravel()
 
-    def learn(self, ids: np.ndarray, kind: np.ndarray, missed: np.ndarray) -> None:
-        """``kind``: 0 order 2 was right, 1 order 1, 2 neither; ``missed`` are the ids of the last kind."""
+    def learn(self, ids: np.ndarray, wrong: np.ndarray, kind: np.ndarray, missed: np.ndarray) -> None:
+        """``kind``: 0 order 2 was right, 1 order 1, 2 neither; ``wrong``: not 0; ``missed``: the ids of kind 2."""
         active = len(ids)
-        self.mixed += np.bincount(self.row.astype(np.int64) * 3 + kind, minlength=self.mixed.size).reshape(self.mixed.shape)
+        self.mixed += np.bincount(self.row + kind, minlength=self.mixed.size).reshape(self.mixed.shape)
         if self.mixed[:, 2].max() > 1 << 20:
             self.mixed = (self.mixed >> 1) + 1
-        for order, guess in ((0, self.other), (1, self.first)):
-            right = guess == ids
-            trust = self.trusts[order]
-            replace = ~right & (trust <= 1)
-            slots = self.slots[order]
-            self.guess[order][slots] = np.where(replace, ids, guess)
-            self.trust[order][slots] = np.where(right, np.minimum(trust + 1, SURE), np.where(replace, 1, trust - 1))
+        for order, bad in ((0, self.other != ids), (1, wrong)):
+            trust, slots = self.trusts[order], self.slots[order]
+            self.trust[order][slots] = _TRUST[trust * np.int8(2) + bad]
+            new = np.flatnonzero(bad & (trust <= 1))
+            self.guess[order][slots[new]] = ids[new]
         self.second[:active] = self.last[:active]
         self.last[:active] = ids
         self.new.append(missed)
@@ -130,12 +148,11 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
         active = -(-(n - step) // steps)
         now = by_step[step, :active]
         model.predict(active)
-        kind = np.where(now == model.first, 0, np.where(now == model.other, 1, 2))
-        unit = size[:active] >> _MIX_BITS
-        begin = np.where(kind == 0, 0, np.where(kind == 1, model.cut_one, model.cut_two))
-        end = np.where(kind == 0, model.cut_one, np.where(kind == 1, model.cut_two, np.uint64(1 << 16)))
-        low[:active] += unit * begin
-        size[:active] = unit * (end - begin)
+        wrong = now != model.first
+        kind = wrong + (wrong & (now != model.other)).view(np.int8)
+        unit, place = size[:active] >> _MIX_BITS, model.row + kind
+        low[:active] += unit * model.begin[place]
+        size[:active] = unit * model.width[place]
         settle(active)
         miss = np.flatnonzero(kind == 2)
         missed = now[miss]
@@ -145,7 +162,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
             low[miss] += unit * begin
             size[miss] = unit * (model.below[missed + 1] - begin)
             settle(active)
-        model.learn(now, kind, missed)
+        model.learn(now, wrong, kind, missed)
     final = (low + _MASK) & ~_MASK  # inside the range, whose lower 32 bits can be left out
     for shift in (48, 32):
         out[np.arange(lanes), sent] = (final >> np.uint64(shift)).astype(np.uint16)
@@ -186,25 +203,24 @@ def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
         model.predict(active)
         unit = size[:active] >> _MIX_BITS
         offset = value[:active] - low[:active]
-        one, two = unit * model.cut_one, unit * model.cut_two
-        kind = (offset >= one).astype(np.int64) + (offset >= two)
-        begin = np.where(kind == 0, 0, np.where(kind == 1, one, two))
-        end = np.where(kind == 0, one, np.where(kind == 1, two, unit << _MIX_BITS))
-        low[:active] += begin
-        size[:active] = end - begin
+        wrong = offset >= unit * model.begin[model.row + 1]
+        kind = wrong + (offset >= unit * model.begin[model.row + 2]).view(np.int8)
+        place = model.row + kind
+        low[:active] += unit * model.begin[place]
+        size[:active] = unit * model.width[place]
         settle(active)
-        now = np.where(kind == 0, model.first, model.other).astype(np.int64)
+        now = np.where(wrong, model.other, model.first).astype(np.int64)
         miss = np.flatnonzero(kind == 2)
         missed = now[:0]
         if len(miss):
             unit = size[miss] // model.total
             target = np.minimum((value[miss] - low[miss]) // unit, model.total - np.uint64(1))
-            missed = np.searchsorted(model.below, target, "right") - 1
+            missed = model.find(target)
             begin = model.below[missed]
             low[miss] += unit * begin
             size[miss] = unit * (model.below[missed + 1] - begin)
             settle(active)
             now[miss] = missed
-        model.learn(now, kind, missed)
+        model.learn(now, wrong, kind, missed)
         by_step[step, :active] = now
     return by_step.T.reshape(-1)[:n]

@@ -10,8 +10,8 @@ writes them again; ``range`` and ``block`` give their order.
 ``read`` gives the ids back, ``digests`` their counts, places and CRC-32 only; both check every block. The place of a
 document among all ids is the sum of the ranges before it (one row a range) plus its place in the range.
 
-Texts are cut before single blanks between two characters that are no white space, where the tokenizer's own pattern always
-cuts, so that equal stretches are encoded once a slice; a worker keeps a bounded table of the stretches it met.
+Texts are cut at places where the tokenizer's own pattern always cuts, so that an equal stretch is encoded once; a worker
+keeps a table of the stretches it met, up to a bound.
 Null text is empty, empty text gives the end id alone, and a null doc_id stays null.
 """
 
@@ -40,8 +40,8 @@ from millrace.sources.paths import scratch_folder
 
 BLOCK_IDS = 1 << 21
 END = 0
-#: Stretches, and ids of stretches, that a worker keeps.
-KEPT, KEPT_IDS = 300_000, 3_000_000
+#: Stretches, and ids of stretches, from which on a worker forgets those it met; bytes of text it encodes at a time.
+KEPT, KEPT_IDS, SLICE_BYTES = 600_000, 4_000_000, 8 << 20
 
 _HEADER = struct.Struct("<4sIIIQQQII")  # magic, vocabulary, documents, bytes of the table, ids, first document, ids before, bytes of the code, CRC-32
 _MAGIC = b"IDS1"
@@ -65,17 +65,30 @@ def vocabulary(path: str) -> int:
     return max(tokenizer(path).get_vocab(with_added_tokens=True).values()) + 1
 
 
-_VISIBLE = np.zeros(256, bool)
+_VISIBLE, _LETTER, _STOP = (np.zeros(256, bool) for _ in range(3))
 _VISIBLE[0x21:0x7F] = True
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_STOP[[ord(c) for c in ".,;:!?"]] = True
 
 
 def stretches(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Where the bytes are cut: at each text, and before a blank between two visible characters (ASCII, U+00C0 to U+00FF)."""
-    blank = np.flatnonzero(data[1:-1] == 0x20) + 1
-    before, after = data[blank - 1], data[blank + 1]
-    seen = _VISIBLE[before] | ((before >= 0x80) & (data[np.maximum(blank - 2, 0)] == 0xC3))
-    cuts = blank[seen & (_VISIBLE[after] | (after == 0xC3))]
-    return np.unique(np.concatenate([ends, cuts]))
+    """Where the bytes are cut: at each text, and where the tokenizer's pattern cuts whatever lies around.
+
+    These are the places before a blank, and before and after a line break, between two visible characters (ASCII, or
+    U+00C0 to U+00FF), and between a letter of these and a stop.
+    """
+    if len(data) < 3:
+        return np.unique(ends)
+    marks = np.zeros(len(data) + 1, bool)
+    marks[ends] = True
+    here, before, after = data[1:-1], data[:-2], data[2:]
+    latin = np.zeros(len(here), bool)  # the byte before ends one of U+00C0 to U+00FF
+    latin[1:] = (before[1:] >= 0x80) & (data[:-3] == 0xC3)
+    seen = (_VISIBLE[before] | latin) & (_VISIBLE[after] | (after == 0xC3))
+    marks[1:-2] |= seen & ((here == 0x20) | (here == 0x0A))
+    marks[2:-1] |= seen & (here == 0x0A)
+    marks[1:-2] |= _STOP[here] & (_LETTER[before] | latin & (before != 0x97) & (before != 0xB7))  # but for the signs U+00D7, U+00F7
+    return np.flatnonzero(marks)
 
 
 class Encoder:
@@ -109,12 +122,14 @@ class Encoder:
             return np.full(len(texts), END, np.int32), np.ones(len(texts), np.int64)
         cuts = stretches(data, ends)
         pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
-        if len(self.known) + len(pieces.dictionary) > KEPT or len(self.ids) > KEPT_IDS:
+        if len(self.known) > KEPT or len(self.ids) > KEPT_IDS:
             self._forget()
-        new = pieces.dictionary.filter(pc.invert(pc.is_in(pieces.dictionary, value_set=self.known)))
+        place = pc.fill_null(pc.index_in(pieces.dictionary, value_set=self.known), -1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        place[new] = len(self.known) + np.arange(len(new))
         if len(new):
-            self._learn(new)
-        place = pc.index_in(pieces.dictionary, value_set=self.known).to_numpy()[pieces.indices.to_numpy()]
+            self._learn(pieces.dictionary.take(pa.array(new)))
+        place = place[pieces.indices.to_numpy()]
         size = self.size[place]
         text = np.searchsorted(ends, cuts[:-1], "right") - 1
         total = int(size.sum())
@@ -162,7 +177,7 @@ def _writer(path: str, size: int, block_ids: int):
             held, rows, count = [], [], 0
             return pa.RecordBatch.from_arrays(columns, names=["range", "block", "n_ids", "body"])
 
-        for part in slices(batches):
+        for part in slices(batches, SLICE_BYTES):
             ids, counts = encoder.encode(part["text"])
             at = 0
             for doc, n in zip(part["doc_id"].to_pylist(), counts.tolist()):
