@@ -117,16 +117,18 @@ def search_slice(codes: np.ndarray, weights: np.ndarray, impact: np.ndarray, mos
     bounds = (weights[codes] * most[codes]) @ present[:, some[first]]
     order = np.argsort(-bounds, kind="stable")
     members = np.argsort(group, kind="stable")  # documents by group
-    ends = np.append(0, np.cumsum(np.bincount(group, minlength=len(first))))
+    sizes = np.bincount(group, minlength=len(first))
+    ends = np.append(0, np.cumsum(sizes))
+    reached = np.cumsum(sizes[order])
     at, size, seen = 0, ROUND, 0
     while at < len(order) and bounds[order[at]] >= found.least():
-        here = order[at : at + size]
-        here = here[bounds[here] >= found.least()]
+        after = int(np.searchsorted(reached, seen + size)) + 1
+        here = order[at:after]
         chosen = np.concatenate([members[ends[g] : ends[g + 1]] for g in here])
         rows = some[chosen]
         scores = weights[codes] @ holds[:, rows].astype(np.int64)
         found.add(scores, docs[rows], named[rows])
-        at, size, seen = at + size, 2 * size, seen + len(rows)
+        at, size, seen = after, 2 * size, seen + len(rows)
     return seen
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Lanes of a block at most, and ids a lane should have at least.
-LANES, LEAST_STEPS = 8192, 48
+LANES, LEAST_STEPS = 8192, 96
 #: Slots of the order-2 table (a power of two), greatest confidence, weight of an id seen at order 0.
 SLOTS_BITS, SURE, SEEN = 18, 3, 32
 #: Ids between renewals of the order-0 frequencies, at most.
@@ -36,6 +36,11 @@ def lanes_of(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _length_type(steps: int) -> str:
+    """How the length of a lane is written: an id sends two units at most."""
+    return "<u2" if 2 * steps + 8 < 1 << 16 else "<u4"
+
+
 class Model:
     """Predictions shared by all lanes of a block; the same calls in coder and decoder keep both alike."""
 
@@ -124,7 +129,7 @@ def _shift(low: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:
-    """The block's code: 32-bit lengths of the lanes in 16-bit units, then the lanes' units."""
+    """The block's code: the lengths of the lanes in 16-bit units, then the lanes' units."""
     n = len(ids)
     if not n:
         return b""
@@ -168,7 +173,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
         out[np.arange(lanes), sent] = (final >> np.uint64(shift)).astype(np.uint16)
         sent += 1
     units = out[np.arange(out.shape[1]) < sent[:, None]]
-    return sent.astype("<u4").tobytes() + units.astype("<u2").tobytes()
+    return sent.astype(_length_type(steps)).tobytes() + units.astype("<u2").tobytes()
 
 
 def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
@@ -176,8 +181,9 @@ def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
     if not n:
         return np.empty(0, np.int64)
     lanes, steps = lanes_of(n)
-    lengths = np.frombuffer(code, "<u4", lanes).astype(np.int64)
-    units = np.frombuffer(code, "<u2", int(lengths.sum()), 4 * lanes).astype(np.uint64)
+    written = np.dtype(_length_type(steps))
+    lengths = np.frombuffer(code, written, lanes).astype(np.int64)
+    units = np.frombuffer(code, "<u2", int(lengths.sum()), written.itemsize * lanes).astype(np.uint64)
     units = np.append(units, np.zeros(4, np.uint64))
     at_end = np.cumsum(lengths)
     read = at_end - lengths
