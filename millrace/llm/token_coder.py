@@ -17,7 +17,7 @@ import numpy as np
 
 #: Lanes of a block at most, and ids a lane should have at least.
 LANES, LEAST_STEPS = 8192, 96
-#: Slots of the order-2 table (a power of two), greatest confidence, weight of an id seen at order 0.
+#: Slots of the order-2 table (as a power of two), greatest trust (all of two bits), weight of an id seen at order 0.
 SLOTS_BITS, SURE, SEEN = 18, 3, 32
 #: Ids between renewals of the order-0 frequencies, at most.
 RENEWAL = 32_768
@@ -26,8 +26,6 @@ _MIX_BITS = np.uint64(16)
 _LEAST = np.uint64(1 << 32)
 _UNIT, _TOP = np.uint64(16), np.uint64(48)
 _MASK = np.uint64((1 << 32) - 1)
-#: The trust that follows a trust whose guess was right (even places) or wrong (odd); a new guess starts at 1.
-_TRUST = np.array([x for trust in range(SURE + 1) for x in (min(trust + 1, SURE), max(trust - 1, 1))], np.int8)
 
 
 def lanes_of(n: int) -> tuple[int, int]:
@@ -46,8 +44,8 @@ class Model:
 
     def __init__(self, vocabulary: int, lanes: int) -> None:
         self.vocabulary = vocabulary
-        self.guess = [np.zeros(vocabulary, np.int32), np.zeros(1 << SLOTS_BITS, np.int32)]
-        self.trust = [np.zeros(vocabulary, np.int8), np.zeros(1 << SLOTS_BITS, np.int8)]
+        # guesses of order 1 and 2, each with its trust in the two lowest bits
+        self.guesses = [np.zeros(vocabulary, np.int64), np.zeros(1 << SLOTS_BITS, np.int64)]
         self.last = np.zeros(lanes, np.int64)
         self.second = np.zeros(lanes, np.int64)
         self.mixed = np.tile(np.array([1, 1, 2], np.int64), (2 * (SURE + 1) ** 2, 1))
@@ -67,7 +65,7 @@ class Model:
 
     def find(self, target: np.ndarray) -> np.ndarray:
         """The ids whose stretches of the order-0 frequencies hold ``target``: by a table of cells, then by halving."""
-        shift = np.uint64(max(0, int(self.total).bit_length() - 14))
+        shift = np.uint64(max(0, int(self.total).bit_length() - 16))
         if self.cells is None:
             cell = (self.below >> shift).astype(np.int64)
             self.cells = np.append(0, np.cumsum(np.bincount(cell))) - 1  # the last id that begins before a cell
@@ -87,10 +85,10 @@ class Model:
         one = self.last[:active]
         two = (self.second[:active] * 0x9E3779B1 + one * 0x85EBCA77 >> 7) & ((1 << SLOTS_BITS) - 1)
         self.slots = (one, two)
-        self.first, self.other = self.guess[1][two], self.guess[0][one]
-        self.trusts = (self.trust[0][one], self.trust[1][two])
-        row = self.trusts[1] * np.int8(2 * (SURE + 1)) + self.trusts[0] * np.int8(2)
-        self.row = (row + (self.first == self.other)).astype(np.int64) * 3
+        self.entries = (self.guesses[0][one], self.guesses[1][two])
+        self.first, self.other = self.entries[1] >> 2, self.entries[0] >> 2
+        row = (self.entries[1] & SURE) * (2 * (SURE + 1)) + (self.entries[0] & SURE) * 2
+        self.row = (row + (self.first == self.other)) * 3
         # of 2^16, the order-2 guess has what lies below the first cut, the order-1 guess what lies below the second
         low, high = (np.cumsum(self.mixed[:, :2], axis=1) << 16).T // self.mixed.sum(axis=1)
         low = np.clip(low, 1, (1 << 16) - 3)
@@ -104,11 +102,12 @@ class Model:
         self.mixed += np.bincount(self.row + kind, minlength=self.mixed.size).reshape(self.mixed.shape)
         if self.mixed[:, 2].max() > 1 << 20:
             self.mixed = (self.mixed >> 1) + 1
+        new = (ids << 2) + 1
         for order, bad in ((0, self.other != ids), (1, wrong)):
-            trust, slots = self.trusts[order], self.slots[order]
-            self.trust[order][slots] = _TRUST[trust * np.int8(2) + bad]
-            new = np.flatnonzero(bad & (trust <= 1))
-            self.guess[order][slots[new]] = ids[new]
+            entry = self.entries[order]
+            trust = entry & SURE
+            moved = np.where(bad, entry - 1, entry + (trust < SURE))
+            self.guesses[order][self.slots[order]] = np.where(bad & (trust <= 1), new, moved)
         self.second[:active] = self.last[:active]
         self.last[:active] = ids
         self.new.append(missed)

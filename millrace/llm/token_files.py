@@ -41,7 +41,7 @@ from millrace.sources.paths import scratch_folder
 BLOCK_IDS = 1 << 21
 END = 0
 #: Stretches, and ids of stretches, from which on a worker forgets those it met; bytes of text it encodes at a time.
-KEPT, KEPT_IDS, SLICE_BYTES = 600_000, 4_000_000, 8 << 20
+KEPT, KEPT_IDS, SLICE_BYTES = 1_000_000, 6_000_000, 8 << 20
 
 _HEADER = struct.Struct("<4sIIIQQQII")  # magic, vocabulary, documents, bytes of the table, ids, first document, ids before, bytes of the code, CRC-32
 _MAGIC = b"IDS1"
@@ -104,8 +104,8 @@ class Encoder:
 
     def _learn(self, new: pa.Array) -> None:
         texts, ids, sizes = new.to_pylist(), [], []
-        for start in range(0, len(texts), 2000):
-            part = texts[start : start + 2000]
+        for start in range(0, len(texts), 200):
+            part = texts[start : start + 200]
             coded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(coded.ids, np.int32))
             sizes.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(part)))
@@ -140,6 +140,12 @@ class Encoder:
         return out, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64) + 1
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """A worker's encoder: it serves all tasks the worker runs."""
+    return Encoder(path)
+
+
 def pack(ids: np.ndarray, table: np.ndarray, first: int, before: int, size: int) -> bytes:
     """A block: ``table`` has a row (doc_id, ids here, 1 null id + 2 begun earlier + 4 goes on) for each document."""
     listed = zlib.compress(np.ascontiguousarray(table.T).astype("<i8").tobytes(), 1)
@@ -163,7 +169,7 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, int, int]:
 def _writer(path: str, size: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         held: list[np.ndarray] = []
         rows: list[list[int]] = []
         count, block, first, before = 0, 0, 0, 0
