@@ -20,7 +20,7 @@ LANES, LEAST_STEPS = 8192, 96
 #: Slots of the order-2 table (as a power of two), greatest trust (all of two bits), weight of an id seen at order 0.
 SLOTS_BITS, SURE, SEEN = 18, 3, 32
 #: Ids between renewals of the order-0 frequencies, at most.
-RENEWAL = 32_768
+RENEWAL = 65_536
 
 _MIX_BITS = np.uint64(16)
 _LEAST = np.uint64(1 << 32)

@@ -132,12 +132,11 @@ class Encoder:
         place = place[pieces.indices.to_numpy()]
         size = self.size[place]
         text = np.searchsorted(ends, cuts[:-1], "right") - 1
-        total = int(size.sum())
-        at = np.arange(total)
-        source = at + np.repeat(self.first[place] - (np.cumsum(size) - size), size)
-        out = np.full(total + len(texts), END, np.int32)
-        out[at + np.repeat(text, size)] = self.ids[source]
-        return out, np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64) + 1
+        ends_of = np.cumsum(size)
+        source = np.repeat(self.first[place] - (ends_of - size), size)
+        source += np.arange(len(source))
+        counts = np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64)
+        return np.insert(self.ids[source], np.cumsum(counts), END), counts + 1
 
 
 @lru_cache(maxsize=1)
