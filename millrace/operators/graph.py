@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from millrace.errors import QueryError
 from millrace.operators.scale import pivot_values
 from millrace.session import cut_lineage
+from millrace.sources.paths import settled
 
 
 def node_totals(
@@ -32,19 +33,87 @@ def _links(edges: DataFrame, source: str, target: str, value: str) -> DataFrame:
     return known.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum(value).alias("value"))
 
 
+def _trimmed(links: DataFrame) -> DataFrame:
+    """Links with one before and one behind them."""
+    ends = links.select(F.col("target").alias("source")).distinct()
+    starts = links.select(F.col("source").alias("target")).distinct()
+    return links.join(ends, "source", "left_semi").join(starts, "target", "left_semi").select("source", "target")
+
+
+def _chain_ends(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Inner nodes of chains, those with one link in and one out: (node, first, last) with the chain's ends.
+
+    By pointer doubling, so a chain of n nodes takes log n rounds. The second frame holds inner nodes of closed chains,
+    which have no ends.
+    """
+    ends = links.select(F.explode(F.array(
+        F.struct(F.col("source").alias("node"), F.lit(0).alias("come"), F.lit(1).alias("go"), F.lit(None).alias("before"), F.col("target").alias("after")),
+        F.struct(F.col("target").alias("node"), F.lit(1).alias("come"), F.lit(0).alias("go"), F.col("source").alias("before"), F.lit(None).alias("after")),
+    )).alias("e")).select("e.*")
+    degree = ends.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("come", "go")], F.max("before").alias("before"), F.max("after").alias("after"))
+    inner = settled(degree.where("come = 1 AND go = 1 AND node <> after").select("node", "before", "after"))
+    names = inner.select(F.col("node").alias("__inner"))
+    # a pointer that has left the chain is an end; the others still stand on an inner node
+    state = inner.join(names, F.col("before") == F.col("__inner"), "left").withColumnRenamed("__inner", "__b")
+    state = state.join(names, F.col("after") == F.col("__inner"), "left").withColumnRenamed("__inner", "__a")
+    state = state.select(
+        "node", "before", "after", F.col("__b").isNull().alias("first"), F.col("__a").isNull().alias("last")
+    )
+    for _ in range(inner.count().bit_length() + 1):
+        state = settled(state)
+        if state.where("NOT first OR NOT last").isEmpty():
+            break
+        back = state.select(F.col("node").alias("__b"), F.col("before").alias("__before"), F.col("first").alias("__first"))
+        ahead = state.select(F.col("node").alias("__a"), F.col("after").alias("__after"), F.col("last").alias("__last"))
+        state = state.join(back, ~F.col("first") & (F.col("before") == F.col("__b")), "left")
+        state = state.join(ahead, ~F.col("last") & (F.col("after") == F.col("__a")), "left")
+        state = state.select(
+            "node", F.coalesce("__before", "before").alias("before"), F.coalesce("__after", "after").alias("after"),
+            F.coalesce("__first", "first").alias("first"), F.coalesce("__last", "last").alias("last"),
+        )
+    state = settled(state)
+    return state.where("first AND last").select("node", "before", "after"), state.where("NOT first OR NOT last").select("node")
+
+
 def cyclic_links(links: DataFrame) -> DataFrame:
-    """Links on or between cycles: what is left after peeling link ends with nothing behind them."""
-    left = cut_lineage(links.select("source", "target").distinct())
+    """Links on or between cycles.
+
+    Each round takes away the links with nothing before or behind them and replaces every chain by one link, so chains,
+    trees and stars of any length go in a few rounds; only a mesh goes layer by layer. A link is cyclic if the link
+    that stands for it is left.
+    """
+    left = settled(links.select("source", "target").distinct())
+    stands = left.select("source", "target", F.col("source").alias("s"), F.col("target").alias("t"))
+    closed = left.limit(0)
     size = left.count()
     while size:
-        targets = left.select(F.col("target").alias("source")).distinct()
-        sources = left.select(F.col("source").alias("target")).distinct()
-        smaller = cut_lineage(left.join(targets, "source", "left_semi").join(sources, "target", "left_semi"))
-        now = smaller.count()
-        if now == size:
-            return smaller.select("source", "target")
-        left, size = smaller, now
-    return left
+        left = settled(_trimmed(left))
+        now = left.count()
+        if not now:
+            break
+        inner, rings = _chain_ends(left)
+        # links of a closed chain are settled; nothing else touches it
+        closed = closed.unionByName(left.join(rings, F.col("source") == F.col("node"), "left_semi"))
+        if inner.isEmpty():
+            if now == size:
+                break
+            size = now
+            continue
+        start = inner.select(F.col("node").alias("__s"), F.col("before").alias("__before"))
+        end = inner.select(F.col("node").alias("__t"), F.col("after").alias("__after"))
+        moved = left.join(rings, F.col("source") == F.col("node"), "left_anti")
+        moved = moved.join(start, F.col("source") == F.col("__s"), "left").join(end, F.col("target") == F.col("__t"), "left")
+        moved = settled(
+            moved.select("source", "target", F.coalesce("__before", "source").alias("s2"), F.coalesce("__after", "target").alias("t2"))
+        )
+        renamed = moved.select(F.col("source").alias("s"), F.col("target").alias("t"), "s2", "t2")
+        stands = settled(stands.join(renamed, ["s", "t"]).select("source", "target", F.col("s2").alias("s"), F.col("t2").alias("t")).unionByName(
+            stands.join(closed.select(F.col("source").alias("s"), F.col("target").alias("t")), ["s", "t"], "left_semi")
+        ))
+        left = settled(moved.select(F.col("s2").alias("source"), F.col("t2").alias("target")).distinct())
+        size = left.count()
+    kept = left.unionByName(closed).distinct().select(F.col("source").alias("s"), F.col("target").alias("t"))
+    return stands.join(kept, ["s", "t"], "left_semi").select("source", "target")
 
 
 def sankey_links(edges: DataFrame, source: str, target: str, value: str, allow_loops: bool = False) -> DataFrame:
@@ -79,56 +148,63 @@ def dense_matrix(edges: DataFrame, source: str, target: str, value: str) -> Data
     return wide.fillna(0.0, subset=[c for c in wide.columns if c != "source"])
 
 
+def _paths(nodes_: DataFrame) -> DataFrame:
+    """(key, path) from (key, above): the keys from the top down to each node, by pointer doubling.
+
+    A path doubles each round, so rounds grow with the logarithm of the depth. Nodes on or below a loop have no path.
+    """
+    left = nodes_.select("key", "above", F.array("key").alias("path"))
+    done: list[DataFrame] = []
+    while True:
+        left = settled(left)
+        done.append(left.where("above IS NULL").select("key", "path"))
+        left = left.where("above IS NOT NULL")
+        if left.isEmpty():
+            return reduce(lambda a, b: a.unionByName(b), done)
+        known = left
+        for part in done:
+            known = known.unionByName(part.withColumn("above", F.lit(None).cast("string")))
+        known = known.select(F.col("key").alias("__key"), F.col("above").alias("__above"), F.col("path").alias("__path"))
+        longer = left.join(known, F.col("above") == F.col("__key")).select(
+            "key", F.col("__above").alias("above"), F.concat("__path", "path").alias("path")
+        )
+        left = longer.where(F.size(F.array_distinct("path")) == F.size("path"))
+
+
 def hierarchy_rollup(
     df: DataFrame, id: str, parent: str, value: str, root: object = None
 ) -> DataFrame:
     """AG18: parent-pointer tree with depth, path and subtree totals.
 
-    Without ``root`` the only child of some parent with the largest subtree is taken. One step per
-    level, each over that level's nodes only; lineage is cut per level.
+    Without ``root`` the only child of some parent with the largest subtree is taken. Paths come by pointer doubling;
+    then each node's value is added to all nodes of its path at once. An id with several rows is an error.
     """
-    base = df.select(
+    base = df.where(F.col(id).isNotNull()).select(
         F.col(id).alias("id"), F.col(parent).alias("parent"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value")
     )
-    base = cut_lineage(base)
-    known = base.select(F.col("id").alias("parent"))
-    if root is None:
-        start = base.join(known, "parent", "left_anti")
-    else:
-        start = base.where(F.col("id") == F.lit(root))
-    level = start.select("id", "parent", "value", F.array(F.col("id").cast("string")).alias("path"))
-    levels: list[DataFrame] = []
-    while True:
-        level = cut_lineage(level)
-        if level.isEmpty():
-            break
-        if not level.where(F.size(F.array_distinct("path")) < F.size("path")).isEmpty():
+    base = settled(base)
+    if not base.groupBy("id").count().where("count > 1").isEmpty():
+        raise QueryError("a node of the hierarchy is given twice")
+    known = base.select(F.col("id").alias("__known"))
+    linked = base.join(known, F.col("parent") == F.col("__known"), "left")
+    above = F.col("__known").cast("string")
+    if root is not None:
+        above = F.when(F.col("id") != F.lit(root), above)
+    paths = _paths(linked.select(F.col("id").cast("string").alias("key"), above.alias("above")))
+    rows = base.join(paths, F.col("id").cast("string") == F.col("key"))
+    if root is not None:
+        top = str(root)
+        rows = rows.where(F.col("path")[0] == top)
+        back = base.where(F.col("id") == F.lit(root)).select(F.col("parent").cast("string").alias("key"))
+        if not rows.join(back, "key", "left_semi").isEmpty():
             raise QueryError("the hierarchy has a loop")
-        levels.append(level)
-        above = level.select(F.col("id").alias("parent"), F.col("path").alias("__path"))
-        level = base.join(above, "parent").select(
-            "id", "parent", "value", F.concat("__path", F.array(F.col("id").cast("string"))).alias("path")
-        )
-    if not levels:
-        raise QueryError("no root found")
-    # bottom-up: children are folded per parent, then added to the level above
-    done, below = [], None
-    for depth in range(len(levels) - 1, -1, -1):
-        current = levels[depth]
-        if below is None:
-            current = current.withColumns({"subtree": F.col("value"), "nodes": F.lit(1).cast("bigint")})
-        else:
-            sums = below.groupBy(F.col("parent").alias("id")).agg(F.sum("subtree").alias("__s"), F.sum("nodes").alias("__n"))
-            current = current.join(sums, "id", "left").withColumns(
-                {
-                    "subtree": F.col("value") + F.coalesce("__s", F.lit(0.0)),
-                    "nodes": F.lit(1) + F.coalesce("__n", F.lit(0).cast("bigint")),
-                }
-            )
-        below = cut_lineage(current.select("id", "parent", "value", "path", "subtree", "nodes"))
-        done.append(below)
-    tree = reduce(lambda a, b: a.unionByName(b), done)
+    rows = settled(rows)
+    if rows.isEmpty():
+        raise QueryError("the hierarchy has a loop" if root is None and not base.isEmpty() else "no root found")
+    sums = rows.select(F.explode("path").alias("key"), "value").groupBy("key").agg(F.sum("value").alias("subtree"), F.count(F.lit(1)).alias("nodes"))
+    tree = rows.join(sums, "key")
     if root is None:
+        tree = settled(tree)
         only = base.groupBy("parent").agg(F.count(F.lit(1)).alias("__n"), F.min("id").alias("id")).where("__n = 1")
         best = tree.join(only.select("id"), "id", "left_semi").orderBy(F.desc("nodes"), "id").select("id").first()
         if best is None:
@@ -140,5 +216,3 @@ def hierarchy_rollup(
     return tree.select(
         "id", "parent", "value", (F.size("path") - 1).alias("depth"), F.array_join("path", "/").alias("path"), "subtree", "nodes"
     )
-
-

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
+from millrace.operators.axis import POS
+from millrace.operators.scale import numbered
+from millrace.operators.series import running
+from millrace.session import cut_lineage
 
 UNKNOWN_COUNTRY = "XXX"
 
@@ -89,28 +93,54 @@ def networks(df: DataFrame, cidr: str) -> DataFrame:
     return df.withColumns({"first": first, "last": first + size - 1, "prefix": bits})
 
 
-def ip_range_join(df: DataFrame, ip: str, ranges: DataFrame, how: str = "inner") -> DataFrame:
+#: Networks that go to every task whole; more are swept.
+FEW_NETWORKS = 50_000
+
+
+def _covering(points: DataFrame, at: str, ranges: DataFrame, lengths: list[int]) -> DataFrame:
+    """Pairs of points and the networks that hold them: one probe for each prefix length in use."""
+    width = {p: 2 ** (32 - p) for p in lengths}
+    keys = F.array(*[F.struct(F.lit(p).alias("bits"), (F.col(at) - F.pmod(F.col(at), F.lit(width[p]))).alias("start")) for p in lengths])
+    probes = points.withColumn("__probe", F.explode(keys))
+    same = (F.col("__probe.bits") == F.col("prefix")) & (F.col("__probe.start") == F.col("first"))
+    return probes.join(ranges, same, "inner").drop("__probe")
+
+
+def _swept(df: DataFrame, ip: str, ranges: DataFrame, lengths: list[int]) -> DataFrame:
+    """One sweep over boundaries and addresses in ascending order.
+
+    At each address where a network begins or has just ended stands the list of networks that hold it; networks are
+    nested or apart, so that is at most one of each length (a network given n times counts n times). Each address takes
+    the list that stands before it, in its piece of the order or handed on from the pieces before it as one row each.
+    No network is a key, however many addresses it holds.
+    """
+    nets = cut_lineage(ranges)
+    starts = nets.select(F.explode(F.array(F.col("first"), F.col("last") + 1)).alias("__at")).distinct()
+    open_there = _covering(starts, "__at", nets, lengths).groupBy("__at").agg(F.collect_list(F.struct(*nets.columns)).alias("__open"))
+    bounds = starts.join(open_there, "__at", "left").select("__at", F.struct(F.col("__open").alias("nets")).alias("__open"))
+    rows = df.select(F.col(ip).cast("bigint").alias("__at"), F.struct(*df.columns).alias("__given"))
+    both = bounds.unionByName(rows, allowMissingColumns=True)
+    placed = numbered(both, [F.asc_nulls_first("__at"), F.col("__given").isNotNull()], POS)
+    held = running(placed, [], {"__nets": ("last", "__open")}).where(F.col("__given").isNotNull())
+    return held.select("__given.*", F.explode("__nets.nets").alias("__net")).select(*df.columns, "__net.*")
+
+
+def ip_range_join(df: DataFrame, ip: str, ranges: DataFrame, how: str = "inner", few: int = FEW_NETWORKS) -> DataFrame:
     """J10: which networks hold each address (number). ``ranges`` has first, last, prefix.
 
-    A network of p bits matches on equality of the leading p bits, so this is a plain equi-join
-    per prefix length in use (at most 33, read once); no address meets a network it is not in.
+    Up to ``few`` networks go to every task, where an address looks up one network of each prefix length in
+    use (at most 33); more are swept with the addresses in ascending order.
     """
-    lengths = sorted(r[0] for r in ranges.select("prefix").distinct().collect())
-    if not lengths:
+    if how not in ("inner", "left"):
+        raise QueryError("ip_range_join is inner or left")
+    found = ranges.agg(F.sort_array(F.collect_set("prefix")).alias("lengths"), F.count(F.lit(1)).alias("n")).first()
+    if not found["lengths"]:
         raise QueryError("no networks given")
-    width = {p: 2 ** (32 - p) for p in lengths}
-    keys = F.array(
-        *[F.struct(F.lit(p).alias("bits"), (F.col(ip) - F.pmod(F.col(ip), F.lit(width[p]))).alias("start")) for p in lengths]
-    )
-    probes = df.withColumn("__probe", F.explode(keys))
-    matched = probes.join(
-        ranges,
-        (F.col("__probe.bits") == F.col("prefix")) & (F.col("__probe.start") == F.col("first")),
-        "inner",
-    ).drop("__probe")
+    if found["n"] <= few:
+        matched = _covering(df, ip, F.broadcast(ranges), found["lengths"])
+    else:
+        matched = _swept(df, ip, ranges, found["lengths"])
     if how == "inner":
         return matched
-    if how != "left":
-        raise QueryError("ip_range_join is inner or left")
     missing = df.join(matched.select(ip).distinct(), ip, "left_anti")
     return matched.unionByName(missing, allowMissingColumns=True)

@@ -116,14 +116,14 @@ def numbered(df: DataFrame, order: Sequence[Column | str], name: str, pieces: in
     """
     pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     dealt = df.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
-    dealt = cut_lineage(dealt.withColumn("__row", F.monotonically_increasing_id()))
-    dealt = dealt.withColumn("__range", F.shiftright("__row", 33))
-    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
-    earlier = W.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
-    place = F.col("__before") + F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = cut_lineage(dealt.withColumn("__numbered_row", F.monotonically_increasing_id()))
+    dealt = dealt.withColumn("__numbered_range", F.shiftright("__numbered_row", 33))
+    sizes = dealt.groupBy("__numbered_range").agg(F.count(F.lit(1)).alias("__numbered_size"))
+    earlier = W.partitionBy(F.lit(0)).orderBy("__numbered_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("__numbered_range", F.coalesce(F.sum("__numbered_size").over(earlier), F.lit(0)).alias("__numbered_before"))
+    place = F.col("__numbered_before") + F.col("__numbered_row").bitwiseAND(F.lit((1 << 33) - 1))
     # at most ``pieces`` rows
-    return dealt.join(F.broadcast(offsets), "__range").select(*df.columns, place.alias(name))
+    return dealt.join(F.broadcast(offsets), "__numbered_range").select(*df.columns, place.alias(name))
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Input frames hold one row per (series, time bucket): grouping by bucket comes first, so a series
 holding a third of the raw rows is already folded to at most one row per bucket. ``densify`` then
-gives every series the shared time axis and its position on it. Windows run over pieces of
+gives every series the shared time axis (``axis``) and its position on it. Windows run over pieces of
 ``CHUNK`` positions: bounded frames carry a small overlap into the neighbouring piece, running
 values carry one aggregate per piece, so no window holds a whole long series in one task.
 """
@@ -17,53 +17,38 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.errors import QueryError
-from millrace.functions.grains import CALENDAR_GRAINS, SECOND_GRAINS, WEEK_GRAINS, ntz, shift, time_bucket, truncate
-from millrace.operators.scale import join_null_safe
+from millrace.functions.grains import CALENDAR_GRAINS, SECOND_GRAINS, WEEK_GRAINS, ntz, shift, truncate
+from millrace.operators.axis import POS, micros, observed_axis, on_axis, rule_of
+from millrace.operators.kernels import kernel
+from millrace.operators.scale import group_quantiles, join_null_safe, numbered
 from millrace.session import cut_lineage
 
-POS = "__pos"
 CHUNK = 100_000
 
 
-def _on_axis(df: DataFrame, series: Sequence[str], axis: Column, time: str) -> DataFrame:
-    """Each observed series on each point of ``axis`` (an aggregate yielding a sorted array)."""
-    points = df.agg(axis.alias("__axis"))
-    if not series:
-        return points.select(F.posexplode("__axis").alias(POS, time))
-    known = df.select(*series).distinct()
-    return known.select(*series, F.posexplode(points.scalar()).alias(POS, time))
-
-
-def _observed(time: str) -> Column:
-    return F.sort_array(F.collect_set(time))
-
-
 def densify(df: DataFrame, series: Sequence[str], time: str, position: bool = False) -> DataFrame:
     """WN15: every observed series at every observed time; missing cells are null.
 
     The folded frame is settled once: axis, series and cells all read it.
     """
     df = cut_lineage(df)
-    grid = _on_axis(df, series, _observed(time), time)
+    grid = on_axis(df, series, observed_axis(df, time))
     dense = join_null_safe(grid, df, [*series, time], "left")
     return dense if position else dense.drop(POS)
 
 
+def _own_rows(df: DataFrame, series: Sequence[str], time: str) -> DataFrame:
+    """The rows with a time, each with its place among the rows of its series."""
+    placed = numbered(df.where(F.col(time).isNotNull()), [*series, time], "__place")
+    if not series:
+        return placed.withColumnRenamed("__place", POS)
+    first = placed.groupBy(*series).agg(F.min("__place").alias("__first"))
+    placed = join_null_safe(placed, first, series, "inner")
+    return placed.select(*df.columns, (F.col("__place") - F.col("__first")).alias(POS))
+
+
 def _positioned(df: DataFrame, series: Sequence[str], time: str, dense: bool) -> DataFrame:
-    if dense:
-        return densify(df, series, time, position=True)
-    df = cut_lineage(df)
-    # each series keeps its own rows: place on the shared axis picks a piece, rows are numbered
-    # inside it, and the pieces before it are added up
-    axis = df.agg(_observed(time).alias("__axis")).select(F.posexplode("__axis").alias("__place", time))
-    pieces = join_null_safe(df, axis, [time], "inner").withColumn("__piece", F.floor(F.col("__place") / CHUNK))
-    sizes = pieces.groupBy(*series, "__piece").agg(F.count(F.lit(1)).alias("__rows"))
-    earlier = W.partitionBy(*(series or [F.lit(0)])).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
-    sizes = sizes.select(*series, "__piece", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__before"))
-    inside = F.row_number().over(W.partitionBy(*series, "__piece").orderBy("__place"))
-    numbered = join_null_safe(pieces.withColumn("__row", inside), sizes, [*series, "__piece"], "left")
-    place = (F.col("__before") + F.col("__row") - 1).alias(POS)
-    return numbered.select(*df.columns, place)
+    return densify(df, series, time, position=True) if dense else _own_rows(df, series, time)
 
 
 def _near(
@@ -169,6 +154,32 @@ def _rolled(kind: str, col: str, frame, other: str | None, prob: float | None) -
     return (F.corr(x, pair) if kind == "corr" else F.covar_samp(x, pair)).over(frame)
 
 
+WEIGHTED_KINDS = ("mean", "std", "sum", "var")
+
+
+def _weighted(kind: str, rows: str, behind: int, weights: Sequence[float]) -> Column:
+    """Moving value over (place, value) rows, each weighted by its place in the window; nulls carry no weight."""
+    table = F.array(*[F.lit(float(w)) for w in weights])
+    zero = F.lit(0.0)
+    known = F.transform(
+        F.filter(rows, lambda r: r["v"].isNotNull()),
+        lambda r: F.struct(r["v"].alias("v"), F.get(table, (r["p"] - F.col(POS) + F.lit(behind)).cast("int")).alias("w")),
+    )
+    totals = F.aggregate(
+        known, F.struct(zero.alias("w"), zero.alias("s")),
+        lambda a, r: F.struct((a["w"] + r["w"]).alias("w"), (a["s"] + r["w"] * r["v"]).alias("s")),
+    )
+    if kind == "sum":
+        return totals["s"]
+    mean = F.try_divide(totals["s"], totals["w"])
+    if kind == "mean":
+        return mean
+    n = F.size(known).cast("double")
+    apart = F.aggregate(known, zero, lambda a, r: a + r["w"] * (r["v"] - mean) * (r["v"] - mean))
+    spread = F.when(n > 1, F.try_divide(apart * n, (n - 1) * totals["w"]))
+    return F.sqrt(spread) if kind == "std" else spread
+
+
 def rolling(
     df: DataFrame,
     series: Sequence[str],
@@ -182,16 +193,20 @@ def rolling(
     other: str | None = None,
     dense: bool = True,
     drop_warmup: bool = True,
+    win_type: str | None = None,
+    win_options: Mapping[str, float] | None = None,
 ) -> DataFrame:
     """WN3: moving aggregates over ``window`` rows ending at (or centred on) each row.
 
     Fewer than ``min_periods`` (default: the window) known values give null. When ``min_periods``
-    is given and not 0, the first that many time points are dropped.
+    is given and not 0, the first that many time points are dropped. With ``win_type`` the rows of
+    a window are weighted (``kernels``) in a mean, sum, variance or standard deviation.
     """
     if not window:
         raise QueryError("a rolling window needs a size above 0")
-    if kind not in ROLLING_KINDS:
+    if kind not in (WEIGHTED_KINDS if win_type else ROLLING_KINDS):
         raise QueryError(f"unknown rolling kind: {kind}")
+    weights = kernel(win_type, window, **(win_options or {})) if win_type else None
     needed = window if min_periods is None else min_periods
     ahead = (window - 1) // 2 if center else 0
     behind = window - 1 - ahead
@@ -202,10 +217,18 @@ def rolling(
         out = {}
         for source, target in columns.items():
             known = F.count(F.lit(1) if kind == "count" else F.col(source)).over(frame)
-            out[target] = F.when(known >= needed, _rolled(kind, source, frame, other, quantile))
+            if weights:
+                out[f"__enough_{target}"] = known >= needed
+                cells = F.struct(F.col(POS).alias("p"), F.col(source).cast("double").alias("v"))
+                out[f"__rows_{target}"] = F.collect_list(cells).over(frame)  # at most ``window`` rows
+            else:
+                out[target] = F.when(known >= needed, _rolled(kind, source, frame, other, quantile))
         return out
 
     result = _near(placed, series, behind, ahead, outputs)
+    if weights:
+        values = {t: F.when(F.col(f"__enough_{t}"), _weighted(kind, f"__rows_{t}", behind, weights)) for t in columns.values()}
+        result = result.withColumns(values).drop(*[f"__{part}_{t}" for t in columns.values() for part in ("enough", "rows")])
     if min_periods and drop_warmup:
         result = result.where(F.col(POS) >= min_periods)
     return result.drop(POS)
@@ -289,39 +312,44 @@ def grain_step(grain: str) -> tuple[str, int]:
     raise QueryError(f"unknown time grain: {grain}")
 
 
-def _interval(grain: str) -> Column:
-    unit, amount = grain_step(grain)
-    if unit in ("month", "quarter", "year"):
-        months = {"month": 1, "quarter": 3, "year": 12}[unit] * amount
-        return F.expr(f"INTERVAL '{months}' MONTH")
-    seconds = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}[unit] * amount
-    return F.expr(f"INTERVAL '{seconds}' SECOND")
-
-
-def _regular(time: str, grain: str) -> Column:
-    return F.sequence(time_bucket(F.min(time), grain), time_bucket(F.max(time), grain), _interval(grain))
+RESAMPLE_METHODS = ("asfreq", "bfill", "ffill", "linear", "mean", "median", "sum")
 
 
-RESAMPLE_METHODS = ("asfreq", "bfill", "ffill", "linear", "mean", "median", "sum")
+def _nearest_times(times: DataFrame, cells: DataFrame, time: str, backwards: bool) -> DataFrame:
+    """(place, time, __near) of each cell: the last observed time up to it, or the first from it on."""
+    marked = times.select(time, F.col(time).alias("__seen"), F.lit(None).cast("bigint").alias("__cell"))
+    marked = marked.unionByName(cells.select(time, F.lit(None).cast(dict(times.dtypes)[time]).alias("__seen"), F.col(POS).alias("__cell")))
+    both = marked.groupBy(time).agg(F.max("__seen").alias("__seen"), F.max("__cell").alias("__cell"))
+    found = running(numbered(both, [time], POS), [], {"__near": ("last", "__seen")}, backwards)
+    return found.where(F.col("__cell").isNotNull()).select(F.col("__cell").alias(POS), time, "__near")
 
 
 def resample(
     df: DataFrame, series: Sequence[str], time: str, columns: Sequence[str], grain: str, method: str, fill: float | None = None
 ) -> DataFrame:
-    """WN7: values on a regular grid from the first to the last bucket of the whole frame."""
+    """WN7: values on a regular grid from the first to the last cell of the whole frame.
+
+    ``grain`` is a time grain or a rule such as ``7D``, ``1MS`` or ``1M`` (``axis.rule_of``).
+    """
     if method not in RESAMPLE_METHODS:
         raise QueryError(f"resample method should be one of {', '.join(RESAMPLE_METHODS)}")
     df = cut_lineage(df)
+    grid = rule_of(grain).over(df, time)
+    axis = grid.axis(df.sparkSession, time)
     if method in ("mean", "median", "sum"):
-        take = {"mean": F.avg, "sum": F.sum, "median": lambda c: F.percentile(c, F.lit(0.5))}[method]
-        grid = _on_axis(df, series, _regular(time, grain), time).drop(POS)
-        bins = df.withColumn(time, time_bucket(time, grain)).groupBy(*series, time)
-        out = join_null_safe(grid, bins.agg(*[take(c).alias(c) for c in columns]), [*series, time], "left")
+        bins = df.where(F.col(time).isNotNull()).withColumn(time, grid.label(grid.place(time)))
+        if method == "median":
+            cells = on_axis(df, series, axis).drop(POS)
+            for c in columns:
+                middle = group_quantiles(bins.select(*series, time, c), [*series, time], c, {c: (0.5, "linear")})
+                cells = join_null_safe(cells, middle, [*series, time], "left")
+            return cells
+        take = {"mean": F.avg, "sum": F.sum}[method]
+        bins = bins.groupBy(*series, time).agg(*[take(c).alias(c) for c in columns])
+        out = join_null_safe(on_axis(df, series, axis).drop(POS), bins, [*series, time], "left")
         return out.fillna(0, subset=list(columns)) if method == "sum" else out
     if method in ("asfreq", "linear"):
-        grid = _on_axis(df, series, _regular(time, grain), time)
-        on_grid = df.select(*series, time, *columns, F.lit(True).alias("__seen"))
-        out = join_null_safe(grid, on_grid, [*series, time], "left")
+        out = join_null_safe(on_axis(df, series, axis), df.select(*series, time, *columns), [*series, time], "left")
         if method == "asfreq":
             if fill is not None:
                 # only grid points the frame has at no series are filled; known nulls stay
@@ -330,19 +358,13 @@ def resample(
                 out = out.withColumns(
                     {c: F.when(F.col("__real").isNull(), F.lit(fill)).otherwise(F.col(c)) for c in columns}
                 ).drop("__real")
-            return out.drop("__seen", POS)
-        return _interpolated(out.drop("__seen"), series, columns, F.col(POS)).drop(POS)
+            return out.drop(POS)
+        return _interpolated(out, series, columns, F.col(POS)).drop(POS)
     # ffill / bfill: the nearest observed time point decides, even when its cell is null
-    both = F.sort_array(F.array_union(F.collect_set(time), _regular(time, grain)))
-    placed = _on_axis(df, series, both, time)
-    placed = join_null_safe(placed, df.select(*series, time, *columns), [*series, time], "left")
-    seen = df.select(time, F.lit(True).alias("__seen")).distinct()
-    placed = join_null_safe(placed, seen, [time], "left")
-    placed = placed.withColumns({f"__s_{c}": F.when(F.col("__seen"), F.struct(F.col(c).alias("v"))) for c in columns})
-    wanted = {f"__n_{c}": ("last", f"__s_{c}") for c in columns}
-    placed = running(placed, series, wanted, backwards=method == "bfill")
-    grid = placed.where(F.col(time) == time_bucket(time, grain))
-    return grid.select(*series, time, *[F.col(f"__n_{c}.v").alias(c) for c in columns])
+    times = df.select(time).where(F.col(time).isNotNull()).distinct()
+    placed = on_axis(df, series, _nearest_times(times, axis, time, method == "bfill"))
+    cells = df.select(*series, F.col(time).alias("__near"), *columns)
+    return join_null_safe(placed, cells, [*series, "__near"], "left").select(*series, time, *columns)
 
 
 def _interpolated(placed: DataFrame, series: Sequence[str], columns: Sequence[str], place: Column) -> DataFrame:
@@ -366,16 +388,19 @@ def _interpolated(placed: DataFrame, series: Sequence[str], columns: Sequence[st
 
 
 def align_series(a: DataFrame, b: DataFrame, time: str, value: str, series: Sequence[str] = ()) -> DataFrame:
-    """J11: ``b`` linearly interpolated by time onto ``a``'s time axis, per series."""
+    """J11: ``b`` linearly interpolated by time onto ``a``'s time axis, per series.
+
+    An as-of merge: the rows of both are dealt into ranges of (series, time); in pieces of them each row finds the last
+    and first known value of ``b``, and pieces hand theirs on as one row each.
+    """
     left = a.select(*series, time, F.col(value).alias("__av"), F.lit(True).alias("__mine"))
     right = b.select(*series, time, F.col(value).alias("__bv"))
     union = left.unionByName(right, allowMissingColumns=True)
     cells = union.groupBy(*series, time).agg(
         F.max("__av").alias(value), F.max("__bv").alias(f"{value}__other"), F.max("__mine").alias("__mine")
     )
-    placed = densify(cells, series, time, position=True)
-    micros = F.timestamp_diff("MICROSECOND", ntz(F.lit("1970-01-01")), F.col(time))
-    filled = _interpolated(placed, series, [f"{value}__other"], micros)
+    placed = numbered(cells.where(F.col(time).isNotNull()), [*series, time], POS)
+    filled = _interpolated(placed, series, [f"{value}__other"], micros(time))
     return filled.where("__mine").select(*series, time, value, f"{value}__other")
 
 

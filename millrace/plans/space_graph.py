@@ -211,19 +211,29 @@ _CIDRS = """SELECT s_suppkey, CAST((s_suppkey * 7) % 256 AS VARCHAR) || '.' || C
   || '.0/' || CAST(8 + s_suppkey % 17 AS VARCHAR) AS cidr FROM {source}"""
 
 
-@R.add(
-    "ip_ranges_join",
-    f"""WITH c AS ({_CIDRS.format(source='supplier')}), p AS (SELECT *, string_split(split_part(cidr, '/', 1), '.') AS o, CAST(split_part(cidr, '/', 2) AS INTEGER) AS bits FROM c),
+_HELD = f"""WITH c AS ({_CIDRS.format(source='supplier')}), p AS (SELECT *, string_split(split_part(cidr, '/', 1), '.') AS o, CAST(split_part(cidr, '/', 2) AS INTEGER) AS bits FROM c),
         n AS (SELECT s_suppkey, cidr, bits, CAST(o[1] AS BIGINT) * 16777216 + CAST(o[2] AS BIGINT) * 65536 + CAST(o[3] AS BIGINT) * 256 AS a, CAST(pow(2, 32 - bits) AS BIGINT) AS size FROM p),
         g AS (SELECT s_suppkey, cidr, a - a % size AS lo, a - a % size + size - 1 AS hi FROM n),
         e AS (SELECT c_custkey, (c_custkey * 2654435761) % 4294967296 AS ip FROM customer)
-        SELECT c_custkey, ip, s_suppkey, cidr FROM e JOIN g ON ip BETWEEN lo AND hi""",
-)
-def ip_ranges_join(spark, folder):
+        SELECT c_custkey, ip, s_suppkey, cidr FROM e JOIN g ON ip BETWEEN lo AND hi"""
+
+
+def _in_networks(spark, folder, **how):
     addresses = table(spark, folder, "customer").select("c_custkey", F.expr("(c_custkey * 2654435761) % 4294967296").alias("ip"))
     table(spark, folder, "supplier").createOrReplaceTempView("supplier_networks")
     ranges = joins.networks(spark.sql(_CIDRS.format(source="supplier_networks").replace("VARCHAR", "STRING")), "cidr")
-    return joins.ip_range_join(addresses, "ip", ranges).select("c_custkey", "ip", "s_suppkey", "cidr")
+    return joins.ip_range_join(addresses, "ip", ranges, **how).select("c_custkey", "ip", "s_suppkey", "cidr")
+
+
+@R.add("ip_ranges_join", _HELD)
+def ip_ranges_join(spark, folder):
+    return _in_networks(spark, folder)
+
+
+@R.add("ip_ranges_sweep", _HELD)
+def ip_ranges_sweep(spark, folder):
+    """The way for many networks, on the same tables."""
+    return _in_networks(spark, folder, few=0)
 
 
 @R.add(

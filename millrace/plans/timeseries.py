@@ -85,6 +85,56 @@ def rolling5_centered(spark, folder):
     return rounded(rolled, 6, "rolled").select("event_type", "day", "rolled")
 
 
+# ---- weighted windows: the weight of row k of 7, oldest first, in SQL ------------------------
+
+WINDOWS = {
+    "boxcar": ("1", {}),
+    "triang": ("1 - abs(k - 3) / 4", {}),
+    "bartlett": ("1 - abs(k - 3) / 3", {}),
+    "hann": ("0.5 - 0.5 * cos(2 * pi() * k / 6)", {}),
+    "hamming": ("0.54 - 0.46 * cos(2 * pi() * k / 6)", {}),
+    "blackman": ("0.42 - 0.5 * cos(2 * pi() * k / 6) + 0.08 * cos(4 * pi() * k / 6)", {}),
+    "nuttall": ("0.3635819 - 0.4891775 * cos(2 * pi() * k / 6) + 0.1365995 * cos(4 * pi() * k / 6) - 0.0106411 * cos(6 * pi() * k / 6)", {}),
+    "blackmanharris": ("0.35875 - 0.48829 * cos(2 * pi() * k / 6) + 0.14128 * cos(4 * pi() * k / 6) - 0.01168 * cos(6 * pi() * k / 6)", {}),
+    "flattop": ("0.21557895 - 0.41663158 * cos(2 * pi() * k / 6) + 0.277263158 * cos(4 * pi() * k / 6) - 0.083578947 * cos(pi() * k) + 0.006947368 * cos(8 * pi() * k / 6)", {}),
+    "cosine": ("sin(pi() * (k + 0.5) / 7)", {}),
+    "parzen": ("CASE WHEN abs(k - 3) > 7 / 4 THEN 2 * pow(1 - abs(k - 3) / 3.5, 3) ELSE 1 - 6 * pow((k - 3) / 3.5, 2) + 6 * pow(abs(k - 3) / 3.5, 3) END", {}),
+    "bohman": ("CASE WHEN k IN (0, 6) THEN 0 ELSE (1 - abs(k - 3) / 3) * cos(pi() * abs(k - 3) / 3) + sin(pi() * abs(k - 3) / 3) / pi() END", {}),
+    "gaussian": ("exp(-0.5 * pow((k - 3) / 1.5, 2))", {"std": 1.5}),
+    "general_gaussian": ("exp(-0.5 * pow(abs((k - 3) / 2), 3))", {"power": 1.5, "width": 2}),
+    "exponential": ("exp(-abs(k - 3) / 2)", {"tau": 2}),
+    # Bessel functions by their series: sum of ((x / 2)^j / j!)^2
+    "kaiser": (
+        "list_sum(list_transform(range(30), lambda j: pow(pow(2.5 * sqrt(1 - pow((k - 3) / 3, 2)), j) / factorial(CAST(j AS INTEGER)), 2)))"
+        " / list_sum(list_transform(range(30), lambda j: pow(pow(2.5, j) / factorial(CAST(j AS INTEGER)), 2)))",
+        {"beta": 5},
+    ),
+    "tukey": ("CASE WHEN abs(k - 3) <= 1.5 THEN 1 ELSE 0.5 * (1 - cos(pi() * (1 - abs(k - 3) / 3) / 0.5)) END", {}),
+}
+
+
+def _weighted_entry(name: str, weight: str, options: dict) -> Entry:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        cells, out = sparse(spark, folder), None
+        for kind in ("mean", "sum", "std"):
+            rolled = series.rolling(cells, BY, "day", {"v": "rolled"}, kind, 7, min_periods=3, win_type=name, win_options=options)
+            rolled = rounded(rolled, 7, "rolled").select("event_type", "day", F.lit(kind).alias("kind"), "rolled")
+            out = rolled if out is None else out.union(rolled)
+        return out
+
+    sql = f"""WITH {_CELLS}, w AS (SELECT k, CAST({weight} AS DOUBLE) AS w FROM (SELECT CAST(unnest(range(7)) AS DOUBLE) AS k)),
+j AS (SELECT d.event_type, d.day, d.p, x.v, w.w FROM dense d CROSS JOIN w LEFT JOIN dense x ON x.event_type = d.event_type AND x.p = d.p - 6 + w.k),
+m AS (SELECT event_type, day, p, count(v) AS n, sum(v * w) AS s, sum(w) FILTER (v IS NOT NULL) AS w FROM j GROUP BY 1, 2, 3),
+a AS (SELECT m.*, (SELECT sum(j.w * pow(j.v - m.s / nullif(m.w, 0), 2)) FROM j WHERE j.event_type = m.event_type AND j.day = m.day) AS apart FROM m WHERE p >= 3)
+SELECT event_type, day, kind, round(CASE WHEN n >= 3 THEN CASE kind WHEN 'mean' THEN s / nullif(w, 0) WHEN 'sum' THEN s ELSE sqrt(apart * n / ((n - 1) * w)) END END, 7) AS rolled
+FROM a, (SELECT unnest(['mean', 'sum', 'std']) AS kind)"""
+    return Entry(run, sql)
+
+
+for _name, (_weight, _options) in WINDOWS.items():
+    ENTRIES[f"rolling7_weighted_{_name}"] = _weighted_entry(_name, _weight, _options)
+
+
 def _cumulative_entry(op: str, expression: str) -> Entry:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         cells = sparse(spark, folder).withColumn("v", F.col("v") / 200 if op == "prod" else F.col("v"))
@@ -225,19 +275,99 @@ for _method, _expression in {"sum": "sum(v)", "mean": "avg(v)", "median": "media
     ENTRIES[f"resample_1d_{_method}"] = _down_entry(_method, _expression)
 
 
+# ---- resampling by rules: days of orders by status -------------------------------------------
+
+_ORDER_DAYS = """o AS (SELECT o_orderstatus AS s, CAST(o_orderdate AS TIMESTAMP) AS t, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2),
+x AS (SELECT min(t) AS lo, max(t) AS hi FROM o)"""
+
+
+def order_days(spark: SparkSession, folder: str) -> DataFrame:
+    orders = table(spark, folder, "orders")
+    return orders.groupBy(F.col("o_orderstatus").alias("s"), time_bucket("o_orderdate", "P1D").alias("t")).agg(F.sum("o_totalprice").alias("v"))
+
+
+def _rule_entry(rule: str, method: str, label: str, cells: str) -> Entry:
+    """``label``: the cell of a time t in SQL; ``cells``: all labels from that of x.lo to that of x.hi."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return rounded(series.resample(order_days(spark, folder), ["s"], "t", ["v"], rule, method), 4, "v")
+
+    grid = f"g AS (SELECT s, CAST(t AS TIMESTAMP) AS t FROM (SELECT DISTINCT s FROM o) CROSS JOIN (SELECT {cells} AS t FROM x))"
+    if method in ("ffill", "bfill"):
+        near = ("max", "<=") if method == "ffill" else ("min", ">=")
+        sql = f"""n AS (SELECT s, t, (SELECT {near[0]}(o.t) FROM o WHERE o.t {near[1]} g.t) AS near FROM g)
+            SELECT n.s, n.t, round(o.v, 4) AS v FROM n LEFT JOIN o ON o.s = n.s AND o.t = n.near"""
+    else:
+        take = {"sum": "coalesce(sum(v), 0)", "mean": "avg(v)", "median": "median(v)"}[method]
+        sql = f"""b AS (SELECT s, CAST({label} AS TIMESTAMP) AS t, v FROM o, x)
+            SELECT g.s, g.t, round({take}, 4) AS v FROM g LEFT JOIN b ON b.s = g.s AND b.t = g.t GROUP BY 1, 2"""
+    return Entry(run, f"WITH {_ORDER_DAYS}, {grid}, {sql}")
+
+
+_RULES = {
+    "7d": ("7D", "lo + to_days(CAST(date_diff('day', lo, t) // 7 * 7 AS INTEGER))", "unnest(generate_series(lo, hi, INTERVAL 7 DAY))"),
+    "week": ("W", "date_trunc('week', t) + INTERVAL 6 DAY", "unnest(generate_series(date_trunc('week', lo), date_trunc('week', hi), INTERVAL 7 DAY)) + INTERVAL 6 DAY"),
+    "month_start": ("1MS", "date_trunc('month', t)", "unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH))"),
+    "month_end": ("M", "last_day(t)", "last_day(unnest(generate_series(date_trunc('month', lo), date_trunc('month', hi), INTERVAL 1 MONTH)))"),
+    "year_start": ("1AS", "date_trunc('year', t)", "unnest(generate_series(date_trunc('year', lo), date_trunc('year', hi), INTERVAL 1 YEAR))"),
+    "year_end": ("A", "make_date(CAST(year(t) AS INTEGER), 12, 31)", "make_date(CAST(unnest(range(year(lo), year(hi) + 1)) AS INTEGER), 12, 31)"),
+}
+for _key, _method in (
+    ("7d", "sum"), ("7d", "median"), ("week", "mean"), ("month_start", "mean"), ("month_start", "bfill"),
+    ("month_end", "sum"), ("month_end", "median"), ("month_end", "ffill"), ("year_start", "sum"), ("year_end", "median"), ("year_end", "sum"),
+):
+    ENTRIES[f"resample_{_key}_{_method}"] = _rule_entry(_RULES[_key][0], _method, *_RULES[_key][1:])
+
+
+# ---- the axis at the grain of seconds ------------------------------------------------------
+
+_SECONDS = """cells AS (SELECT event_type, date_trunc('second', ts) AS t, sum(value) AS v FROM events GROUP BY 1, 2),
+dense AS (SELECT s.event_type, a.t, c.v FROM (SELECT DISTINCT event_type FROM cells) s CROSS JOIN (SELECT DISTINCT t FROM cells) a
+  LEFT JOIN cells c ON c.event_type = s.event_type AND c.t = a.t)"""
+
+
+def by_second(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "events").groupBy("event_type", time_bucket("ts", "PT1S").alias("t")).agg(F.sum("value").alias("v"))
+
+
+@R.add("densify_seconds", f"WITH {_SECONDS} SELECT event_type, t, round(v, 4) AS v FROM dense")
+def densify_seconds(spark, folder):
+    return rounded(series.densify(by_second(spark, folder), BY, "t"), 4, "v")
+
+
+@R.add(
+    "rolling60_seconds",
+    f"""WITH {_SECONDS} SELECT event_type, t, round(CASE WHEN count(v) OVER w >= 1 THEN avg(v) OVER w END, 6) AS rolled FROM dense
+        WINDOW w AS (PARTITION BY event_type ORDER BY t ROWS 59 PRECEDING)""",
+)
+def rolling60_seconds(spark, folder):
+    rolled = series.rolling(by_second(spark, folder), BY, "t", {"v": "rolled"}, "mean", 60, min_periods=1, drop_warmup=False)
+    return rounded(rolled, 6, "rolled").select("event_type", "t", "rolled")
+
+
+@R.add(
+    "cum_own_seconds",
+    f"""WITH {_SECONDS} SELECT event_type, t, round(sum(v) OVER (PARTITION BY event_type ORDER BY t ROWS UNBOUNDED PRECEDING), 4) AS c FROM cells""",
+)
+def cum_own_seconds(spark, folder):
+    """Without the shared axis: each series keeps its own rows."""
+    return rounded(series.cumulative(by_second(spark, folder), BY, "t", {"v": "c"}, "sum", dense=False), 4, "c").select("event_type", "t", "c")
+
+
 @R.add(
     "align_two_series",
-    f"""WITH a AS (SELECT date_trunc('hour', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'click' AND value > 75 GROUP BY 1),
-       b AS (SELECT date_trunc('minute', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'view' AND value > 90 GROUP BY 1),
-       n AS (SELECT a.t, a.v, (SELECT max(t) FROM b WHERE b.t <= a.t) AS t0, (SELECT min(t) FROM b WHERE b.t >= a.t) AS t1 FROM a)
+    f"""WITH a AS (SELECT date_trunc('second', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'click' GROUP BY 1),
+       b AS (SELECT date_trunc('second', ts) AS t, sum(value) AS v FROM events WHERE event_type = 'view' GROUP BY 1),
+       l AS (SELECT a.t, a.v, b.t AS t0 FROM a ASOF LEFT JOIN b ON a.t >= b.t), n AS (SELECT l.*, b.t AS t1 FROM l ASOF LEFT JOIN b ON l.t <= b.t)
        SELECT n.t, round(n.v, 4) AS v, round(CASE WHEN n.t1 IS NULL THEN x.v WHEN n.t0 = n.t1 THEN x.v
          ELSE x.v + (y.v - x.v) * (epoch_us(n.t) - epoch_us(n.t0)) / (epoch_us(n.t1) - epoch_us(n.t0)) END, 6) AS v__other
        FROM n LEFT JOIN b x ON x.t = n.t0 LEFT JOIN b y ON y.t = n.t1""",
 )
 def align_two_series(spark, folder):
+    """Clicks and views by the second: most seconds of one have no value of the other."""
     events = table(spark, folder, "events")
-    clicks = events.where("event_type = 'click' AND value > 75").groupBy(time_bucket("ts", "PT1H").alias("t"))
-    views = events.where("event_type = 'view' AND value > 90").groupBy(time_bucket("ts", "PT1M").alias("t"))
+    clicks = events.where("event_type = 'click'").groupBy(time_bucket("ts", "PT1S").alias("t"))
+    views = events.where("event_type = 'view'").groupBy(time_bucket("ts", "PT1S").alias("t"))
     aligned = series.align_series(clicks.agg(F.sum("value").alias("v")), views.agg(F.sum("value").alias("v")), "t", "v")
     return rounded(rounded(aligned, 4, "v"), 6, "v__other")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import shared_folder
 
@@ -38,3 +38,13 @@ def size_bytes(spark: SparkSession, path: str) -> int:
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder in the cluster's shared checkpoint folder (in the warehouse where none is set)."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, purpose: str = "round") -> DataFrame:
+    """The frame as a table in the shared folder: what each round of an iteration goes on from.
+
+    Unlike a checkpoint it also drops the constraints Spark has derived for the columns, which grow with every round.
+    """
+    folder = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
