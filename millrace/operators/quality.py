@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.errors import QueryError
 from millrace.operators.filters import generic_type
+from millrace.session import cut_lineage
 
 
 def _tall(one_row: DataFrame, cells: Sequence[tuple[str, str, str, str]]) -> DataFrame:
@@ -65,41 +67,118 @@ def quality_checks(df: DataFrame, checks: Sequence[tuple[str, str]], level: str
     return counted.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def column_profile(df: DataFrame, approximate: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
-    """AG36: per column type, completeness, approximate distinct values and number statistics."""
-    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+#: Size of the distinct-value sketch (2^14 registers) and three standard errors of its estimate, as a share.
+DISTINCT_BITS, DISTINCT_ERROR = 14, 0.025
+#: Size of the quantile sketch, and how far a value's share of smaller rows may be from the one asked for.
+QUANTILE_SIZE, QUANTILE_ERROR = 800, 0.008
+_QUARTILES = (0.25, 0.5, 0.75)
+
+
+def _distinct_sketch(field: T.StructField) -> Column:
+    col = F.col(f"`{field.name}`")
+    kind = field.dataType.simpleString()
+    fits = col.cast("bigint") if kind in ("tinyint", "smallint", "int", "bigint") else col if kind == "binary" else col.cast("string")
+    return F.hll_sketch_agg(fits, DISTINCT_BITS)
+
+
+def _profiled(schema: T.StructType, columns: Sequence[str] | None) -> list[tuple[int, T.StructField, bool]]:
+    """(number, field, whether it is a number) of the columns to profile."""
+    fields = [f for f in schema.fields if columns is None or f.name in columns]
+    return [(i, f, generic_type(f.dataType) == "NUMERIC") for i, f in enumerate(fields)]
+
+
+def profile_sketches(df: DataFrame, parts: Sequence[str] = (), columns: Sequence[str] | None = None, approximate: bool = True) -> DataFrame:
+    """AG36, first half: one row per part with counts, moments and binary sketches of each column.
+
+    The rows can be stored and merged with those of other parts of the data by ``merged_profile``, in any order.
+    """
     aggs = [F.count(F.lit(1)).alias("size")]
-    for i, f in enumerate(fields):
-        c = F.col(f.name)
+    for i, f, number in _profiled(df.schema, columns):
+        c = F.col(f"`{f.name}`")
         aggs.append(F.count(c).alias(f"n{i}"))
         if approximate:
-            aggs.append(F.approx_count_distinct(c).alias(f"d{i}"))
-        if generic_type(f.dataType) == "NUMERIC":
+            aggs.append(_distinct_sketch(f).alias(f"d{i}"))
+        if number:
             x = c.cast("double")
-            aggs += [
-                F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"),
-                F.sum(x).alias(f"sum{i}"), F.stddev_pop(x).alias(f"std{i}"),
-            ]
+            aggs += [F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), F.avg(x).alias(f"mean{i}"), F.sum(x).alias(f"sum{i}")]
+            aggs.append((F.var_pop(x) * F.count(c)).alias(f"apart{i}"))
             if approximate:
-                aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10_000).alias(f"p{i}"))
-    one = df.agg(*aggs)
-    nothing = F.lit(None).cast("double")
+                aggs.append(F.kll_sketch_agg_double(x, QUANTILE_SIZE).alias(f"q{i}"))
+    return df.groupBy(*parts).agg(*aggs)
+
+
+def merged_profile(sketches: DataFrame, schema: T.StructType, columns: Sequence[str] | None = None, approximate: bool = True) -> DataFrame:
+    """AG36, second half: the profile of all parts together, one row per column of ``schema``.
+
+    ``approx_distinct`` is within ``DISTINCT_ERROR`` of the distinct values, the share of rows below a quartile within
+    ``QUANTILE_ERROR`` of its own, each but for a few in a thousand cases.
+    """
+    profiled = _profiled(schema, columns)
+    aggs = [F.sum("size").alias("size")]
+    for i, _, number in profiled:
+        aggs.append(F.sum(f"n{i}").alias(f"n{i}"))
+        if approximate:
+            aggs.append(F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}"))
+        if number:
+            n, mean = F.col(f"n{i}"), F.col(f"mean{i}")
+            aggs += [F.min(f"min{i}").alias(f"min{i}"), F.max(f"max{i}").alias(f"max{i}"), F.sum(f"sum{i}").alias(f"sum{i}")]
+            # within the parts, and between their means
+            aggs.append((F.sum(f"apart{i}") + F.sum(n * mean * mean) - F.try_divide(F.sum(f"sum{i}") * F.sum(f"sum{i}"), F.sum(n).cast("double"))).alias(f"apart{i}"))
+            if approximate:
+                aggs.append(F.kll_merge_agg_double(f"q{i}").alias(f"q{i}"))
+    one = sketches.agg(*aggs)
     rows = []
-    for i, f in enumerate(fields):
-        number = generic_type(f.dataType) == "NUMERIC"
+    for i, f, number in profiled:
+        n, nothing = F.col(f"n{i}").cast("double"), F.lit(None).cast("double")
         cells = [
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.try_divide(F.col(f"n{i}").cast("double"), F.col("size").cast("double")).alias("completeness"),
-        ]
+            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.try_divide(n, F.col("size").cast("double")).alias("completeness"),
+        ]
         if approximate:
             cells.append(F.col(f"d{i}").alias("approx_distinct"))
-            cells.append((F.col(f"p{i}") if number else F.lit(None).cast("array<double>")).alias("quartiles"))
-        cells += [(F.col(f"{s}{i}") if number else nothing).alias(s) for s in ("min", "max", "mean", "sum", "std")]
+            asked = F.array(*[F.lit(p) for p in _QUARTILES])
+            found = F.when(n > 0, F.kll_sketch_get_quantile_double(f"q{i}", asked)) if number else F.lit(None).cast("array<double>")
+            cells.append(found.alias("quartiles"))
+        if number:
+            values = [F.col(f"min{i}"), F.col(f"max{i}"), F.try_divide(F.col(f"sum{i}"), n), F.col(f"sum{i}")]
+            values.append(F.sqrt(F.greatest(F.try_divide(F.col(f"apart{i}"), n), F.lit(0.0))))
+        cells += [(values[j] if number else nothing).alias(name) for j, name in enumerate(("min", "max", "mean", "sum", "std"))]
         rows.append(F.struct(*cells))
     return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def column_profile(df: DataFrame, approximate: bool = True, columns: Sequence[str] | None = None, parts: Sequence[str] = ()) -> DataFrame:
+    """AG36: per column type, completeness, approximate distinct values and quartiles, and number statistics.
+
+    Each part of the data (all of it without ``parts``) is sketched, and the sketches are merged.
+    """
+    return merged_profile(profile_sketches(df, parts, columns, approximate), df.schema, columns, approximate)
+
+
+def checked_profile(df: DataFrame, columns: Sequence[str] | None = None, parts: Sequence[str] = ()) -> DataFrame:
+    """The profile with exact distinct values beside the sketches, and whether these kept their stated error."""
+    profile = cut_lineage(column_profile(df, True, columns, parts))
+    profiled = _profiled(df.schema, columns)
+    known = {r["column"]: r["quartiles"] for r in profile.select("column", "quartiles").collect()}  # one row a column
+    aggs = []
+    for i, f, _ in profiled:
+        c = F.col(f"`{f.name}`")
+        aggs.append(F.count_distinct(c).alias(f"e{i}"))
+        for j, q in enumerate(known[f.name] or ()):
+            x = c.cast("double")
+            aggs += [F.avg((x < q).cast("double")).alias(f"below{i}_{j}"), F.avg((x <= q).cast("double")).alias(f"upto{i}_{j}")]
+    one = df.agg(*aggs)
+    rows = []
+    for i, f, _ in profiled:
+        kept = F.lit(True) if known[f.name] else F.lit(None).cast("boolean")
+        for j in range(len(known[f.name] or ())):
+            kept &= (F.col(f"below{i}_{j}") <= _QUARTILES[j] + QUANTILE_ERROR) & (F.col(f"upto{i}_{j}") >= _QUARTILES[j] - QUANTILE_ERROR)
+        rows.append(F.struct(F.lit(f.name).alias("column"), F.col(f"e{i}").alias("distinct"), kept.alias("quartiles_within")))
+    exact = one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    near = F.abs(F.col("approx_distinct") - F.col("distinct")) <= F.greatest(F.lit(DISTINCT_ERROR) * F.col("distinct"), F.lit(1))
+    return profile.join(exact, "column").withColumn("distinct_within", near)
+
+
 # Our thresholds: a column this complete is worth a completeness rule, a column with this share of
 # distinct values is taken as unique.
 RETAIN_COMPLETENESS = 0.2
@@ -111,19 +190,25 @@ def suggest_constraints(df: DataFrame, columns: Sequence[str] | None = None) ->
 
     complete columns stay complete; mostly filled columns keep their completeness (95 % lower
     bound); numbers without negatives stay non-negative; text that reads as numbers keeps its
-    type; (approximately) unique columns stay unique.
+    type; (nearly) unique columns stay unique. Distinct values are estimated by sketches; columns whose
+    estimate is within its error of the threshold are counted exactly in a second pass.
     """
     fields = [f for f in df.schema.fields if columns is None or f.name in columns]
     aggs = [F.count(F.lit(1)).alias("size")]
     for i, f in enumerate(fields):
-        c = F.col(f.name)
-        aggs += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, 0.02).alias(f"d{i}")]
+        c = F.col(f"`{f.name}`")
+        aggs += [F.count(c).alias(f"n{i}"), F.hll_sketch_estimate(_distinct_sketch(f)).alias(f"d{i}")]
         kind = generic_type(f.dataType)
         if kind == "NUMERIC":
             aggs.append(F.count_if(c < 0).alias(f"neg{i}"))
         elif f.dataType.simpleString() == "string":
             aggs.append(F.count_if(c.rlike(r"^-?\d+(\.\d+)?$")).alias(f"num{i}"))
-    one = df.agg(*aggs)
+    one = cut_lineage(df.agg(*aggs))
+    row = one.first()
+    doubtful = [i for i in range(len(fields)) if abs(row[f"d{i}"] - UNIQUE_SHARE * row[f"n{i}"]) <= DISTINCT_ERROR * row[f"n{i}"]]
+    if doubtful:
+        counts = df.agg(*[F.count_distinct(F.col(f"`{fields[i].name}`")).alias(f"d{i}") for i in doubtful]).first()
+        one = one.withColumns({f"d{i}": F.lit(counts[f"d{i}"]) for i in doubtful})
     rules = []
 
     def rule(when: Column, column: str, name: str, detail: Column) -> Column:

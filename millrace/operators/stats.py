@@ -180,26 +180,53 @@ def pair_with_control(df: DataFrame, time: str, group: str, value: str, control:
     return join_null_safe(df.where(F.col(group) != F.lit(control)), base, [time], "inner")
 
 
+#: Steps of the continued fraction below: enough for full precision at any number of degrees of freedom.
+_FRACTION_STEPS = 300
+
+
+def _gamma_step(a: Column) -> Column:
+    """ln(gamma(a + 1/2) / gamma(a)): by its series at a + 20, walked back in 20 steps."""
+    z = a + 20
+    series = 0.5 * F.log(z) - 1 / (8 * z) + 1 / (192 * z**3) - 1 / (640 * z**5) + 17 / (14336 * z**7)
+    back = F.aggregate(F.sequence(F.lit(0), F.lit(19)), F.lit(0.0), lambda total, k: total + F.log((a + k) / (a + k + 0.5)))
+    return series + back
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction of the incomplete beta function, from the front, in a fixed number of steps."""
+    some = lambda v: F.when(F.abs(v) < 1e-300, F.lit(1e-300)).otherwise(v)
+    first = 1 / some(1 - (a + b) * x / (a + 1))
+    start = F.struct(F.lit(1.0).alias("c"), first.alias("d"), first.alias("h"))
+
+    def link(state: Column, part: Column) -> Column:
+        d, c = 1 / some(1 + part * state["d"]), some(1 + part / state["c"])
+        return F.struct(c.alias("c"), d.alias("d"), (state["h"] * c * d).alias("h"))
+
+    def step(state: Column, k: Column) -> Column:
+        # even places 2m and odd places 2m + 1 by turns
+        m = F.floor(k / 2).cast("double")
+        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return link(state, F.when(k % 2 == 0, even).otherwise(odd))
+
+    return F.aggregate(F.sequence(F.lit(2), F.lit(_FRACTION_STEPS)), start, step)["h"]
+
+
 def student_two_sided(t: Column, freedom: Column) -> Column:
-    """P(|T| >= |t|) for Student's distribution with a whole number of degrees of freedom; null below 1.
+    """P(|T| >= |t|) for Student's distribution; null below one degree of freedom.
 
-    With angle = atan(|t| / sqrt(freedom)) the probability is a finite sum in powers of its cosine, whose terms follow
-    from each other: over odd powers and times 2 / pi for an odd number, over even powers for an even one.
+    It is the incomplete beta function of freedom / 2 and 1/2 at freedom / (freedom + t^2). Far tails are computed as
+    they are, not as what is left to 1, so that they keep their precision.
     """
-    odd = freedom % 2
-    angle = F.atan(F.abs(t) / F.sqrt(freedom.cast("double")))
-    sine, cosine = F.sin(angle), F.cos(angle)
-    steps = F.sequence(F.lit(1), F.greatest(((freedom - odd) / 2).cast("int") - 1, F.lit(1)))
-    first = F.when(odd == 1, cosine).otherwise(F.lit(1.0))
-    start = F.struct(first.alias("term"), first.alias("total"))
-
-    def add(acc: Column, i: Column) -> Column:
-        term = acc["term"] * cosine * cosine * (2 * i - 1 + odd) / (2 * i + odd)
-        return F.struct(term.alias("term"), (acc["total"] + term).alias("total"))
-
-    total = F.when(freedom >= 4, F.aggregate(steps, start, add)["total"]).otherwise(first)
-    inside = F.when(odd == 0, sine * total).when(freedom == 1, 2 / math.pi * angle).otherwise(2 / math.pi * (angle + sine * total))
-    return F.when(t.isNotNull() & (freedom >= 1), F.greatest(1 - inside, F.lit(0.0)))
+    v, square = freedom.cast("double"), t * t
+    a, half = v / 2, F.lit(0.5)
+    far, near = v / (v + square), square / (v + square)
+    front = F.exp(_gamma_step(a) - a * F.log1p(square / v)) * F.sqrt(near) / math.sqrt(math.pi)
+    tail = front / a * _beta_fraction(a, half, far)
+    middle = 1 - front / half * _beta_fraction(half, a, near)
+    value = F.when(far < (a + 1) / (a + 2.5), tail).otherwise(middle)
+    value = F.when(F.abs(t) == float("inf"), F.lit(0.0)).otherwise(value)
+    return F.when(t.isNotNull() & (freedom >= 1), F.least(F.greatest(value, F.lit(0.0)), F.lit(1.0)))
 
 
 def paired_ttest(df: DataFrame, time: str, group: str, value: str, control: object, p_value: bool = True) -> DataFrame:

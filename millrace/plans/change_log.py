@@ -81,7 +81,7 @@ def cdc_merge_one_batch(spark, folder):
 @R.add(
     "cdc_merge_late_changes",
     f"""WITH {_OPS}, a AS (SELECT * FROM events_log WHERE _epoch <= 15 AND _op <> 'd'), t AS ({_LATEST.format(src='a')}),
-        b AS (SELECT * FROM events_log WHERE _epoch BETWEEN 14 AND 16 AND value > 50), s AS ({_LATEST.format(src='b')})
+        b AS (SELECT * FROM events_log WHERE _epoch BETWEEN 14 AND 16), s AS ({_LATEST.format(src='b')})
         SELECT coalesce(s.user_id, t.user_id) AS user_id, CASE WHEN s.user_id IS NULL OR t.ts > s.ts THEN t.event_id ELSE s.event_id END AS event_id,
           CASE WHEN s.user_id IS NULL OR t.ts > s.ts THEN t.ts ELSE s.ts END AS ts FROM t FULL JOIN s ON t.user_id = s.user_id
         WHERE NOT (s.user_id IS NOT NULL AND s._op = 'd' AND (t.ts IS NULL OR s.ts >= t.ts))""",
@@ -90,7 +90,7 @@ def cdc_merge_late_changes(spark, folder):
     """ST5: a change older than the stored row loses."""
     every = log(spark, folder)
     target = changes.replay(every.where("_epoch <= 15 AND _op <> 'd'"), KEYS, order()).select("user_id", "event_id", "ts")
-    late = changes.latest_by_key(every.where("_epoch BETWEEN 14 AND 16 AND value > 50"), KEYS, order())
+    late = changes.latest_by_key(every.where("_epoch BETWEEN 14 AND 16"), KEYS, order())
     return changes.merge_changes(target, late.select("user_id", "event_id", "ts", "_op"), KEYS, ts="ts")
 
 

@@ -70,9 +70,9 @@ def shop(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {
         "products": part.select(
             F.col("p_partkey").alias("id"), F.col("p_name").alias("product_name"), F.col("p_retailprice").alias("price"),
-            F.hash("p_type").alias("category_id"), number.alias("brand_id"),
+            F.col("p_type").alias("category_id"), number.alias("brand_id"),
         ),
-        "categories": kinds.select(F.hash("p_type").alias("id"), F.col("p_type").alias("category_name")),
+        "categories": kinds.select(F.col("p_type").alias("id"), F.col("p_type").alias("category_name")),
         "brands": part.select(number.alias("id"), F.col("p_brand").alias("brand_name")).distinct(),
         "inventory": part.select(F.col("p_partkey").alias("product_id"), F.lit(1000).alias("quantity")),
         "order_detail": lines.select(

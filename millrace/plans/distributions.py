@@ -193,34 +193,55 @@ def quality_checks(spark, folder):
     return quality.quality_checks(table(spark, folder, "customer"), checks)
 
 
-@R.add(
-    "profile_customer",
-    """SELECT 'c_acctbal' AS "column", 'double' AS type, 1.0::DOUBLE AS completeness, min(c_acctbal) AS min, max(c_acctbal) AS max, round(avg(c_acctbal), 6) AS mean,
-         round(sum(c_acctbal), 4) AS sum, round(stddev_pop(c_acctbal), 6) AS std FROM customer
-       UNION ALL SELECT 'c_nationkey', 'int', 1.0, min(c_nationkey), max(c_nationkey), round(avg(c_nationkey), 6), sum(c_nationkey), round(stddev_pop(c_nationkey), 6) FROM customer
-       UNION ALL SELECT 'c_mktsegment', 'string', 1.0, NULL, NULL, NULL, NULL, NULL""",
-)
-def profile_customer(spark, folder):
-    profile = quality.column_profile(
-        table(spark, folder, "customer"), approximate=False, columns=["c_acctbal", "c_nationkey", "c_mktsegment"]
-    )
-    return rounded(rounded(profile, 6, "mean", "std"), 4, "sum")
+def _profile_sql(source: str, columns: dict[str, str], exact: bool) -> str:
+    """Statistics of every column, computed; ``exact`` adds distinct values and flags that the sketches kept their error."""
+    parts = []
+    for name, kind in columns.items():
+        number = kind in ("int", "bigint", "double")
+        stats = [f"CAST(min({name}) AS DOUBLE)", f"CAST(max({name}) AS DOUBLE)", f"round(avg({name}), 6)", f"round(CAST(sum({name}) AS DOUBLE), 4)", f"round(stddev_pop({name}), 4)"]
+        cells = ", ".join(f"{x if number else 'CAST(NULL AS DOUBLE)'} AS {y}" for x, y in zip(stats, ('"min"', '"max"', "mean", '"sum"', "std")))
+        more = f", count(DISTINCT {name}) AS \"distinct\", true AS distinct_within, {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS quartiles_within" if exact else ""
+        parts.append(f"""SELECT '{name}' AS "column", '{kind}' AS type, count({name}) / count(*) AS completeness, {cells}{more} FROM {source}""")
+    return " UNION ALL ".join(parts)
 
 
-@R.add("profile_orders_approximate")
-def profile_orders_approximate(spark, folder):
-    """Sketches (distinct, quartiles) have no exact SQL form."""
-    return quality.column_profile(table(spark, folder, "orders"))
+CUSTOMER = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_acctbal": "double", "c_mktsegment": "string"}
+ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
 
 
-@R.add(
-    "suggested_constraints",
-    """SELECT * FROM (VALUES ('c_custkey', 'CompleteIfComplete', 'c_custkey is not null'), ('c_custkey', 'UniqueIfApproximatelyUnique', 'c_custkey is unique'),
-       ('c_custkey', 'NonNegativeNumbers', 'c_custkey >= 0'), ('c_acctbal', 'CompleteIfComplete', 'c_acctbal is not null'),
-       ('c_mktsegment', 'CompleteIfComplete', 'c_mktsegment is not null')) t("column", rule, "constraint")
-       WHERE (SELECT count(*) = count(c_custkey) AND count(*) = count(c_acctbal) AND count(*) = count(c_mktsegment) AND min(c_acctbal) < 0 FROM customer)""",
-)
+def _rounded_profile(profile: DataFrame) -> DataFrame:
+    return rounded(rounded(profile, 6, "mean"), 4, "sum", "std")
+
+
+@R.add("profile_customer", _profile_sql("customer", CUSTOMER, False))
+def profile_customer(spark, folder):
+    return _rounded_profile(quality.column_profile(table(spark, folder, "customer"), approximate=False))
+
+
+@R.add("profile_orders_approximate", _profile_sql("orders", ORDERS, True))
+def profile_orders_approximate(spark, folder):
+    """Sketches of each order status, merged, beside exact values."""
+    checked = quality.checked_profile(table(spark, folder, "orders"), parts=["o_orderstatus"])
+    return _rounded_profile(checked).drop("approx_distinct", "quartiles")
+
+
+def _rules_sql(source: str, columns: dict[str, str]) -> str:
+    parts = []
+    for name, kind in columns.items():
+        rules = [
+            (f"count({name}) = count(*)", "CompleteIfComplete", f"'{name} is not null'"),
+            (f"count({name}) > 0.2 * count(*) AND count({name}) < count(*)", "RetainCompleteness", f"""'completeness({name}) >= ' || format('{{:.2f}}',
+               count({name}) / count(*) - 1.96 * sqrt(count({name}) / count(*) * (1 - count({name}) / count(*)) / count(*)))"""),
+            (f"count({name}) > 0 AND count(DISTINCT {name}) >= 0.95 * count({name})", "UniqueIfApproximatelyUnique", f"'{name} is unique'"),
+        ]
+        if kind == "string":
+            rules.append((f"count({name}) > 0 AND count(*) FILTER (regexp_full_match({name}, '-?[0-9]+(\\.[0-9]+)?')) = count({name})", "RetainType", f"'{name} is numeric'"))
+        else:
+            rules.append((f"count({name}) > 0 AND count(*) FILTER ({name} < 0) = 0", "NonNegativeNumbers", f"'{name} >= 0'"))
+        parts += [f"""SELECT '{name}' AS "column", '{rule}' AS rule, {text} AS "constraint" FROM {source} HAVING {when}""" for when, rule, text in rules]
+    return " UNION ALL ".join(parts)
+
+
+@R.add("suggested_constraints", _rules_sql("customer", CUSTOMER))
 def suggested_constraints(spark, folder):
-    suggested = quality.suggest_constraints(table(spark, folder, "customer"), ["c_custkey", "c_acctbal", "c_mktsegment"])
-    # account balances repeat; whether the sketch calls them unique depends on its error
-    return suggested.where((F.col("column") != "c_acctbal") | (F.col("rule") != "UniqueIfApproximatelyUnique"))
+    return quality.suggest_constraints(table(spark, folder, "customer"))

@@ -80,6 +80,26 @@ def csv_round_trip(spark, folder):
     return files.load_csv(spark, base, null_values=["n/a"], types={"c_custkey": "BIGINT", "c_acctbal": "DOUBLE"})
 
 
+@R.add(
+    "csv_nested_cells",
+    '''SELECT c_custkey AS key, CASE c_custkey % 6 WHEN 0 THEN c_name || ', ' || c_mktsegment WHEN 1 THEN 'a "' || c_name || '" b'
+         WHEN 2 THEN c_name || chr(10) || chr(10) || c_mktsegment || ',"' || chr(10) WHEN 3 THEN '' WHEN 4 THEN NULL ELSE '"' END AS cell, c_mktsegment AS last FROM customer''',
+)
+def csv_nested_cells(spark, folder):
+    """Separators, quotes, line breaks, empty and missing text in cells and headers come back as they went out."""
+    base, kind = scratch_folder(spark, "csv"), F.col("c_custkey") % 6
+    name, segment, line = F.col("c_name"), F.col("c_mktsegment"), F.lit("\n")
+    cell = (
+        F.when(kind == 0, F.concat(name, F.lit(", "), segment)).when(kind == 1, F.concat(F.lit('a "'), name, F.lit('" b')))
+        .when(kind == 2, F.concat(name, line, line, segment, F.lit(',"'), line)).when(kind == 3, F.lit(""))
+        .when(kind == 4, F.lit(None).cast("string")).otherwise(F.lit('"'))
+    )
+    out = table(spark, folder, "customer").select(F.col("c_custkey").alias('total, "key"'), cell.alias("two\nlines"), segment.alias("last"))
+    files.export_csv(out, base)
+    back = files.load_csv(spark, base, types={'total, "key"': "BIGINT"})
+    return back.select(F.col('`total, "key"`').alias("key"), F.col("`two\nlines`").alias("cell"), "last")
+
+
 @R.add(
     "csv_safe_cells",
     """SELECT event_id, CASE event_id % 4 WHEN 0 THEN '''=1+' || event_type WHEN 1 THEN '-1.5' WHEN 2 THEN '''@' || event_type || '\\|x' ELSE event_type END AS cell FROM events""",

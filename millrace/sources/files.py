@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.errors import QueryError
 from millrace.functions.text import guard_cell
@@ -33,6 +35,67 @@ def _mangled(names: Sequence[str]) -> list[str]:
     return [n.replace("__", ".") if n not in names else n for n in dedup_names(names)]
 
 
+#: Stand for a quoted empty cell, told so from a missing one, and for a line break while a record is parsed: private-use
+#: characters.
+_EMPTY, _LINE = "\ue0f8", "\ue0f9"
+
+
+def _header(spark: SparkSession, path: str, sep: str, skip_rows: int) -> list[str]:
+    """The names in the first record below ``skip_rows`` lines; a quoted name may hold separators and line breaks."""
+    lines = spark.read.text(path).where(F.col("_metadata.file_block_start") == 0)
+    size = skip_rows + 1
+    while True:
+        found = [r[0] for r in lines.limit(size).collect()]
+        record = "\n".join(found[skip_rows:])
+        if record.count('"') % 2 == 0 or len(found) < size:
+            break
+        size *= 2
+    if len(found) <= skip_rows:
+        raise QueryError("the file has no header line")
+    return next(csv.reader(io.StringIO(record, newline=""), delimiter=sep, skipinitialspace=True))
+
+
+def csv_records(spark: SparkSession, paths: Sequence[str], skip_rows: int = 0) -> DataFrame:
+    """(file, number, value): the records of delimited files, numbered in each file; quoted cells may hold line breaks.
+
+    Files are split into blocks as usual. A line break ends a record where the number of quotes before it is even, so
+    blocks count their quotes and their records for either state, one row a block; sums over the blocks before tell the
+    state and the number each block begins with. Only records of several lines are gathered. Blank lines between
+    records, and the first ``skip_rows`` lines of each file, are left out.
+    """
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    if skip_rows:
+        firsts = lines.where("start = 0").groupBy(F.col("file").alias("f")).agg(F.min("row").alias("first"))
+        lines = lines.join(firsts, F.col("file") == F.col("f"), "left")
+        lines = lines.where((F.col("start") > 0) | (F.col("row") - F.col("first") >= skip_rows)).drop("f", "first")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"')))
+    block = W.partitionBy("file", "start").orderBy("row")
+    before = F.coalesce(F.sum("odd").over(block.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) % 2
+    filled = F.trim("value") != ""
+    lines = lines.withColumn("odd", quotes % 2).withColumns({"inside": before, "filled": filled})
+    blocks = lines.groupBy("file", "start").agg(
+        (F.sum("odd") % 2).alias("odd"),
+        F.count_if(F.col("filled") & (F.col("inside") == 0)).alias("outer"), F.count_if(F.col("filled") & (F.col("inside") == 1)).alias("inner"),
+    )
+    earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    blocks = blocks.withColumn("state", F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2)
+    begun = F.when(F.col("state") == 0, F.col("outer")).otherwise(F.col("inner"))
+    blocks = blocks.withColumn("begun", F.coalesce(F.sum(begun).over(earlier), F.lit(0)))
+    blocks = blocks.select(F.col("file").alias("f"), F.col("start").alias("s"), "state", "begun")
+    lines = lines.join(blocks, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")))
+    within = (F.col("inside") + F.col("state")) % 2 == 1
+    lines = lines.withColumn("within", within).withColumn("begins", F.col("filled") & ~F.col("within"))
+    lines = lines.where("within OR begins")
+    number = F.col("begun") + F.sum(F.col("begins").cast("bigint")).over(block.rowsBetween(W.unboundedPreceding, 0)) - 1
+    lines = lines.select("file", "start", "row", "value", number.alias("number"), (F.col("begins") & (F.col("odd") == 0)).alias("whole"))
+    parts = lines.where("NOT whole").groupBy("file", "number").agg(F.sort_array(F.collect_list(F.struct("start", "row", "value"))).alias("lines"))
+    joined = F.array_join(F.transform("lines", lambda r: r["value"]), "\n")
+    return lines.where("whole").select("file", "number", "value").unionByName(parts.select("file", "number", joined.alias("value")))
+
+
 def load_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -47,43 +110,22 @@ def load_csv(
 ) -> DataFrame:
     """SC11: delimited text (also gzip). Columns load as text unless ``types`` declares them.
 
-    The header is read from the first file; every file has it, below ``skip_rows`` other lines.
-    Files are split over tasks as usual.
+    The header is read from the first file; every file has it, below ``skip_rows`` other lines. Quotes in quoted cells
+    are doubled; quoted cells and names may hold separators and line breaks (read as \\n). A quoted empty cell is empty
+    text, a missing one null. Files are split over tasks as usual.
     """
     paths = [path] if isinstance(path, str) else list(path)
     for declared in (types or {}).values():
         if declared.upper() not in DECLARED_TYPES:
             raise QueryError(f"unknown column type: {declared}")
-    head = spark.read.text(paths[0]).limit(skip_rows + 1).collect()
-    if len(head) <= skip_rows:
-        raise QueryError("the file has no header line")
-    names = _mangled([n.strip().strip('"') for n in head[skip_rows][0].split(sep)])
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("ignoreLeadingWhiteSpace", skip_initial_space)
-        .option("enforceSchema", True)
-        .option("header", skip_rows == 0)
-    )
-    if skip_rows:
-        fields = ", ".join(f"{f.name} string" for f in schema.fields)
-        options = {"sep": sep, "ignoreLeadingWhiteSpace": str(skip_initial_space).lower()}
-        lines = spark.read.text(paths).select(
-            "value",
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.monotonically_increasing_id().alias("row"),
-        )
-        # a file's first block starts with its preamble; later blocks hold data only
-        firsts = lines.where("start = 0").groupBy(F.col("file").alias("f")).agg(F.min("row").alias("first"))
-        lines = lines.join(firsts, F.col("file") == F.col("f"), "left")
-        data = (F.col("start") > 0) | (F.col("row") - F.col("first") > skip_rows)
-        lines = lines.where(data & (F.trim("value") != "")).select("value")
-        df = lines.select(F.from_csv("value", F.lit(fields), options).alias("r")).select("r.*")
-    else:
-        df = reader.csv(paths)
-    df = df.toDF(*names)
+    names = _mangled([n.strip() for n in _header(spark, paths[0], sep, skip_rows)])
+    fields = ", ".join(f"c{i} string" for i in range(len(names)))
+    options = {"sep": sep, "quote": '"', "escape": '"', "emptyValue": _EMPTY, "maxCharsPerColumn": "-1", "ignoreLeadingWhiteSpace": str(skip_initial_space).lower()}
+    data = csv_records(spark, paths, skip_rows).where("number > 0")
+    df = data.select(F.from_csv(F.replace("value", F.lit("\n"), F.lit(_LINE)), F.lit(fields), options).alias("r"))
+    cells = [F.col(f"r.c{i}") for i in range(len(names))]
+    cells = [F.when(c == _EMPTY, F.lit("")).otherwise(F.replace(c, F.lit(_LINE), F.lit("\n"))) for c in cells]
+    df = df.select(*[c.alias(n) for c, n in zip(cells, names)])
     for name in columns or ():
         if name not in names:
             raise QueryError(f"no such column: {name}")
@@ -121,8 +163,9 @@ def _safe_name(name: str) -> str:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """SC15: one folder of CSV part files, written in parallel."""
-    csv_safe(df).write.mode("errorifexists").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """SC15: one folder of CSV part files, written in parallel; ``load_csv`` reads them back as they were."""
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    csv_safe(df).write.mode("errorifexists").options(**options).csv(path)
 
 
 def concat_clean(frames: Sequence[DataFrame], column: str | None = None) -> DataFrame:
