@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -131,15 +132,16 @@ def nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
     return edges.select(F.explode(F.array(F.col(source), F.col(target))).alias("node")).where(F.col("node").isNotNull()).distinct()
 
 
-def dense_matrix(edges: DataFrame, source: str, target: str, value: str) -> DataFrame:
+def dense_matrix(edges: DataFrame, source: str, target: str, value: str, names: Sequence[str] | None = None) -> DataFrame:
     """J8: one row per node with a column per node, absent pairs 0.
 
-    A pivot over the checked node list; no pairs are generated. Larger graphs keep ``sankey_links``.
+    A pivot over the node list the caller gives, or one within Spark's bound on pivots; no pairs are generated. The long
+    form of any graph is ``sankey_links``.
     """
     folded = edges.groupBy(F.col(source).alias("source"), F.col(target).alias("target")).agg(F.sum(value).alias("value"))
     folded = cut_lineage(folded)
     every = nodes(folded, "source", "target")
-    names = pivot_values(every, "node")
+    names = list(names) if names is not None else pivot_values(every, "node")
     links = _links(folded, "source", "target", "value")
     # every node gets a row, also those without an outgoing link
     own = every.select(F.col("node").alias("source"), F.col("node").alias("target"), F.lit(0.0).alias("value"))

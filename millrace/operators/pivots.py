@@ -1,4 +1,9 @@
-"""Pivots (AG8-AG11, AG23, AG24). Everything is aggregated long first; wide comes last."""
+"""Pivots (AG8-AG11, AG23, AG24). Everything is aggregated long first; wide comes last.
+
+The ``..._long`` forms return (index, label, metrics) rows, totals included, for any number of labels, and nothing of them
+passes through the driver. The wide forms take the labels that become columns from the caller, or, as far as Spark's
+bound on pivots goes, from the data.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +16,7 @@ from pyspark.sql import functions as F
 from millrace.errors import QueryError
 from millrace.functions.text import LABEL_SEPARATOR, NULL_LABEL, escape_label, natural_key
 from millrace.operators.aggregates import aggregate, contribution, null_label
-from millrace.operators.scale import join_null_safe
+from millrace.operators.scale import bounded_labels, join_null_safe
 from millrace.session import cut_lineage
 
 LABEL = "__label"
@@ -32,7 +37,7 @@ def flatten(df: DataFrame, metric: str, series: Sequence[str], drop_metric: bool
 
 def _known_labels(long: DataFrame, metrics: Sequence[str]) -> list:
     """Labels with, per metric, how many cells hold a value: one small bounded result."""
-    rows = long.groupBy(LABEL).agg(*[F.count(m).alias(f"n{i}") for i, m in enumerate(metrics)]).collect()
+    rows = bounded_labels(long.groupBy(LABEL).agg(*[F.count(m).alias(f"n{i}") for i, m in enumerate(metrics)]))
     return sorted(rows, key=lambda r: r[LABEL])
 
 
@@ -43,13 +48,18 @@ def widen(
     fill: object = None,
     drop_missing: bool = True,
     combine: bool = False,
+    given: Sequence[str] | None = None,
 ) -> DataFrame:
     """(index, label, metrics) rows to one column per label and metric.
 
-    The folded cells are settled once: the label list and the table both read them.
+    With ``given`` labels these become the columns, in their order, and nothing is collected. Otherwise the folded
+    cells are settled once: the label list and the table both read them.
     """
-    long = cut_lineage(long)
-    labels = _known_labels(long, metrics)
+    if given is None:
+        long = cut_lineage(long)
+        labels = _known_labels(long, metrics)
+    else:
+        labels = [{LABEL: label} | {f"n{i}": 1 for i in range(len(metrics))} for label in dict.fromkeys(given)]
     values = [r[LABEL] for r in labels]
     # index columns go by place while wide: a label may spell the same as an index name
     placed = long.select(*[F.col(c).alias(f"__i{i}") for i, c in enumerate(index)], LABEL, *metrics)
@@ -82,19 +92,17 @@ def _operator(spec: tuple | Mapping[str, object]) -> object:
     return spec.get("operator") if isinstance(spec, Mapping) else spec[1]
 
 
-def pivot(
+def _long_cells(
     df: DataFrame,
     index: Sequence[str],
     columns: Sequence[str],
     aggs: Mapping[str, tuple | Mapping[str, object]],
-    fill: object = None,
-    column_fill: str | None = NULL_LABEL,
-    drop_missing: bool = True,
-    combine: bool = False,
-    margins: bool = False,
-    margin_name: str = "All",
+    column_fill: str | None,
+    drop_missing: bool,
+    margins: bool,
+    margin_name: str,
 ) -> DataFrame:
-    """AG8: a wide table of aggregates, column names ``metric, value1, value2``."""
+    """(index, label, metrics) rows of a pivot, with its totals."""
     index, columns, metrics = list(index), list(columns or ()), list(aggs)
     if not index:
         raise QueryError("a pivot needs at least one index column")
@@ -125,7 +133,40 @@ def pivot(
         )
         parts = [long, by_row.withColumns({c: F.col(c).cast("string") for c in index}), by_col, whole]
         long = reduce(lambda a, b: a.unionByName(b), parts if columns else [parts[0], by_col])
-    return widen(long, index, metrics, fill, drop_missing, combine)
+    return long
+
+
+def pivot_long(
+    df: DataFrame,
+    index: Sequence[str],
+    columns: Sequence[str],
+    aggs: Mapping[str, tuple | Mapping[str, object]],
+    column_fill: str | None = NULL_LABEL,
+    drop_missing: bool = True,
+    margins: bool = False,
+    margin_name: str = "All",
+    label: str = "label",
+) -> DataFrame:
+    """AG8 as rows: one per index and label, with totals; any number of labels."""
+    return _long_cells(df, index, columns, aggs, column_fill, drop_missing, margins, margin_name).withColumnRenamed(LABEL, label)
+
+
+def pivot(
+    df: DataFrame,
+    index: Sequence[str],
+    columns: Sequence[str],
+    aggs: Mapping[str, tuple | Mapping[str, object]],
+    fill: object = None,
+    column_fill: str | None = NULL_LABEL,
+    drop_missing: bool = True,
+    combine: bool = False,
+    margins: bool = False,
+    margin_name: str = "All",
+    labels: Sequence[str] | None = None,
+) -> DataFrame:
+    """AG8: a wide table of aggregates, column names ``metric, value1, value2``."""
+    long = _long_cells(df, index, columns, aggs, column_fill, drop_missing, margins, margin_name)
+    return widen(long, list(index), list(aggs), fill, drop_missing, combine, labels)
 
 
 TOTAL = "Total ({})"
@@ -282,11 +323,38 @@ def pivot_table(
     row_totals: bool = False,
     col_totals: bool = False,
     metrics_on_rows: bool = False,
+    labels: Sequence[str] | None = None,
 ) -> DataFrame:
     """AG10: a pivot table with optional totals and nested subtotals on both axes.
 
     ``row_totals`` adds total columns, ``col_totals`` adds total rows. Totals come from the data.
     """
+    rows, long = _table_cells(df, rows, cols, metrics, agg, transpose, row_totals, col_totals)
+    if metrics_on_rows:
+        melted = long.unpivot([*rows, LABEL], list(metrics), "metric_name", "value")
+        return widen(melted, ["metric_name", *rows], ["value"], combine=combine, given=labels)
+    return widen(long, rows, metrics, combine=combine, given=labels)
+
+
+def pivot_table_long(
+    df: DataFrame,
+    rows: Sequence[str],
+    cols: Sequence[str],
+    metrics: Sequence[str],
+    agg: str = "Sum",
+    transpose: bool = False,
+    row_totals: bool = False,
+    col_totals: bool = False,
+    label: str = "label",
+) -> DataFrame:
+    """AG10 as rows: one per row and label, totals and subtotals included; any number of labels."""
+    return _table_cells(df, rows, cols, metrics, agg, transpose, row_totals, col_totals)[1].withColumnRenamed(LABEL, label)
+
+
+def _table_cells(
+    df: DataFrame, rows: Sequence[str], cols: Sequence[str], metrics: Sequence[str], agg: str, transpose: bool, row_totals: bool, col_totals: bool
+) -> tuple[list[str], DataFrame]:
+    """The row columns of a pivot table and its (rows, label, metrics) cells."""
     rows, cols = (list(cols), list(rows)) if transpose else (list(rows), list(cols))
     filled = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in [*rows, *cols]}) if rows or cols else df
     fraction = None
@@ -309,21 +377,18 @@ def pivot_table(
     long = long.withColumn(LABEL, flat_label(cols) if cols else F.lit(""))
     if not rows:
         rows, long = ["metric"], long.withColumn("metric", F.lit(total))
-    if metrics_on_rows:
-        melted = long.unpivot([*rows, LABEL], list(metrics), "metric_name", "value")
-        return widen(melted, ["metric_name", *rows], ["value"], combine=combine)
-    return widen(long, rows, metrics, combine=combine)
+    return rows, long.select(*rows, LABEL, *metrics)
 
 
 def dist_bar(
     df: DataFrame, groupby: Sequence[str], columns: Sequence[str], metrics: Sequence[str], sort_by: str | None = None,
-    descending: bool = True, share: bool = False,
+    descending: bool = True, share: bool = False, labels: Sequence[str] | None = None,
 ) -> DataFrame:
     """AG23: bars per group, ordered by the total of the sort metric; optional share within a bar."""
     groupby = list(groupby)
     named = null_label(df, [*groupby, *columns])
     order = named.groupBy(*groupby).agg(F.sum(sort_by or metrics[0]).alias("sort_total"))
-    wide = pivot(named, groupby, columns, {m: (m, "mean") for m in metrics})
+    wide = pivot(named, groupby, columns, {m: (m, "mean") for m in metrics}, labels=labels)
     if share:
         cells = [c for c in wide.columns if c not in groupby]
         totals = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) for c in cells])
@@ -333,12 +398,12 @@ def dist_bar(
     return joined.orderBy(key, *groupby)
 
 
-def time_table(df: DataFrame, time: str, metrics: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+def time_table(df: DataFrame, time: str, metrics: Sequence[str], group: Sequence[str] = (), labels: Sequence[str] | None = None) -> DataFrame:
     """AG24: mean per time point, one column per group value or metric, sorted by time."""
     if group and len(metrics) > 1:
         raise QueryError("a grouped time table takes one metric")
     if group:
-        wide = pivot(df, [time], group, {metrics[0]: (metrics[0], "mean")})
+        wide = pivot(df, [time], group, {metrics[0]: (metrics[0], "mean")}, labels=labels)
         prefix = escape_label(metrics[0]) + LABEL_SEPARATOR
         wide = wide.withColumnsRenamed({c: c.removeprefix(prefix) for c in wide.columns})
     else:

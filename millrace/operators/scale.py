@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.errors import QueryError
 from millrace.session import chunk_count, cut_lineage
 
 
@@ -140,7 +141,21 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*[f"__r_{k}" for k in keys])
 
 
+def most_labels(spark: SparkSession) -> int:
+    """How many labels may become columns without being given: Spark's own bound on pivots."""
+    return int(spark.conf.get("spark.sql.pivotMaxValues", "10000"))
+
+
+def bounded_labels(rows: DataFrame) -> list:
+    """The rows of a label list that fits a wide table; more is an error, since the long form holds any number."""
+    most = most_labels(rows.sparkSession)
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise QueryError(f"more than {most} labels would become columns: take the long form, or give the labels")
+    return found
+
+
 def pivot_values(df: DataFrame, label: str) -> list:
-    """Sorted distinct labels: the columns of a wide result. However many labels there are, the long form holds them as rows."""
-    rows = df.select(label).distinct().collect()
+    """Sorted distinct labels: the columns of a wide result."""
+    rows = bounded_labels(df.select(label).distinct())
     return sorted((r[0] for r in rows), key=lambda v: (v is None, v))

@@ -34,11 +34,35 @@ def _case(expression: str, value: str, digits: int | None = 2) -> str:
 def pivot_priority_by_status(spark, folder):
     wide = pivots.pivot(
         orders(spark, folder), ["o_orderpriority"], ["o_orderstatus"],
-        {"total": ("o_totalprice", "sum"), "n": ("o_totalprice", "count")},
+        {"total": ("o_totalprice", "sum"), "n": ("o_totalprice", "count")}, labels=STATUS,
     )
     return rounded(wide, 2, *[f"total, {s}" for s in STATUS])
 
 
+@R.add(
+    "pivot_long_totals",
+    """SELECT coalesce(o_orderstatus, 'All') AS o_orderstatus, coalesce(CAST(o_custkey AS VARCHAR), 'All') AS label, round(sum(o_totalprice), 2) AS total, count(*) AS n
+       FROM orders GROUP BY CUBE (o_orderstatus, o_custkey)""",
+)
+def pivot_long_totals(spark, folder):
+    """A label for every customer, as rows, with the totals of rows and columns."""
+    aggs = {"total": ("o_totalprice", "sum"), "n": ("o_totalprice", "count")}
+    return rounded(pivots.pivot_long(orders(spark, folder), ["o_orderstatus"], ["o_custkey"], aggs, margins=True), 2, "total")
+
+
+@R.add(
+    "pivot_table_long_totals",
+    """WITH g AS (SELECT year(o_orderdate) AS y, o_orderpriority AS p, CAST(o_custkey AS VARCHAR) AS c, o_totalprice AS v FROM orders)
+       SELECT CASE WHEN grouping(y) = 1 THEN 'Total (Sum)' ELSE CAST(y AS VARCHAR) END AS y,
+         CASE WHEN grouping(y) = 1 THEN '' WHEN grouping(p) = 1 THEN 'Subtotal' ELSE p END AS p,
+         CASE WHEN grouping(c) = 1 THEN 'Total (Sum)' ELSE c END AS label, round(sum(v), 2) AS v FROM g
+       GROUP BY GROUPING SETS ((y, p, c), (y, c), (c), (y, p), (y), ())""",
+)
+def pivot_table_long_totals(spark, folder):
+    frame = orders(spark, folder).select(F.year("o_orderdate").alias("y"), F.col("o_orderpriority").alias("p"), F.col("o_custkey").alias("c"), F.col("o_totalprice").alias("v"))
+    return rounded(pivots.pivot_table_long(frame, ["y", "p"], ["c"], ["v"], row_totals=True, col_totals=True), 2, "v")
+
+
 @R.add(
     "pivot_null_labels_combined",
     "SELECT o_orderpriority, "

@@ -168,7 +168,7 @@ NATIONS = [f"NATION_{i}" for i in range(25)]
 )
 def nation_flow_matrix(spark, folder):
     names = table(spark, folder, "nation").select(F.col("n_name").alias("source"), F.col("n_name").alias("target"), F.lit(0.0).alias("value"))
-    matrix = graph.dense_matrix(flows(spark, folder).unionByName(names), "source", "target", "value")
+    matrix = graph.dense_matrix(flows(spark, folder).unionByName(names), "source", "target", "value", NATIONS)
     return rounded(matrix, 2, *[c for c in matrix.columns if c != "source"])
 
 

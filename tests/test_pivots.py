@@ -264,3 +264,19 @@ def test_quality(spark):
 def test_calendar_range(spark):
     df = spark.createDataFrame([(datetime(2020, 1, 31),), (datetime(2020, 3, 1),)], "t timestamp_ntz")
     assert aggregates.calendar_range(df, "t", "P1M").first()["cells"] == 3
+
+
+def test_any_number_of_labels_as_rows(spark, monkeypatch):
+    """100,000 labels: nothing is collected, totals included; as columns they are refused."""
+    df = spark.range(200_000).selectExpr("id % 2 AS k", "id % 100000 AS label_id", "1.0D AS v")
+    kept = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: pytest.fail("collected"))
+    long = pivots.pivot_long(df, ["k"], ["label_id"], {"v": ("v", "sum")}, margins=True)
+    table = pivots.pivot_table_long(df, ["k"], ["label_id"], ["v"], row_totals=True, col_totals=True)
+    few = pivots.pivot(df, ["k"], ["label_id"], {"v": ("v", "sum")}, labels=["3", "4", "none"])
+    monkeypatch.setattr(type(df), "collect", kept)
+    assert long.count() == table.count() == 100_000 * 2 + 3
+    assert {tuple(r) for r in few.collect()} == {(1, 2.0, None, None), (0, None, 2.0, None)}
+    assert few.columns == ["k", "v, 3", "v, 4", "v, none"]
+    with pytest.raises(QueryError, match="long form"):
+        pivots.pivot(df, ["k"], ["label_id"], {"v": ("v", "sum")})
