@@ -11,7 +11,7 @@ from millrace.functions.grains import ntz
 from millrace.operators import changes
 from millrace.plans.base import Register, table
 from millrace.sources.paths import scratch_folder
-from millrace.streaming import ingest
+from millrace.streaming import ingest, keyed_state
 
 R = Register()
 ENTRIES = R.entries
@@ -124,15 +124,26 @@ _STATE_MS = """SELECT user_id, value FROM (SELECT *, row_number() OVER (PARTITIO
 
 @R.add("cdc_streamed_state", _STATE_MS)
 def cdc_streamed_state(spark, folder):
-    """ST1-ST4 end to end: envelopes as files, several micro-batches, a snapshot in between, then the state."""
+    """ST1-ST5 end to end: envelopes as files, several micro-batches, the rows that the stream's state lets stand."""
+    base = scratch_folder(spark, "cdc")
+    feed = envelopes(spark, folder)
+    feed.repartition(4, "offset").write.parquet(f"{base}/feed")
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/feed")
+    changed = ingest.to_changes(stream, ingest.KeyedTable(f"{base}/users", KEYS))
+    started = keyed_state.start_newest(changed, KEYS, f"{base}/newest", f"{base}/checkpoint", interval=None)
+    ingest.await_all({"users": started})
+    return keyed_state.newest_state(spark, f"{base}/newest", changed.schema, KEYS).select("user_id", "value")
+
+
+@R.add("cdc_replayed_log", _STATE_MS)
+def cdc_replayed_log(spark, folder):
+    """ST1-ST3: each micro-batch becomes an epoch of the log; its replay is the table."""
     base = scratch_folder(spark, "cdc")
     feed = envelopes(spark, folder)
     feed.repartition(4, "offset").write.parquet(f"{base}/feed")
     users = ingest.KeyedTable(f"{base}/users", KEYS)
     stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/feed")
-    started = ingest.start_ingest({"users": stream}, {"users": users}, f"{base}/checkpoints", interval=None)
-    ingest.await_all(started)
-    users.fold(spark)
+    ingest.await_all(ingest.start_ingest({"users": stream}, {"users": users}, f"{base}/checkpoints", interval=None))
     return users.state(spark).select("user_id", "value")
 
 

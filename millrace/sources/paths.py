@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,15 +20,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def finished_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
-    """The ``n`` of sub-folders ``name=n`` whose writing job completed."""
-    fs, _ = _file_system(spark, path)
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    numbers = [int(re.search(rf"{name}=(\d+)/_SUCCESS$", str(s.getPath().toString()))[1]) for s in found]
-    return sorted(numbers)
-
-
 def size_bytes(spark: SparkSession, path: str) -> int:
     fs, target = _file_system(spark, path)
     return fs.getContentSummary(target).getLength()

@@ -1,10 +1,9 @@
-"""Change-feed ingest (ST1-ST5): each micro-batch is appended once, state is a replay.
+"""Change-feed ingest (ST1-ST5): each micro-batch is appended once, every version is a replay.
 
-A batch costs what it holds: its changes are folded to one per key and written as the log
-partition ``epoch=<id>``. Replaying an epoch overwrites that partition with the same rows, so it
-changes nothing. The current table, any earlier version and the history are replays of the log
-by (ts_ms, epoch, offset), which also settles late changes; ``fold`` writes a snapshot now and
-then so that a replay reads only the epochs after it.
+A batch costs what it holds: its changes are folded to one per key and written as the log partition ``epoch=<id>``.
+Replaying an epoch overwrites that partition with the same rows, so it changes nothing. Any version, any moment and the
+history are replays of the log by (ts_ms, epoch, offset), which also settles late changes. The current rows alone are
+kept by the stream's own state, see ``keyed_state``.
 """
 
 from __future__ import annotations
@@ -18,18 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.errors import QueryError
 from millrace.functions.grains import epoch_to_ts
-from millrace.operators.changes import (
-    DELETE,
-    change_history,
-    flatten_change,
-    latest_by_key,
-    without_keys,
-    without_stale,
-)
-from millrace.sources.paths import finished_numbers
-
-META = ("_op", "_ts_ms", "_offset")
-DATE_PARTS = ("year", "month", "day")
+from millrace.operators.changes import DELETE, change_history, flatten_change, latest_by_key
+from millrace.sources.paths import exists
+from millrace.streaming.keyed_state import META
 
 
 @dataclass(frozen=True)
@@ -49,67 +39,27 @@ class KeyedTable:
         folded = latest_by_key(changes, self.keys, [F.desc("_ts_ms"), F.desc("_offset")])
         folded.write.mode("overwrite").parquet(f"{self.path}/log/epoch={epoch}")
 
-    def log(self, spark: SparkSession, after: int = -1, until: int | None = None) -> DataFrame | None:
-        """Finished epochs in ``(after, until]``."""
-        epochs = finished_numbers(spark, f"{self.path}/log", "epoch")
-        wanted = [e for e in epochs if e > after and (until is None or e <= until)]
-        if not wanted:
-            return None
-        reader = spark.read.option("basePath", f"{self.path}/log").option("mergeSchema", True)
-        return reader.parquet(*[f"{self.path}/log/epoch={e}" for e in wanted]).withColumn("epoch", F.col("epoch").cast("bigint"))
-
-    def _latest(self, spark: SparkSession, until: int | None = None) -> DataFrame:
-        """Newest change of each key, tombstones included."""
-        snapshots = [s for s in finished_numbers(spark, f"{self.path}/state", "version") if until is None or s <= until]
-        base, after = None, -1
-        if snapshots:
-            after = snapshots[-1]
-            base = spark.read.parquet(f"{self.path}/state/version={after}")
-        log = self.log(spark, after, until)
-        if base is None and log is None:
+    def log(self, spark: SparkSession, until: int | None = None) -> DataFrame:
+        """All epochs, or those up to one; the others are not read."""
+        if not exists(spark, f"{self.path}/log"):
             raise QueryError(f"no finished epoch under {self.path}")
-        if log is None:
-            return base
-        recent = latest_by_key(log, self.keys, self.order)
-        if base is None:
-            return recent
-        # the snapshot is filtered in place by the few recent keys instead of being shuffled
-        fresh = without_stale(base, recent, self.keys, "_ts_ms")
-        return without_keys(base, fresh, self.keys).unionByName(fresh, allowMissingColumns=True)
+        rows = spark.read.parquet(f"{self.path}/log").withColumn("epoch", F.col("epoch").cast("bigint"))
+        return rows if until is None else rows.where(F.col("epoch") <= until)
 
     def state(self, spark: SparkSession, version: int | None = None) -> DataFrame:
         """The table now, or as of a version: rows only, no bookkeeping columns."""
-        live = self._latest(spark, version).where(F.col("_op") != DELETE)
+        live = latest_by_key(self.log(spark, version), self.keys, self.order).where(F.col("_op") != DELETE)
         return live.drop(*META, "epoch")
 
     def as_of_time(self, spark: SparkSession, ts_ms: int) -> DataFrame:
         """The table as it stood at a moment, from the retained log."""
-        log = self.log(spark)
-        if log is None:
-            raise QueryError(f"no finished epoch under {self.path}")
-        kept = latest_by_key(log.where(F.col("_ts_ms") <= ts_ms), self.keys, self.order)
+        kept = latest_by_key(self.log(spark).where(F.col("_ts_ms") <= ts_ms), self.keys, self.order)
         return kept.where(F.col("_op") != DELETE).drop(*META, "epoch")
 
     def history(self, spark: SparkSession) -> DataFrame:
         """Per version its time and its inserted, updated and deleted rows."""
         return change_history(self.log(spark), self.keys, self.order, "epoch", "_ts_ms", "_op")
 
-    def fold(self, spark: SparkSession, keep_tombstones_after_ms: int | None = None) -> int:
-        """Write a snapshot of the newest version; old tombstones may be dropped."""
-        epochs = finished_numbers(spark, f"{self.path}/log", "epoch")
-        if not epochs:
-            raise QueryError(f"no finished epoch under {self.path}")
-        latest = self._latest(spark, epochs[-1])
-        if keep_tombstones_after_ms is not None:
-            latest = latest.where((F.col("_op") != DELETE) | (F.col("_ts_ms") > keep_tombstones_after_ms))
-        target = f"{self.path}/state/version={epochs[-1]}"
-        if self.time_col:
-            # readers of a day prune to its folder; tombstones share the folder without a date
-            latest.hint("rebalance", *DATE_PARTS).write.mode("overwrite").partitionBy(*DATE_PARTS).parquet(target)
-        else:
-            latest.hint("rebalance").write.mode("overwrite").parquet(target)
-        return epochs[-1]
-
 
 def to_changes(decoded: DataFrame, table: KeyedTable, offset: str = "offset") -> DataFrame:
     """Envelopes to log rows: the new row, its key filled in from the old row on a delete, date parts."""
@@ -126,21 +76,14 @@ def to_changes(decoded: DataFrame, table: KeyedTable, offset: str = "offset") ->
     return flat
 
 
-def apply_batch(
-    table: KeyedTable, decode: Callable[[DataFrame], DataFrame] | None = None, fold_every: int | None = None
-) -> Callable[[DataFrame, int], None]:
-    """ST3: the ``foreachBatch`` body of one table. Errors stop the query; nothing is swallowed.
-
-    ``fold_every`` writes a snapshot after every so many epochs.
-    """
+def apply_batch(table: KeyedTable, decode: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """ST3: the ``foreachBatch`` body of one table. Errors stop the query; nothing is swallowed."""
 
     def body(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():
             return
         decoded = decode(batch) if decode else batch
         table.write_epoch(to_changes(decoded, table), epoch)
-        if fold_every and (epoch + 1) % fold_every == 0:
-            table.fold(batch.sparkSession)
 
     return body
 
@@ -151,7 +94,6 @@ def start_ingest(
     checkpoints: str,
     interval: str | None = "60 seconds",
     decoders: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-    fold_every: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """ST1, ST2: one independent query per table with its own checkpoint folder.
 
@@ -164,7 +106,7 @@ def start_ingest(
     for name, feed in feeds.items():
         writer = feed.writeStream.queryName(name).option("checkpointLocation", f"{checkpoints}/{name}")
         writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
-        started[name] = writer.foreachBatch(apply_batch(tables[name], (decoders or {}).get(name), fold_every)).start()
+        started[name] = writer.foreachBatch(apply_batch(tables[name], (decoders or {}).get(name))).start()
     return started
 
 

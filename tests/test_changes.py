@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from millrace.errors import QueryError
 from millrace.operators import changes
 from millrace.sources import feed, files, layout, tables
-from millrace.streaming import ingest
+from millrace.streaming import ingest, keyed_state
 
 ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType()), T.StructField("created_at", T.IntegerType())])
 FEED = feed.envelope(ROW).add("offset", T.LongType())
@@ -53,14 +53,10 @@ def test_replay_under_random_splits(spark, tmp_path, seed):
         parts.append(part)
         body(part, epoch)
         start, epoch = start + step, epoch + 1
-        if epoch == 2:
-            table.fold(spark)
     assert state_of(table, spark) == truth(log)
     # a replayed epoch changes nothing
     body(parts[-1], epoch - 1)
     assert state_of(table, spark) == truth(log)
-    table.fold(spark)
-    assert state_of(table, spark) == truth(log)
     assert set(table.state(spark).columns) == {"id", "v", "created_at", "year", "month", "day"}
 
 
@@ -86,8 +82,7 @@ def test_versions_times_and_history(spark, tmp_path):
     assert {r["id"]: r["v"] for r in table.as_of_time(spark, 20).collect()} == {1: "a2", 2: "b"}
     history = {r["epoch"]: (r["inserted"], r["updated"], r["deleted"]) for r in table.history(spark).collect()}
     assert history == {0: (2, 0, 0), 1: (0, 1, 1), 3: (1, 1, 0)}
-    # tombstones stay through a fold, so a late change still loses
-    table.fold(spark)
+    # tombstones stay in the log, so a late change still loses
     body(spark.createDataFrame([change("u", 2, "late", 19, 9)], FEED), 4)
     assert state_of(table, spark) == {1: "a2", 3: "c"}
 
@@ -181,15 +176,22 @@ def test_csv_keeps_a_row_that_repeats_the_header(spark, tmp_path):
     assert sorted(tuple(r) for r in out.collect()) == [("1", "x"), ("1", "x"), ("id", "name"), ("id", "name")]
 
 
-def test_snapshots_by_day_and_automatic_folds(spark, tmp_path):
-    log = make_log(21, n=50)
-    table = ingest.KeyedTable(str(tmp_path / "t"), ["id"], "created_at")
-    body = ingest.apply_batch(table, fold_every=2)
-    for epoch, start in enumerate(range(0, 50, 10)):
-        body(spark.createDataFrame(log[start : start + 10], FEED), epoch)
-    assert [p.name for p in sorted((tmp_path / "t" / "state").iterdir())] == ["version=1", "version=3"]
-    assert list((tmp_path / "t" / "state" / "version=3").glob("year=*/month=*/day=*"))
-    assert state_of(table, spark) == truth(log)
+def test_state_of_the_stream(spark, tmp_path):
+    """Late changes lose in their batch and across batches; a restart goes on from the state."""
+    log = make_log(21, n=120)
+    table = ingest.KeyedTable(str(tmp_path / "t"), ["id"])
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    for stop in (60, 120):  # the second round restarts the query on new files
+        for i in range(stop - 60, stop, 20):
+            (folder / f"{i:04d}.json").write_text("\n".join(json.dumps(c) for c in log[i : i + 20]))
+        changed = ingest.to_changes(feed.read_change_feed(spark, str(folder), FEED, max_files_per_trigger=1), table)
+        started = keyed_state.start_newest(changed, ["id"], str(tmp_path / "out"), str(tmp_path / "check"), interval=None)
+        ingest.await_all({"t": started})
+        rows = keyed_state.newest_state(spark, str(tmp_path / "out"), changed.schema, ["id"]).collect()
+        assert {r["id"]: r["v"] for r in rows} == truth(log[:stop])
+    written = spark.read.schema(changed.schema).parquet(str(tmp_path / "out")).select("id", "_ts_ms", "_offset")
+    assert written.count() == written.distinct().count()
 
 
 def test_saved_tables(spark, tmp_path):
