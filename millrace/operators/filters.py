@@ -5,11 +5,11 @@ from __future__ import annotations
 import ipaddress
 import re
 from collections.abc import Mapping, Sequence
-from contextlib import suppress
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +30,6 @@ class Filter:
     grain: str | None = None
 
 
-EPOCH = datetime(1970, 1, 1)
-
-
 def generic_type(data_type: T.DataType) -> str:
     """NUMERIC, STRING, TEMPORAL or BOOLEAN; nested types count as STRING."""
     if isinstance(data_type, T.BooleanType):
@@ -43,40 +40,25 @@ def generic_type(data_type: T.DataType) -> str:
     return "TEMPORAL" if isinstance(data_type, temporal) else "STRING"
 
 
-def _number(text: str) -> int | float | None:
-    """Whole if all digits, else floating; None if it is no number."""
-    if text.isdecimal():
-        return int(text)
-    with suppress(ValueError):
-        return float(text)
-    return None
-
-
-#: What request values of a kind become, by the type they come in; other types stay.
-_READERS = {
-    ("NUMERIC", str): _number,
-    ("BOOLEAN", str): lambda text: text.casefold().strip() == "true",
-    ("BOOLEAN", int): bool,
-    ("BOOLEAN", float): bool,
-    ("TEMPORAL", int): lambda ms: EPOCH + timedelta(milliseconds=ms),
-    ("TEMPORAL", float): lambda ms: EPOCH + timedelta(milliseconds=ms),
-}
+def request_values(values: Sequence[object], kind: str) -> list[object]:
+    """FL8: values of a request as literals for a column of that kind; None where one cannot be read.
 
-
-def _coerce_one(value: object, kind: str) -> object:
-    text = value.strip("\t\n") if isinstance(value, str) else value
-    if kind != "NUMERIC" and isinstance(text, str) and text in (NULL_LABEL, EMPTY_LABEL):
-        text = {NULL_LABEL: None, EMPTY_LABEL: ""}[text]
-    return _READERS.get((kind, type(text)), lambda same: same)(text)
-
-
-def coerce_value(value: object, kind: str, listed: bool) -> object:
-    """FL8: request text to a literal of the column's kind."""
-    if isinstance(value, (list, tuple)):
-        values = [_coerce_one(v, kind) for v in value]
-        return values if listed else (values[0] if values else None)
-    value = _coerce_one(value, kind)
-    return [value] if listed else value
+    Text is read as the column's kind by pandas; the labels that stand for null and for empty text are turned back
+    except for numbers. Numbers given for times are milliseconds since 1970, for truth values zero is false.
+    """
+    labels = {} if kind == "NUMERIC" else {NULL_LABEL: None, EMPTY_LABEL: ""}
+    cells = [v.strip("\t\n") if isinstance(v, str) else v for v in values]
+    cells = [labels.get(v, v) if isinstance(v, str) else v for v in cells]
+    if kind == "NUMERIC":
+        read = [pd.to_numeric(v, errors="coerce") if isinstance(v, str) else v for v in cells]
+        read = [v.item() if hasattr(v, "item") else v for v in read]
+        return [None if v is None or v != v else v for v in read]
+    numbers = [isinstance(v, (int, float)) and not isinstance(v, bool) for v in cells]
+    if kind == "TEMPORAL":
+        return [pd.Timestamp(v, unit="ms").to_pydatetime() if n else v for v, n in zip(cells, numbers)]
+    if kind == "BOOLEAN":
+        return [v != 0 if n else v.strip().lower() == "true" if isinstance(v, str) else v for v, n in zip(cells, numbers)]
+    return cells
 
 
 def _literal(value: object) -> Column:
@@ -124,13 +106,15 @@ def predicate(df: DataFrame, condition: Filter, clock: TimeText | None = None) -
                 raise QueryError("a time range in words needs a clock")
             return between_times(target, *clock.time_range(condition.val))
         return between_times(target, *condition.val)
-    value = coerce_value(condition.val, kind, listed=op in ("IN", "NOT IN"))
+    given = condition.val if isinstance(condition.val, (list, tuple)) else [condition.val]
+    values = request_values(given, kind)
+    value = values[0] if values else None
     if op in ("IN", "NOT IN"):
-        if not value:
+        if not values:
             raise QueryError("IN needs at least one value")
-        known = [v for v in value if v is not None]
+        known = [v for v in values if v is not None]
         inside = target.isin(*[_literal(v) for v in known]) if known else F.lit(False)
-        if len(known) < len(value):
+        if len(known) < len(values):
             inside = inside | target.isNull()
         return ~inside if op == "NOT IN" else inside
     if op in _COMPARE:

@@ -200,13 +200,11 @@ def hierarchy_rollup(
         back = base.where(F.col("id") == F.lit(root)).select(F.col("parent").cast("string").alias("key"))
         if not rows.join(back, "key", "left_semi").isEmpty():
             raise QueryError("the hierarchy has a loop")
-    rows = settled(rows)
-    if rows.isEmpty():
-        raise QueryError("the hierarchy has a loop" if root is None and not base.isEmpty() else "no root found")
     sums = rows.select(F.explode("path").alias("key"), "value").groupBy("key").agg(F.sum("value").alias("subtree"), F.count(F.lit(1)).alias("nodes"))
-    tree = rows.join(sums, "key")
+    tree = settled(rows.join(sums, "key"))
+    if tree.isEmpty():
+        raise QueryError("the hierarchy has a loop" if root is None and not base.isEmpty() else "no root found")
     if root is None:
-        tree = settled(tree)
         only = base.groupBy("parent").agg(F.count(F.lit(1)).alias("__n"), F.min("id").alias("id")).where("__n = 1")
         best = tree.join(only.select("id"), "id", "left_semi").orderBy(F.desc("nodes"), "id").select("id").first()
         if best is None:

@@ -9,7 +9,7 @@ from millrace.errors import QueryError
 from millrace.functions import grains, text
 from millrace.operators import filters, ordering, project
 from millrace.operators.aggregates import aggregate, contribution, scalar_alert
-from millrace.operators.filters import Filter, coerce_value
+from millrace.operators.filters import Filter, request_values
 from millrace.operators.joins import dedup_names
 from millrace.operators.query import Dataset, Metric, QuerySpec, run_query, time_offset_join
 
@@ -71,14 +71,12 @@ def test_null_in_lists(sales):
     assert filters.apply_filters(sales, [Filter("c", "NOT IN", ["US"])]).count() == 2
 
 
-def test_coercion():
-    assert coerce_value("5", "NUMERIC", False) == 5
-    assert coerce_value("5.2", "NUMERIC", False) == 5.2
-    assert coerce_value("no", "NUMERIC", False) is None
-    assert coerce_value("<empty string>", "STRING", False) == ""
-    assert coerce_value("<NULL>", "STRING", True) == [None]
-    assert coerce_value(["TRUE", 0, None], "BOOLEAN", True) == [True, False, None]
-    assert coerce_value(0, "TEMPORAL", False) == datetime(1970, 1, 1)
+def test_request_values():
+    assert request_values(["17", "-3", "2.5\n", "1e3", 4, None, "many", ""], "NUMERIC") == [17, -3, 2.5, 1000, 4, None, None, None]
+    assert request_values(["<empty string>", "<NULL>", "\tx", None], "STRING") == ["", None, "x", None]
+    assert request_values(["True ", "yes", 2, 0, 0.0, True, None, "<NULL>"], "BOOLEAN") == [True, False, True, False, False, True, None, None]
+    assert request_values([86_400_000, 1.5, "2020-01-01"], "TEMPORAL") == [datetime(1970, 1, 2), datetime(1970, 1, 1, 0, 0, 0, 1500), "2020-01-01"]
+    assert request_values([], "NUMERIC") == []
 
 
 def test_addresses_and_ports(spark):
