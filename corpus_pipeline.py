@@ -45,7 +45,8 @@ STAGES = [
     ("encoding", encoded),
 ]
 
-#: No SQL states the language model, the MinHash index or the piece model; tests hold each stage to a brute-force version.
+#: No SQL states the language model, the MinHash index or the piece model. Tests hold the operators to brute force where they
+#: have one; of the stages together they check subsets, columns and counts only.
 ORACLE_SQL = None
 
 

@@ -17,7 +17,7 @@ def con():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    ok, note = oracle.compare(spark, con, FOLDER, QUERIES[name], SQL.get(name))
+    ok, note = oracle.compare(spark, con, FOLDER, QUERIES[name], SQL.get(name), name)
     assert ok, note
 
 
