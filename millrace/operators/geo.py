@@ -96,6 +96,11 @@ def geohash_encode(lat: Column, lon: Column, precision: int = 12) -> Column:
     return F.concat(*chars)
 
 
+def to_geohash(df: DataFrame, latitude: str, longitude: str, geohash: str = "geohash", precision: int = 12) -> DataFrame:
+    """AG28: the geohash of two columns as a new one; null where either is."""
+    return df.withColumn(geohash, geohash_encode(F.col(latitude), F.col(longitude), precision))
+
+
 def from_geohash(df: DataFrame, geohash: str, precision: int = 12) -> DataFrame:
     """AG28: ``latitude``, ``longitude`` (centre) and half sizes ``lat_err``, ``lon_err``."""
     lon_bits, lat_bits = _bits(precision)

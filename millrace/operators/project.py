@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.errors import QueryError
+from millrace.functions.text import escape_label, unescape_label
 
 
 def project(df: DataFrame, columns: Sequence[str | tuple[str, str]], time_col: str | None = None) -> DataFrame:
@@ -111,3 +112,13 @@ def expand_nested(df: DataFrame) -> DataFrame:
             else:
                 selected.append(F.when(first, F.col(f"`{c}`")).alias(c))
         df = row.select(*selected)
+
+
+def escape_names(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Separators inside column names are escaped, so that names can be joined into flat labels."""
+    return df.withColumnsRenamed({c: escape_label(c) for c in (df.columns if columns is None else columns)})
+
+
+def unescape_names(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The inverse of ``escape_names``."""
+    return df.withColumnsRenamed({c: unescape_label(c) for c in (df.columns if columns is None else columns)})

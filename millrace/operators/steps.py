@@ -19,7 +19,9 @@ STEPS: dict[str, Callable[..., DataFrame]] = {
     "diff": series.diff,
     "flatten": pivots.flatten,
     "forecast": series.forecast,
+    "escape_names": project.escape_names,
     "geohash_decode": geo.from_geohash,
+    "geohash_encode": geo.to_geohash,
     "geohash_grid": geo.geohash_grid,
     "pivot": pivots.pivot,
     "rename": project.rename_op,
@@ -27,6 +29,7 @@ STEPS: dict[str, Callable[..., DataFrame]] = {
     "rolling": series.rolling,
     "select": project.select_op,
     "sort": ordering.sort_op,
+    "unescape_names": project.unescape_names,
 }
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import geo, graph, joins
+from millrace.operators.steps import apply_step
 from millrace.plans.base import Entry, Register, rounded, table
 from millrace.plans.core import trade
 
@@ -85,6 +86,24 @@ def geo_geohash_decoded(spark, folder):
     return rounded(geo.from_geohash(coded, "geohash", 6), 6, "longitude", "latitude").select("o_orderkey", "longitude", "latitude")
 
 
+@R.add(
+    "geo_geohash_steps",
+    f"""WITH {_POINTS}, k AS (SELECT o_orderkey, floor((lon + 180) / 360 * 32768) AS x, floor((lat + 90) / 180 * 32768) AS y FROM pts)
+        SELECT o_orderkey, round((x + 0.5) / 32768 * 360 - 180, 6) AS longitude, round((y + 0.5) / 32768 * 180 - 90, 6) AS latitude FROM k""",
+)
+def geo_geohash_steps(spark, folder):
+    """There and back by named steps, with a name that needs escaping in between."""
+    rows = places(spark, folder).withColumnRenamed("o_orderkey", "key, of order")
+    for name, options in (
+        ("geohash_encode", {"latitude": "lat", "longitude": "lon", "geohash": "code", "precision": 6}), ("escape_names", {}),
+        ("geohash_decode", {"geohash": "code", "precision": 6}), ("unescape_names", {}),
+    ):
+        rows = apply_step(rows, name, options)
+    back = rows.withColumnRenamed("key, of order", "o_orderkey")
+    return rounded(back, 6, "longitude", "latitude").select("o_orderkey", "longitude", "latitude")
+
+
+
 @R.add(
     "geo_clusters",
     f"""WITH {_POINTS} SELECT CAST(floor(lon / 30) AS BIGINT) AS cell_x, CAST(floor(lat / 30) AS BIGINT) AS cell_y, count(w) AS count,
