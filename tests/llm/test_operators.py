@@ -202,6 +202,23 @@ def test_pieces_match_the_library(spark):
     assert all(r.round_trip for r in pieces.tokens(rows).collect())
 
 
+def test_units_are_cut_once_and_folded_alike(spark, monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    model = pieces.read_model()
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(6)
+    letters = ["the", "tion", "er", "in", " ", " ", "é", "日", "▁", "x", "\n", "😀", "  ", "th"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(60)] + ["the" * 300, None, "the" * 300, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(None, "other " * 3), (0, texts[0])], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(pieces, "SAMPLE", 4)
+    monkeypatch.setattr(pieces, "SLICE", 200)
+    for frequent in (0, 5, pieces.FREQUENT):
+        got = pieces.encoded(docs, model, frequent).collect()
+        assert len(got) == docs.count() and all(r.ids == library.encode(r.text or "") for r in got)
+    plan = pieces.encoded_units(pieces.vocabulary(docs, model), model)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Union" not in plan  # one scan that cuts, one that folds
+
+
 def test_viterbi_fold_against_all_paths(spark):
     table = [("▁", 300, -3.0), ("a", 301, -2.0), ("b", 302, -2.5), ("ab", 303, -3.9), ("▁a", 304, -4.0), ("ba", 305, -4.6), ("aba", 306, -5.0)]
     model = pieces.Model(table, 3, True)
