@@ -25,28 +25,37 @@ from pyspark.sql import functions as F
 from millrace.llm.common import bound_batches
 
 SAMPLES = 64
-#: Words whose draws a worker keeps: 64 x 3 floats each.
-KNOWN_WORDS = 40_000
+#: Words whose draws a worker keeps: 64 x 4 floats each.
+KNOWN_WORDS = 100_000
 
 _SEEDS = np.random.default_rng(64).integers(0, 1 << 63, (5, SAMPLES), dtype=np.uint64)
 
 
 def _stirred(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def _orders(r: np.ndarray, ln_c: np.ndarray, b: np.ndarray, weights: np.ndarray | float) -> np.ndarray:
+    """What each sample takes the smallest of, for words of these weights (logarithms of counts)."""
+    t = np.floor(weights / r + b)
+    return ln_c - r * (t - b) - r
 
 
 class Draws:
-    """r, ln c and b of each word met so far; forgets all when full."""
+    """r, ln c, b and the order as a single word, of each word met so far; forgets all when full."""
 
     def __init__(self) -> None:
         self.rows: dict[str, int] = {}
-        self.values = np.empty((3, KNOWN_WORDS, SAMPLES), np.float32)
+        self.values = np.empty((4, KNOWN_WORDS, SAMPLES), np.float32)
         self.hashes = np.empty(KNOWN_WORDS, np.uint64)
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(hashes, r, ln c, b) of at most KNOWN_WORDS distinct words."""
+    def of(self, words: list[str]) -> np.ndarray:
+        """Where ``hashes`` and ``values`` have each of at most KNOWN_WORDS distinct words."""
         new = [w for w in words if w not in self.rows]
         if len(self.rows) + len(new) > KNOWN_WORDS:
             self.rows.clear()
@@ -55,14 +64,18 @@ class Draws:
             first = len(self.rows)
             self.rows.update(zip(new, range(first, first + len(new))))
             hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new], np.uint64)
-            u = [((_stirred(hashes[:, None] ^ s) >> np.uint64(11)).astype(np.float64) + 0.5) / 2**53 for s in _SEEDS]
-            place = slice(first, first + len(new))
-            self.hashes[place] = hashes
-            self.values[0, place] = -np.log(u[0] * u[1])
-            self.values[1, place] = np.log(-np.log(u[2] * u[3]))
-            self.values[2, place] = u[4]
-        at = np.fromiter((self.rows[w] for w in words), np.int64, len(words))
-        return self.hashes[at], self.values[0, at], self.values[1, at], self.values[2, at]
+            self.hashes[first : first + len(new)] = hashes
+            for start in range(0, len(new), 32):  # few words at a time stay in the processor's cache
+                part = hashes[start : start + 32]
+                u = (_stirred(part[:, None] ^ _SEEDS[:, None]) >> np.uint64(11)).view(np.int64).astype(np.float64)
+                u += 0.5
+                u *= 2.0**-53
+                place = slice(first + start, first + start + len(part))
+                self.values[0, place] = -np.log(u[0] * u[1])
+                self.values[1, place] = np.log(-np.log(u[2] * u[3]))
+                self.values[2, place] = u[4]
+                self.values[3, place] = _orders(*self.values[:3, place], np.float32(0))
+        return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
 
 def signature(text: str, draws: Draws) -> np.ndarray:
@@ -73,14 +86,20 @@ def signature(text: str, draws: Draws) -> np.ndarray:
     words = sorted(counts)  # ties go to the first word, whatever the order of the text
     for start in range(0, len(words), 4096):
         part = words[start : start + 4096]
-        hashes, r, ln_c, b = draws.of(part)
-        weight = np.log(np.fromiter((counts[w] for w in part), np.float32, len(part)))[:, None]
-        t = np.floor(weight / r + b)
-        order = ln_c - r * (t - b) - r
-        at = order.argmin(axis=0)
-        here = order[at, np.arange(SAMPLES)]
-        step = t[at, np.arange(SAMPLES)].astype(np.int64).astype(np.uint64)
-        drawn = _stirred(hashes[at] ^ (step * np.uint64(0x9E3779B97F4A7C15) + _SEEDS[0]))
+        at = draws.of(part)
+        weights = np.log(np.fromiter(map(counts.__getitem__, part), np.float32, len(part)))
+        orders = draws.values[3].take(at, axis=0)
+        several = np.flatnonzero(weights)
+        if len(several):
+            r, ln_c, b = draws.values[:3].take(at[several], axis=1)
+            orders[several] = _orders(r, ln_c, b, weights[several, None])
+        here = orders.min(axis=0)
+        word, sample = np.nonzero(orders == here)
+        first = np.empty(SAMPLES, np.int64)
+        first[sample[::-1]] = word[::-1]
+        r, _, b = draws.values[:3, at[first], np.arange(SAMPLES)]
+        step = np.floor(weights[first] / r + b).astype(np.int64).astype(np.uint64)
+        drawn = _stirred(draws.hashes[at[first]] ^ (step * np.uint64(0x9E3779B97F4A7C15) + _SEEDS[0]))
         better = here < least
         least[better], symbols[better] = here[better], drawn[better]
     return (symbols >> np.uint64(40)).astype(np.uint16) if words else np.empty(0, np.uint16)

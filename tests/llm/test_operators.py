@@ -274,6 +274,25 @@ def test_fingerprints_estimate_weighted_jaccard():
     assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.1
 
 
+def test_known_single_words_are_not_drawn_again(monkeypatch):
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(n)) for n in (1, 5, 50, 700)]
+    draws = fingerprints.Draws()
+    for text in texts:
+        counts = {w: text.split().count(w) for w in text.split()}
+        names = sorted(counts)
+        at = draws.of(names)
+        r, ln_c, b = draws.values[:3, at]
+        t = np.floor(np.log(np.array([counts[w] for w in names], np.float32))[:, None] / r + b)
+        best = (ln_c - r * (t - b) - r).argmin(axis=0)
+        step = t[best, np.arange(fingerprints.SAMPLES)].astype(np.uint64)
+        drawn = fingerprints._stirred(draws.hashes[at][best] ^ (step * np.uint64(0x9E3779B97F4A7C15) + fingerprints._SEEDS[0]))
+        assert (fingerprints.signature(text, draws) == (drawn >> np.uint64(40)).astype(np.uint16)).all()
+    own = fingerprints.signature("w1 w2 w3", draws)
+    monkeypatch.setattr(fingerprints, "_orders", None)
+    assert (fingerprints.signature("w3 W1 w2", draws) == own).all()
+
+
 @pytest.mark.parametrize("blocks", [1, 3, 8])
 def test_edited_texts_take_the_next_document(spark, blocks):
     texts = {i * 3: words(random.Random(i), i + 1) for i in range(20)}
