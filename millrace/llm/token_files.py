@@ -18,10 +18,12 @@ Null text is empty, empty text gives the end id alone, and a null doc_id stays n
 from __future__ import annotations
 
 import os
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -65,53 +67,75 @@ def vocabulary(path: str) -> int:
     return max(tokenizer(path).get_vocab(with_added_tokens=True).values()) + 1
 
 
-_VISIBLE, _LETTER, _STOP = (np.zeros(256, bool) for _ in range(3))
-_VISIBLE[0x21:0x7F] = True
-_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
-_STOP[[ord(c) for c in ".,;:!?"]] = True
+#: Of each byte: begins a visible character (ASCII, or U+00C0 to U+00FF), is one, is a letter, a sign that ends a word, a blank, a
+#: line break, a byte that goes on, the first byte of U+00C0 to U+00FF. No sign: the apostrophe, and those of special tokens.
+_BEGINS, _VISIBLE, _LETTER, _SIGN, _BLANK, _BREAK, _TAIL, _LATIN = (1 << k for k in range(8))
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _BEGINS | _VISIBLE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] |= _LETTER
+_KIND[[ord(c) for c in string.punctuation if c not in "'<|>"]] |= _SIGN
+_KIND[0x20], _KIND[0x0A], _KIND[0x80:0xC0], _KIND[0xC3] = _BLANK, _BREAK, _TAIL, _BEGINS | _LATIN
 
 
 def stretches(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Where the bytes are cut: at each text, and where the tokenizer's pattern cuts whatever lies around.
 
     These are the places before a blank, and before and after a line break, between two visible characters (ASCII, or
-    U+00C0 to U+00FF), and between a letter of these and a stop.
+    U+00C0 to U+00FF), and between a letter of these and a sign.
     """
     if len(data) < 3:
         return np.unique(ends)
     marks = np.zeros(len(data) + 1, bool)
+    kind = _KIND.take(data)
+    latin = np.zeros(len(data), np.uint8)  # 1 for a byte that ends one of U+00C0 to U+00FF
+    latin[1:] = (kind[:-1] >> 7) & (kind[1:] >> 6)
+    before, here, after = (kind | latin << 1)[:-2], kind[1:-1], kind[2:]
+    seen = ((before >> 1) & after & 1).view(bool)
+    breaks = seen & (here & _BREAK != 0)
+    marks[1:-2] = seen & (here & (_BLANK | _BREAK) != 0)
+    marks[2:-1] |= breaks
+    latin[1:] &= (data[1:] != 0x97) & (data[1:] != 0xB7)  # the signs U+00D7, U+00F7 are no letters
+    marks[1:-2] |= ((here >> 3) & (kind >> 2 | latin)[:-2] & 1).view(bool)
     marks[ends] = True
-    here, before, after = data[1:-1], data[:-2], data[2:]
-    latin = np.zeros(len(here), bool)  # the byte before ends one of U+00C0 to U+00FF
-    latin[1:] = (before[1:] >= 0x80) & (data[:-3] == 0xC3)
-    seen = (_VISIBLE[before] | latin) & (_VISIBLE[after] | (after == 0xC3))
-    marks[1:-2] |= seen & ((here == 0x20) | (here == 0x0A))
-    marks[2:-1] |= seen & (here == 0x0A)
-    marks[1:-2] |= _STOP[here] & (_LETTER[before] | latin & (before != 0x97) & (before != 0xB7))  # but for the signs U+00D7, U+00F7
     return np.flatnonzero(marks)
 
 
+#: A stretch that can be told from others by line breaks between them: the pattern cuts before and after each of those.
+_PLAIN = r"^ ?[!-~\x{C0}-\x{FF}]([^\n]*[!-~\x{C0}-\x{FF}])?$"
+
+
 class Encoder:
-    """Ids of many texts; remembers the stretches met so far, up to a bound."""
+    """Ids of many texts; remembers the stretches met so far, up to a bound. Stretch 0 is the end of a text."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = tokenizer(path)
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._forget()
 
     def _forget(self) -> None:
-        self.known = pa.array([], pa.large_string())
-        self.first, self.size, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
-
-    def _learn(self, new: pa.Array) -> None:
-        texts, ids, sizes = new.to_pylist(), [], []
-        for start in range(0, len(texts), 200):
-            part = texts[start : start + 200]
+        self.known: dict[str, int] = {}
+        self.first, self.size, self.ids = np.zeros(1, np.int64), np.ones(1, np.int64), np.array([END], np.int32)
+
+    def _learn(self, new: np.ndarray, plain: np.ndarray) -> None:
+        """Takes up new stretches, of which the ``plain`` come first."""
+        self.known.update(zip(new, range(len(self.known) + 1, len(self.known) + 1 + len(new))))
+        texts, odd = new[: plain.sum()].tolist(), new[plain.sum() :].tolist()
+        ids, sizes = [], []
+        for start in range(0, len(texts), 50):
+            coded = self.tokenizer.encode_batch_fast(["\n".join(texts[start : start + 50])], add_special_tokens=False)[0].ids
+            coded.append(self.line_break)
+            ids.append(np.array(coded, np.int32))
+        if ids:
+            joined = np.concatenate(ids)
+            inside = joined != self.line_break
+            ids, sizes = [joined[inside]], [np.diff(np.flatnonzero(~inside), prepend=-1) - 1]
+        for start in range(0, len(odd), 200):
+            part = odd[start : start + 200]
             coded = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
             ids.append(np.array(coded.ids, np.int32))
             sizes.append(np.bincount(np.array(coded.word_ids, np.int64), minlength=len(part)))
         sizes = np.concatenate(sizes)
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        self.known = pa.concat_arrays([self.known, new])
         self.first, self.size = np.concatenate([self.first, starts]), np.concatenate([self.size, sizes])
         self.ids = np.concatenate([self.ids, *ids])
 
@@ -124,19 +148,22 @@ class Encoder:
         pieces = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)).dictionary_encode()
         if len(self.known) > KEPT or len(self.ids) > KEPT_IDS:
             self._forget()
-        place = pc.fill_null(pc.index_in(pieces.dictionary, value_set=self.known), -1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(place < 0)
-        place[new] = len(self.known) + np.arange(len(new))
+        found = pieces.dictionary.to_numpy(zero_copy_only=False)
+        place = np.fromiter(map(self.known.get, found, repeat(0)), np.int64, len(found))
+        new = np.flatnonzero(place == 0)
         if len(new):
-            self._learn(pieces.dictionary.take(pa.array(new)))
-        place = place[pieces.indices.to_numpy()]
-        size = self.size[place]
-        text = np.searchsorted(ends, cuts[:-1], "right") - 1
+            plain = pc.match_substring_regex(pieces.dictionary.take(pa.array(new)), _PLAIN).to_numpy(zero_copy_only=False)
+            new = np.concatenate([new[plain], new[~plain]])
+            place[new] = len(self.known) + 1 + np.arange(len(new))
+            self._learn(found[new], plain)
+        place = place.take(pieces.indices.to_numpy())
+        upto = np.searchsorted(cuts[:-1], ends[1:])  # stretches up to the end of each text
+        place = np.insert(place, upto, 0)
+        size = self.size.take(place)
         ends_of = np.cumsum(size)
-        source = np.repeat(self.first[place] - (ends_of - size), size)
+        source = np.repeat(self.first.take(place) - (ends_of - size), size)
         source += np.arange(len(source))
-        counts = np.bincount(text, weights=size, minlength=len(texts)).astype(np.int64)
-        return np.insert(self.ids[source], np.cumsum(counts), END), counts + 1
+        return self.ids.take(source), np.diff(ends_of[upto + np.arange(len(upto))], prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -165,6 +192,20 @@ def unpack(body: bytes) -> tuple[np.ndarray, np.ndarray, int, int]:
     return token_coder.decode(rest[table_size:], n, size), table, first, before
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of up to ``SLICE_BYTES`` of text (or one row): what repeats in one is looked up once."""
+    held, size = [], 0
+    for part in slices(batches, SLICE_BYTES):
+        _, ends = as_bytes(part["text"])
+        if held and size + ends[-1] > SLICE_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(part)
+        size += int(ends[-1])
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _writer(path: str, size: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId()
@@ -182,7 +223,7 @@ def _writer(path: str, size: int, block_ids: int):
             held, rows, count = [], [], 0
             return pa.RecordBatch.from_arrays(columns, names=["range", "block", "n_ids", "body"])
 
-        for part in slices(batches, SLICE_BYTES):
+        for part in _gathered(batches):
             ids, counts = encoder.encode(part["text"])
             at = 0
             for doc, n in zip(part["doc_id"].to_pylist(), counts.tolist()):

@@ -51,6 +51,25 @@ def test_a_full_table_of_stretches_is_forgotten(monkeypatch):
             assert encoder.encode(pa.array([text]))[0].tolist() == library(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="aZ1é×÷'#$(_-|<>/\\.,s\n\r\t \u00a0\u0085\u2028ß語\x00", max_size=24), min_size=1, max_size=8))
+def test_signs_and_odd_blanks_have_the_librarys_ids(texts):
+    assert [m.tolist() for m in both(texts)] == [library(t) for t in texts]
+
+
+def test_a_word_is_learned_apart_from_the_sign_after_it():
+    encoder = token_files.Encoder(PATH)
+    encoder.encode(pa.array(["A word### word$$$ word- word.", "A word"]))
+    assert set(encoder.known) == {"A", " word", "###", "$$$", "-", "."}
+
+
+def test_small_batches_are_looked_up_together(monkeypatch):
+    monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": ["x" * n]}) for i, n in enumerate((4, 4, 0, 4, 30, 1, 2))]
+    assert [b["doc_id"].to_pylist() for b in token_files._gathered(iter(batches))] == [[0, 1, 2], [3], [4], [5, 6]]
+    assert list(token_files._gathered(iter([]))) == []
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 60_000), st.lists(st.integers(0, 59_999), max_size=400), st.integers(0, 6))
 def test_coder_round_trip(size, ids, repeats):
