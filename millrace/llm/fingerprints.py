@@ -15,6 +15,8 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from millrace.llm.common import bound_batches
 
 SAMPLES = 64
 #: Words whose draws a worker keeps: 64 x 4 floats each.
-KNOWN_WORDS = 100_000
+KNOWN_WORDS = 200_000
 
 _SEEDS = np.random.default_rng(64).integers(0, 1 << 63, (5, SAMPLES), dtype=np.uint64)
 
@@ -47,21 +49,38 @@ def _orders(r: np.ndarray, ln_c: np.ndarray, b: np.ndarray, weights: np.ndarray
 
 
 class Draws:
-    """r, ln c, b and the order as a single word, of each word met so far; forgets all when full."""
+    """r, ln c, b and the order as a single word, of each word met so far; when full, keeps those met in several texts."""
 
     def __init__(self) -> None:
         self.rows: dict[str, int] = {}
         self.values = np.empty((4, KNOWN_WORDS, SAMPLES), np.float32)
         self.hashes = np.empty(KNOWN_WORDS, np.uint64)
+        self.uses = np.zeros(KNOWN_WORDS, np.int64)
+
+    def _forget(self, room: int) -> None:
+        """Keeps the words asked for most: half of the table at most, and ``room`` free."""
+        # a word of one text is asked for by two signatures: the text's own and one of an edited text
+        kept = np.flatnonzero(self.uses[: len(self.rows)] > 2)
+        most = np.argsort(-self.uses[kept], kind="stable")[: min(KNOWN_WORDS // 2, KNOWN_WORDS - room)]
+        kept = np.sort(kept[most])
+        names = list(self.rows)
+        self.rows = {names[k]: row for row, k in enumerate(kept.tolist())}
+        for column in (*self.values, self.hashes):
+            column[: len(kept)] = column[kept]
+        self.uses[: len(kept)] = self.uses[kept] >> 1
+        self.uses[len(kept) :] = 0
 
     def of(self, words: list[str]) -> np.ndarray:
         """Where ``hashes`` and ``values`` have each of at most KNOWN_WORDS distinct words."""
-        new = [w for w in words if w not in self.rows]
-        if len(self.rows) + len(new) > KNOWN_WORDS:
-            self.rows.clear()
-            new = words
-        if new:
+        at = np.fromiter(map(self.rows.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(self.rows) + len(missing) > KNOWN_WORDS:
+            self._forget(len(words))
+            return self.of(words)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
             first = len(self.rows)
+            at[missing] = np.arange(first, first + len(new))
             self.rows.update(zip(new, range(first, first + len(new))))
             hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new], np.uint64)
             self.hashes[first : first + len(new)] = hashes
@@ -75,7 +94,14 @@ class Draws:
                 self.values[1, place] = np.log(-np.log(u[2] * u[3]))
                 self.values[2, place] = u[4]
                 self.values[3, place] = _orders(*self.values[:3, place], np.float32(0))
-        return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        self.uses[at] += 1
+        return at
+
+
+@lru_cache(maxsize=1)
+def _draws() -> Draws:
+    """A worker's draws: they serve all tasks the worker runs."""
+    return Draws()
 
 
 def signature(text: str, draws: Draws) -> np.ndarray:
@@ -124,7 +150,7 @@ def edited(text: str, following: str) -> str:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by block and doc_id; each block ends with its ``tail``, the first document of the next."""
-    draws, waiting = Draws(), None
+    draws, waiting = _draws(), None
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     for batch in batches:

@@ -293,6 +293,22 @@ def test_known_single_words_are_not_drawn_again(monkeypatch):
     assert (fingerprints.signature("w3 W1 w2", draws) == own).all()
 
 
+def test_words_of_several_texts_stay_when_the_table_is_full(monkeypatch):
+    drawn, hashed = [], fingerprints.xxhash.xxh3_64_intdigest
+    texts = [f"The land {'land ' * (i % 3)}of " + " ".join(f"x{i * 9 + k}" for k in range(9)) for i in range(60)]
+    want = [fingerprints.signature(t, fingerprints.Draws()) for t in texts]
+    monkeypatch.setattr(fingerprints.xxhash, "xxh3_64_intdigest", lambda w: (drawn.append(w), hashed(w))[1])
+    monkeypatch.setattr(fingerprints, "KNOWN_WORDS", 40)
+    draws = fingerprints.Draws()
+    assert all((fingerprints.signature(t, draws) == w).all() for t, w in zip(texts, want))
+    assert len(draws.rows) <= 40 and drawn.count(b"the") == drawn.count(b"land") == drawn.count(b"of") == 1
+    full = [f"y{k}" for k in range(40)]  # as many as there is room for
+    for _ in range(4):
+        assert draws.hashes[draws.of(full)].tolist() == [hashed(w.encode()) for w in full]
+    assert list(draws.rows) == full
+    assert draws.of(["y3", "new", "y39"]).tolist() == [draws.rows[w] for w in ("y3", "new", "y39")] and len(draws.rows) == 22
+
+
 @pytest.mark.parametrize("blocks", [1, 3, 8])
 def test_edited_texts_take_the_next_document(spark, blocks):
     texts = {i * 3: words(random.Random(i), i + 1) for i in range(20)}
