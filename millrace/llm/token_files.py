@@ -128,6 +128,8 @@ class Encoder:
         if ids:
             joined = np.concatenate(ids)
             inside = joined != self.line_break
+            if len(joined) - inside.sum() != len(texts):
+                raise ValueError("the tokenizer does not cut at line breaks")
             ids, sizes = [joined[inside]], [np.diff(np.flatnonzero(~inside), prepend=-1) - 1]
         for start in range(0, len(odd), 200):
             part = odd[start : start + 200]

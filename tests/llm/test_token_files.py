@@ -63,6 +63,16 @@ def test_a_word_is_learned_apart_from_the_sign_after_it():
     assert set(encoder.known) == {"A", " word", "###", "$$$", "-", "."}
 
 
+def test_a_tokenizer_that_swallows_line_breaks_is_refused(monkeypatch):
+    from tokenizers import AddedToken, Tokenizer
+
+    swallowing = Tokenizer.from_file(PATH)
+    swallowing.add_special_tokens([AddedToken("<end>", rstrip=True)])
+    monkeypatch.setattr(token_files, "tokenizer", lambda path: swallowing)
+    with pytest.raises(ValueError, match="line breaks"):
+        token_files.Encoder(PATH).encode(pa.array(["a <end> b"]))
+
+
 def test_small_batches_are_looked_up_together(monkeypatch):
     monkeypatch.setattr(token_files, "SLICE_BYTES", 10)
     batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "text": ["x" * n]}) for i, n in enumerate((4, 4, 0, 4, 30, 1, 2))]
