@@ -45,7 +45,7 @@ class Model:
     def __init__(self, vocabulary: int, lanes: int) -> None:
         self.vocabulary = vocabulary
         # guesses of order 1 and 2, each with its trust in the two lowest bits
-        self.guesses = [np.zeros(vocabulary, np.int64), np.zeros(1 << SLOTS_BITS, np.int64)]
+        self.guesses = [np.zeros(vocabulary, np.int32), np.zeros(1 << SLOTS_BITS, np.int32)]
         self.last = np.zeros(lanes, np.int64)
         self.second = np.zeros(lanes, np.int64)
         self.mixed = np.tile(np.array([1, 1, 2], np.int64), (2 * (SURE + 1) ** 2, 1))
@@ -83,31 +83,45 @@ class Model:
     def predict(self, active: int) -> None:
         """Guesses and the row of the mix for the first ``active`` lanes, and the cuts of each row's interval."""
         one = self.last[:active]
-        two = (self.second[:active] * 0x9E3779B1 + one * 0x85EBCA77 >> 7) & ((1 << SLOTS_BITS) - 1)
+        two = self.second[:active] * 0x9E3779B1
+        two += one * 0x85EBCA77
+        two >>= 7
+        two &= (1 << SLOTS_BITS) - 1
         self.slots = (one, two)
-        self.entries = (self.guesses[0][one], self.guesses[1][two])
+        self.entries = (self.guesses[0].take(one), self.guesses[1].take(two))
+        self.trusts = (self.entries[0] & SURE, self.entries[1] & SURE)
         self.first, self.other = self.entries[1] >> 2, self.entries[0] >> 2
-        row = (self.entries[1] & SURE) * (2 * (SURE + 1)) + (self.entries[0] & SURE) * 2
-        self.row = (row + (self.first == self.other)) * 3
+        row = self.trusts[1] * (SURE + 1)
+        row += self.trusts[0]
+        row <<= 1
+        row += self.first == self.other
+        row *= 3
+        self.row = row
         # of 2^16, the order-2 guess has what lies below the first cut, the order-1 guess what lies below the second
-        low, high = (np.cumsum(self.mixed[:, :2], axis=1) << 16).T // self.mixed.sum(axis=1)
-        low = np.clip(low, 1, (1 << 16) - 3)
-        high = np.clip(high, low + 1, (1 << 16) - 1)
-        self.begin = np.stack([np.zeros_like(low), low, high], axis=1).astype(np.uint64).ravel()
-        self.width = np.stack([low, high - low, (1 << 16) - high], axis=1).astype(np.uint64).ravel()
-
-    def learn(self, ids: np.ndarray, wrong: np.ndarray, kind: np.ndarray, missed: np.ndarray) -> None:
-        """``kind``: 0 order 2 was right, 1 order 1, 2 neither; ``wrong``: not 0; ``missed``: the ids of kind 2."""
+        two_right, one_right, neither = self.mixed.T
+        both = two_right + one_right
+        total = both + neither
+        low = np.minimum(np.maximum((two_right << 16) // total, 1), (1 << 16) - 3)
+        high = np.minimum(np.maximum((both << 16) // total, low + 1), (1 << 16) - 1)
+        begin, width = np.zeros((2, *self.mixed.shape), np.uint64)
+        begin[:, 1], begin[:, 2] = low, high
+        width[:, 0], width[:, 1], width[:, 2] = low, high - low, (1 << 16) - high
+        self.begin, self.width = begin.ravel(), width.ravel()
+
+    def learn(self, ids: np.ndarray, wrong: np.ndarray, place: np.ndarray, missed: np.ndarray) -> None:
+        """``place``: the row of the mix, plus 1 where order 1 was right, 2 where neither; ``wrong``: not order 2; ``missed``: neither."""
         active = len(ids)
-        self.mixed += np.bincount(self.row + kind, minlength=self.mixed.size).reshape(self.mixed.shape)
+        self.mixed += np.bincount(place, minlength=self.mixed.size).reshape(self.mixed.shape)
         if self.mixed[:, 2].max() > 1 << 20:
             self.mixed = (self.mixed >> 1) + 1
         new = (ids << 2) + 1
         for order, bad in ((0, self.other != ids), (1, wrong)):
-            entry = self.entries[order]
-            trust = entry & SURE
-            moved = np.where(bad, entry - 1, entry + (trust < SURE))
-            self.guesses[order][self.slots[order]] = np.where(bad & (trust <= 1), new, moved)
+            moved, trust = self.entries[order], self.trusts[order]
+            lost = bad & (trust <= 1)
+            moved += (trust < SURE) & ~bad
+            moved -= bad
+            np.copyto(moved, new, where=lost)
+            self.guesses[order][self.slots[order]] = moved
         self.second[:active] = self.last[:active]
         self.last[:active] = ids
         self.new.append(missed)
@@ -137,7 +151,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     low, size = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     out = np.zeros((lanes, 2 * steps + 8), np.uint16)
     sent = np.zeros(lanes, np.int64)
-    padded = np.zeros(lanes * steps, np.int64)
+    padded = np.zeros(lanes * steps, np.int32)
     padded[:n] = ids
     by_step = np.ascontiguousarray(padded.reshape(lanes, steps).T)
 
@@ -155,8 +169,8 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
         wrong = now != model.first
         kind = wrong + (wrong & (now != model.other)).view(np.int8)
         unit, place = size[:active] >> _MIX_BITS, model.row + kind
-        low[:active] += unit * model.begin[place]
-        size[:active] = unit * model.width[place]
+        low[:active] += unit * model.begin.take(place)
+        np.multiply(unit, model.width.take(place), out=size[:active])
         settle(active)
         miss = np.flatnonzero(kind == 2)
         missed = now[miss]
@@ -166,7 +180,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
             low[miss] += unit * begin
             size[miss] = unit * (model.below[missed + 1] - begin)
             settle(active)
-        model.learn(now, wrong, kind, missed)
+        model.learn(now, wrong, place, missed)
     final = (low + _MASK) & ~_MASK  # inside the range, whose lower 32 bits can be left out
     for shift in (48, 32):
         out[np.arange(lanes), sent] = (final >> np.uint64(shift)).astype(np.uint16)
@@ -178,7 +192,7 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
 def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
     """The ``n`` ids of a block's code."""
     if not n:
-        return np.empty(0, np.int64)
+        return np.empty(0, np.int32)
     lanes, steps = lanes_of(n)
     written = np.dtype(_length_type(steps))
     lengths = np.frombuffer(code, written, lanes).astype(np.int64)
@@ -192,7 +206,7 @@ def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
     for _ in range(4):
         value = value << _UNIT | np.where(read < at_end, units[np.minimum(read, len(units) - 1)], np.uint64(0))
         read += 1
-    by_step = np.zeros((steps, lanes), np.int64)
+    by_step = np.zeros((steps, lanes), np.int32)
 
     def settle(active: int) -> None:
         at = np.flatnonzero(size[:active] < _LEAST)
@@ -211,10 +225,10 @@ def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
         wrong = offset >= unit * model.begin[model.row + 1]
         kind = wrong + (offset >= unit * model.begin[model.row + 2]).view(np.int8)
         place = model.row + kind
-        low[:active] += unit * model.begin[place]
-        size[:active] = unit * model.width[place]
+        low[:active] += unit * model.begin.take(place)
+        np.multiply(unit, model.width.take(place), out=size[:active])
         settle(active)
-        now = np.where(wrong, model.other, model.first).astype(np.int64)
+        now = np.where(wrong, model.other, model.first)
         miss = np.flatnonzero(kind == 2)
         missed = now[:0]
         if len(miss):
@@ -226,6 +240,6 @@ def decode(code: bytes, n: int, vocabulary: int) -> np.ndarray:
             size[miss] = unit * (model.below[missed + 1] - begin)
             settle(active)
             now[miss] = missed
-        model.learn(now, wrong, kind, missed)
+        model.learn(now, wrong, place, missed)
         by_step[step, :active] = now
     return by_step.T.reshape(-1)[:n]

@@ -97,6 +97,14 @@ def test_coder_learns_what_comes_next():
         assert (token_coder.decode(code, len(ids), SIZE) == ids).all()
 
 
+def test_narrow_tables_give_the_code_of_earlier_files():
+    ids = np.arange(60_000) ** 2 % 7919 // np.where(np.arange(60_000) % 3, 1, 97)
+    code = token_coder.encode(ids, SIZE)
+    assert zlib.crc32(code) == 1060154578
+    assert (token_coder.decode(code, len(ids), SIZE) == ids).all()
+    assert all(table.itemsize == 4 for table in token_coder.Model(SIZE, 1).guesses) and token_coder.decode(code, len(ids), SIZE).itemsize == 4
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rows = [(3 * i, t, "given") for i, t in enumerate(ODD)] + [(None, "null id", "given"), (None, None, "given"), (5, None, "given"), (6, "a  b", "x"), (6, "again", "x")]
