@@ -29,6 +29,8 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = "(?i)(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = "AKIA[A-Z0-9]{12,}"
 HEX = "[0-9a-f]{32,}"
+#: The letters that a match of ``ASSIGN`` begins with: looked at first, they spare most places the names.
+BEGINS = "(?i)(?=[psta][aepo][scki])"
 #: ``ASSIGN`` with a value that is long enough.
 ASSIGN_FITS = ASSIGN[:-2] + "{8,})"
 
@@ -62,23 +64,31 @@ def _placed(parts: Column, step: int, fits: Callable[[Column, Column], Column])
     return F.when(F.size(parts) > step, F.aggregate(every, start, add)["spans"]).otherwise(none)
 
 
-def with_base_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null as empty) and the base spans by kind."""
+def with_base_spans(docs: DataFrame, *kept: str) -> DataFrame:
+    """doc_id, text (null as empty), the columns to keep, the base spans by kind, and the text cut at its candidates.
+
+    A match of ``access`` or ``hex`` lies in a candidate, so texts without one are not searched for them. The cuts are columns of
+    their own: an expression that stands in a lambda is worked out again for every element.
+    """
     whole = F.length  # a match that the pattern allows always fits
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _safe(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _safe(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"), *kept)
+    rows = rows.withColumn("candidates", _cut(F.col("text"), CANDIDATE, f"{OPEN}$0{CLOSE}"))
+    long = F.col("candidates").isNotNull()
     cuts = rows.withColumns(
         {
-            "assign": _cut(F.col("text"), ASSIGN, f"{OPEN}$0{CLOSE}$2{OPEN}"),
-            "access": _cut(F.col("text"), ACCESS, f"{OPEN}$0{CLOSE}"),
-            "hex": _cut(F.col("text"), HEX, f"{OPEN}$0{CLOSE}"),
+            "assign": _cut(F.col("text"), BEGINS + ASSIGN, f"{OPEN}$0{CLOSE}$2{OPEN}"),
+            "access": F.when(long, _cut(F.col("text"), ACCESS, f"{OPEN}$0{CLOSE}")),
+            "hex": F.when(long, _cut(F.col("text"), HEX, f"{OPEN}$0{CLOSE}")),
         }
     )
     return cuts.select(
         "doc_id",
         "text",
+        *kept,
         _placed(F.col("assign"), 3, lambda match, value: F.length(value) >= 8).alias("assign"),
         _placed(F.col("access"), 2, lambda match, value: whole(match) > 0).alias("access"),
         _placed(F.col("hex"), 2, lambda match, value: whole(match) > 0).alias("hex"),
+        "candidates",
     )
 
 
@@ -88,16 +98,16 @@ def labelled_samples(docs: DataFrame, limit: int = SAMPLE_DOCS) -> DataFrame:
     Every text is looked at for base spans; at most ``limit`` documents with and ``limit`` without them are read.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    suspect = F.col("text").rlike(ASSIGN_FITS) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
+    suspect = F.col("text").rlike(BEGINS + ASSIGN_FITS) | F.col("text").rlike(ACCESS) | F.col("text").rlike(HEX)
     ids = settle(rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id"), suspect.alias("suspect")), "secret-ids")
     chosen = [bounded_sample(ids.where(which), limit, "__id").distinct() for which in ("suspect", "NOT suspect")]
-    some = rows.join(F.broadcast(chosen[0].union(chosen[1])), F.col("doc_id") == F.col("__id")).where(F.col("suspect") == suspect)
-    some = some.select("doc_id", "text", "suspect")
-    values = F.explode(F.concat("assign", "access", "hex"))
-    random = with_base_spans(some.where("suspect")).select(values.alias("v")).select(F.col("v.found").alias("sample"), F.lit(True).alias("random"))
-    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0)))
-    ordinary = some.where("NOT suspect").select(words.alias("sample"), F.lit(False).alias("random"))
-    return settle(random.union(ordinary), "secret-samples")
+    some = rows.join(F.broadcast(chosen[0].union(chosen[1])), (F.col("doc_id") == F.col("__id")) & (F.col("suspect") == suspect))
+    values = F.transform(F.concat("assign", "access", "hex"), lambda s: s["found"])
+    words = F.regexp_extract_all("text", F.lit("[A-Za-z0-9_-]{4,}"), F.lit(0))
+    found = with_base_spans(some, "suspect").select("suspect", F.when(F.col("suspect"), values).otherwise(words).alias("found"))
+    # Spark would test what explode() gets for emptiness on every text, by expressions that repeat themselves
+    samples = found.select(F.explode_outer("found").alias("sample"), F.col("suspect").alias("random"))
+    return settle(samples.where(F.col("sample").isNotNull()), "secret-samples")
 
 
 def _codes(text: Column) -> Column:
@@ -106,13 +116,15 @@ def _codes(text: Column) -> Column:
 
 def _steps(text: Column) -> Column:
     """Numbers of the transitions of a string: code here * SYMBOLS + code of the next."""
-    codes = _codes(text)
-    return F.zip_with(F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0))), lambda a, b: a * SYMBOLS + b)
+    pairs = lambda codes: F.zip_with(
+        F.slice(codes, F.lit(1), F.greatest(F.size(codes) - 1, F.lit(0))), F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0))), lambda a, b: a * SYMBOLS + b
+    )
+    return F.get(F.transform(F.array(_codes(text)), pairs), F.lit(0))  # the codes of a string are worked out once
 
 
 def train(samples: DataFrame) -> list[float]:
     """Log-likelihood ratio, random against ordinary, of each of the SYMBOLS^2 transitions (add-one smoothing)."""
-    steps = samples.where(F.length("sample") > 1).select("random", F.explode(_steps(F.col("sample"))).alias("step"))
+    steps = samples.where(F.length("sample") > 1).select("random", F.explode_outer(_steps(F.col("sample"))).alias("step"))
     counted = steps.groupBy("step").agg(
         F.count(F.when(F.col("random"), 1)).alias("random"), F.count(F.when(~F.col("random"), 1)).alias("ordinary")
     )
@@ -137,7 +149,7 @@ def scanned(docs: DataFrame, ratios: list[float], margin: float = MARGIN) -> Dat
     table = F.split(F.lit(",".join(f"{x:.5f}" for x in ratios)), ",").cast("array<double>")
     rows = with_base_spans(docs)
     likely = lambda match: F.aggregate(_steps(match), F.lit(0.0), lambda a, s: a + F.get(table, s)) > margin * (F.length(match) - 1)
-    found = _placed(_cut(F.col("text"), CANDIDATE, f"{OPEN}$0{CLOSE}"), 2, lambda match, value: likely(match))
+    found = _placed(F.col("candidates"), 2, lambda match, value: likely(match))
     rows = rows.withColumn("random", found)
     base = F.concat("assign", "access", "hex")
     touches = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))

@@ -190,6 +190,21 @@ def test_random_strings_without_digits_and_rare_secrets(spark):
     assert all(("random" not in got[i]) for i in range(300))
 
 
+def test_secret_scan_cuts_each_text_once(spark):
+    places = [(f"{i:04d} ", f"{'Ab9' * 6}{i:04d}") for i in range(300)]
+    text = " ".join(a + b for a, b in places) + " ToKeN: " + "x" * 9 + " AKIA" + "B" * 12 + " " + "0f" * 16
+    docs = spark.createDataFrame([(1, text), (2, "tokens only"), (3, None)], "doc_id long, text string")
+    rows = secret_scan.scanned(docs, [1.0] * secret_scan.SYMBOLS**2)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(") == len(secret_scan.KINDS) + 1
+    base = {"assign": "ToKeN: " + "x" * 9, "access": "AKIA" + "B" * 12, "hex": "0f" * 16}
+    spans = [f"random:{text.index(b)}:{text.index(b) + len(b)}" for _, b in places]
+    spans += [f"{kind}:{text.index(found)}:{text.index(found) + len(found)}" for kind, found in base.items()]
+    assert {r.doc_id: r.spans for r in rows.collect()} == {1: ",".join(spans), 2: "", 3: ""}
+    samples = spark.createDataFrame([(1, text), (2, "ordinary words of a text")], "doc_id long, text string")
+    got = sorted((r["random"], r["sample"]) for r in secret_scan.labelled_samples(samples).collect())
+    assert got == [(False, "ordinary"), (False, "text"), (False, "words"), (True, "0f" * 16), (True, base["access"]), (True, "x" * 9)]
+
+
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = pieces.read_model()
