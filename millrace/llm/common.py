@@ -9,6 +9,8 @@ from millrace.sources.paths import scratch_folder
 
 #: Rows and bytes of one Arrow batch: what a Python worker holds at a time, however long the texts are.
 BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
+#: Rows of a settled table of a few numbers each that may be broadcast: some 10 MB.
+FEW = 200_000
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -24,6 +26,20 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """The frame, to be joined by sorted shuffles and never broadcast: for what grows with the input.
+
+    Spark sizes exploded rows like those before, arrays like one element and settled tables by their compressed files, so it would
+    send many times its limit through the driver.
+    """
+    return df.hint("merge")
+
+
+def shuffled_unless_few(settled: DataFrame) -> DataFrame:
+    """The same for a settled table, counted: up to ``FEW`` of its rows Spark may broadcast it."""
+    return settled if settled.count() <= FEW else shuffled(settled)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

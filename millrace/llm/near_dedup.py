@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bound_batches, settle
+from millrace.llm.common import bound_batches, settle, shuffled, shuffled_unless_few
 
 SYMBOLS, CHUNK, WORDS = 40, 4, 5
 BITS = 512
@@ -152,7 +152,7 @@ def _with_nodes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) with their distance, without those that sizes or signatures rule out."""
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("sb"))
-    near = pairs.join(a, "a").join(b, "b").where(_possible(F.col("na"), F.col("nb")))
+    near = pairs.join(shuffled(a), "a").join(shuffled(b), "b").where(_possible(F.col("na"), F.col("nb")))
     return near.select("a", "b", _apart(F.col("sa"), F.col("sb")).alias("apart")).where(F.col("apart") <= FARTHEST)
 
 
@@ -182,7 +182,7 @@ def _texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, set_name, text): the documents that may show a node's set; ``wanted`` holds nodes."""
     ids = nodes.join(wanted, "node").select("node", "set_name", F.col("doc_id").alias("__doc"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.join(ids, F.col("doc_id").eqNullSafe(F.col("__doc"))).select("node", "set_name", "text")
+    return shuffled(rows).join(ids, F.col("doc_id").eqNullSafe(F.col("__doc"))).select("node", "set_name", "text")
 
 
 def _finely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +199,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     sets = settle(sets, "near-sets")
     a = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(_confirm, "a long, b long")
+    return shuffled_unless_few(pairs.select("a", "b")).join(a, "a").join(b, "b").mapInArrow(_confirm, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = shuffled_unless_few(both).join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", "m"))
         edges = settle(small.where("u <> v").distinct(), "links")
@@ -224,14 +224,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    return nodes.select("node").join(components(links), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.select("node").join(shuffled_unless_few(components(links)), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def _between(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends are in different components."""
     a = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     b = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-    return pairs.join(a, "a").join(b, "b").where("ca <> cb").drop("ca", "cb")
+    return pairs.join(shuffled(a), "a").join(shuffled(b), "b").where("ca <> cb").drop("ca", "cb")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -247,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = entries.groupBy("key").agg(
         F.min("node").alias("h1"), F.max("node").alias("h2"), F.min(F.struct(F.xxhash64("node"), "node"))["node"].alias("h3")
     ).where("h1 < h2")
-    shared = settle(entries.join(hubs, "key"), "near-buckets")
+    shared = settle(shuffled(entries).join(hubs, "key"), "near-buckets")
 
     stars = shared.select("node", F.explode(F.array("h1", "h2", "h3")).alias("hub")).where("node <> hub")
     stars = stars.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -264,22 +264,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = settle(_labels(nodes, links), "near-labels")
 
     tried = stars.select("a", "b")
-    across = settle(_across(shared, nodes, labels, docs).join(tried, ["a", "b"], "left_anti"), "near-across")
+    across = settle(_across(shared, nodes, labels, docs).join(shuffled_unless_few(tried), ["a", "b"], "left_anti"), "near-across")
     links = links.union(confirmed(across, nodes, docs))
     return _result(sketched, nodes, _labels(nodes, links))
 
 
 def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs of a bucket with an end outside its main component and ends in different components."""
-    placed = shared.select("key", "node").join(labels, "node")
+    placed = shared.select("key", "node").join(shuffled(labels), "node")
     parts = placed.groupBy("key", "component").agg(F.count("node").alias("size"))
     main = parts.groupBy("key").agg(
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count("component").alias("parts")
     ).where("parts > 1")
     split = settle(placed.join(main, "key").select("key", "node", "component", "main"), "near-split")
     fine = _texts(split.select("node").distinct(), nodes, docs).mapInArrow(_finely, "node long, fine array<long>").dropDuplicates(["node"])
-    known = nodes.select("node", "n", "bits", _index_keys().alias("keys")).join(fine, "node")
-    split = settle(split.join(known, "node"), "near-split")
+    known = nodes.select("node", "n", "bits", _index_keys().alias("keys"))
+    known = shuffled(known).join(fine, "node")
+    split = settle(shuffled(split).join(known, "node"), "near-split")
     out = split.where("component <> main").select(
         "key", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("bits").alias("sa"), F.col("keys").alias("ka"),
         F.col("fine").alias("fa"),
@@ -293,7 +294,7 @@ def _across(shared: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFr
     near = near & (_apart(F.col("sa"), F.col("sb")) <= FARTHEST)
     near = near & (F.get(F.array_intersect("ka", "kb"), F.lit(0)) == out["key"])  # in the first bucket they share
     near = near & (_far_apart(F.col("fa"), F.col("fb")) <= FINEST)
-    pairs = out.join(all_rows, (out["key"] == all_rows["key"]) & near)
+    pairs = shuffled(out).join(all_rows, (out["key"] == all_rows["key"]) & near)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 

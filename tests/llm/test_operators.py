@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import (
-    decontamination, fingerprints, html_text, language_id, line_dedup, near_dedup, pieces, quality, secret_scan, toxicity,
+    common, decontamination, fingerprints, html_text, language_id, line_dedup, near_dedup, pieces, quality, secret_scan, toxicity,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -205,6 +205,42 @@ def test_secret_scan_cuts_each_text_once(spark):
     assert got == [(False, "ordinary"), (False, "text"), (False, "words"), (True, "0f" * 16), (True, base["access"]), (True, "x" * 9)]
 
 
+def _joins(monkeypatch, module, run):
+    """Of each table that ``run`` settles in ``module``: its purpose, and which joins its plan holds."""
+    seen, settle = {}, module.settle
+
+    def spy(df, purpose):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.setdefault(purpose, set()).update(re.findall(r"(\w+Join) ", plan.replace("(skew=true)", "")))
+        return settle(df, purpose)
+
+    monkeypatch.setattr(module, "settle", spy)
+    rows = [tuple(r) for r in run().collect()]
+    return seen, rows
+
+
+def test_near_duplicates_broadcast_no_growing_table(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(12)]
+    docs = [(10 * i + k, text if k < 2 else f"{text} and one more end {k}") for i, text in enumerate(base) for k in range(3)] + [(500, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(common, "FEW", 0, raising=False)
+    seen, rows = _joins(monkeypatch, near_dedup, lambda: near_dedup.near_duplicates(frame).select("doc_id", "component_id"))
+    assert sorted(rows) == sorted((i, i // 10 * 10) for i, _ in docs)
+    for purpose in ("near-buckets", "near-stars", "near-across"):
+        assert seen[purpose] == {"SortMergeJoin"}, purpose
+
+
+def test_line_dedup_broadcasts_no_growing_table(spark, monkeypatch):
+    run = "\n".join(" ".join(f"r{i}x{j}" for j in range(20)) for i in range(6))
+    docs = [(i, f"own {i}\n{run}\nend {i}") for i in range(8)] + [(8, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    seen, rows = _joins(monkeypatch, line_dedup, lambda: line_dedup.deduplicated(frame))
+    assert sorted(rows) == [(0, docs[0][1], 0), *((i, f"own {i}\nend {i}", 6) for i in range(1, 8)), (8, None, 0)]
+    for purpose in ("line-islands", "line-places", "line-named", "line-spans"):
+        assert seen[purpose] == {"SortMergeJoin"}, purpose
+
+
 def test_pieces_match_the_library(spark):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = pieces.read_model()
