@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from millrace.llm.common import settle
+from millrace.llm.common import settle, shuffled
 
 MIN_WORDS = 50
 FIRST_ID = -(1 << 63)
@@ -45,7 +45,7 @@ def _numbered(groups: DataFrame, *by: str) -> DataFrame:
 def _repeated(rows: DataFrame, *by: str) -> DataFrame:
     """Rows whose key occurs more than once, with the key's rank."""
     groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return rows.join(_numbered(groups, *by), list(by)).drop(*by)
+    return rows.join(shuffled(_numbered(groups, *by)), list(by)).drop(*by)
 
 
 def _shortest(lines: DataFrame, least: int) -> DataFrame:
@@ -91,17 +91,18 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     ranks = place.withColumn("level", F.lit(0))
     for level in range(levels):
         ahead = place.select(*DOC, (F.col("p") - (1 << level)).alias("p"), F.col("rank").alias("next"))
-        pairs = place.withColumnRenamed("rank", "this").join(ahead, [*DOC, "p"])
+        pairs = shuffled(place.withColumnRenamed("rank", "this")).join(ahead, [*DOC, "p"])
         place = settle(_repeated(pairs, "this", "next"), "line-places")
         ranks = ranks.unionByName(place.withColumn("level", F.lit(level + 1)))
 
     head = ranks.select("level", *DOC, "p", F.col("rank").alias("head"))
     tail = ranks.select("level", *DOC, F.col("p").alias("q"), F.col("rank").alias("tail"))
     power = F.expr("shiftleft(1, level)")
-    named = runs.join(head, ["level", *DOC, "p"]).withColumn("q", F.col("e") + 1 - power).join(tail, ["level", *DOC, "q"])
+    named = shuffled(runs).join(head, ["level", *DOC, "p"]).withColumn("q", F.col("e") + 1 - power)
+    named = named.join(shuffled(tail), ["level", *DOC, "q"])
     named = settle(named.select("size", "head", "tail", *DOC, "p", "e"), "line-named")
     first = named.groupBy("size", "head", "tail").agg(F.min(F.struct(*DOC, "p")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = named.join(first, ["size", "head", "tail"]).where(F.struct(*DOC, "p") > F.col("first")).select(*DOC, "p", "e")
+    later = shuffled(named).join(first, ["size", "head", "tail"]).where(F.struct(*DOC, "p") > F.col("first")).select(*DOC, "p", "e")
 
     order = W.partitionBy(*DOC).orderBy("p", "e")
     reached = F.max("e").over(order.rowsBetween(W.unboundedPreceding, -1))
@@ -117,7 +118,7 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     d, t = _identity()
     mine = docs.select(*[F.col(c) for c in docs.columns if c != "removed_lines"], d.alias("__my_d"), t.alias("__my_t"))
     # sorted on both sides at every size: texts move once, whether or not the spans would fit a broadcast
-    joined = mine.hint("merge").join(spans, (F.col("__my_d") == F.col("__d")) & (F.col("__my_t") == F.col("__t")), "left")
+    joined = shuffled(mine).join(spans, (F.col("__my_d") == F.col("__d")) & (F.col("__my_t") == F.col("__t")), "left")
     first = F.concat(F.array(F.lit(0)), F.transform("__spans", lambda s: s["end"] + 1))
     stop = F.concat(F.transform("__spans", lambda s: s["start"]), F.array(F.size(_lines())))
     kept = F.flatten(F.zip_with(first, stop, lambda a, b: F.slice(_lines(), a + 1, b - a)))
